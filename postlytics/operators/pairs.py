@@ -19,9 +19,9 @@ def pair_counts(split: DataFrame, *by: str) -> DataFrame:
     """
     seeds = F.transform(
         F.array_distinct("seed_tags"),
-        lambda t: F.struct(
-            t.alias("tag"),
-            F.size(F.filter("seed_tags", lambda x: x == t)).cast("long").alias("times"),
+        lambda t: F.named_struct(
+            F.lit("tag"), t,
+            F.lit("times"), F.size(F.filter("seed_tags", lambda x: x == t)).cast("long"),
         ),
     )
     return (

@@ -55,24 +55,21 @@ def top_shares(shares: DataFrame, n: int = 10) -> DataFrame:
 
 def mark_accepted(
     split: DataFrame,
-    history_tags: DataFrame | None = None,
-    history_totals: DataFrame | None = None,
+    tag_buckets: DataFrame | None = None,
+    totals: DataFrame | None = None,
     settings: Settings = DEFAULTS,
     key: str = "key",
 ) -> DataFrame:
     """Adds `match_kind`: 'seed', else 'promoted', else null, for every post.
 
     A post without seed tag is accepted when one of its tags is promoted in the window that ends
-    with the post's own second, counting the pairs of that second. `history_*` are buckets from
-    before `split`, for a stream. The shares of one second add up to 1, so at most 1 / threshold
+    with the post's own second, counting the pairs of that second. A stream passes buckets that
+    also hold what came before `split`. The shares of one second add up to 1, so at most 1 / threshold
     tags are promoted in it: they travel as one array per second. Thresholds too small for that
     bound to help go by one row per tag.
     """
-    tag_buckets = other_tag_buckets(split, probes=True)
-    totals = total_buckets(split, probes=True)
-    if history_tags is not None:
-        tag_buckets = _merge(tag_buckets, history_tags, "tag", "sec")
-        totals = _merge(totals, history_totals, "sec")
+    if tag_buckets is None or totals is None:
+        tag_buckets, totals = other_tag_buckets(split, probes=True), total_buckets(split, probes=True)
     hot = promoted(windowed_shares(tag_buckets, totals, settings), settings)
     seed = has_tags(F.col("seed_tags"))
     if settings.share_threshold * _ARRAY_LIMIT >= 1:
@@ -98,7 +95,8 @@ def accepted(marked: DataFrame) -> DataFrame:
     return marked.filter(F.col("match_kind").isNotNull())
 
 
-def _merge(now: DataFrame, before: DataFrame, *keys: str) -> DataFrame:
+def merge_buckets(now: DataFrame, before: DataFrame, *keys: str) -> DataFrame:
+    """Buckets of a batch and of the time before it, one row per key again."""
     columns = [*keys, "n"]
     both = now.select(*columns).unionByName(before.select(*columns))
     return both.groupBy(*keys).agg(F.sum("n").alias("n"))

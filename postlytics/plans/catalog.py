@@ -23,6 +23,11 @@ from postlytics.plans import fixtures
 from postlytics.session import workspace
 from postlytics.settings import DEFAULTS
 from postlytics.sources import batches, models, relational, seeds, tables
+from postlytics.sources.streams import read_messages, to_messages, write_messages
+from postlytics.streaming import control
+from postlytics.streaming.buckets import bucket_writer, read_buckets
+from postlytics.streaming.ingest import ingest
+from postlytics.streaming.pipeline import Pipeline, TopicModel
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -120,6 +125,76 @@ def s10_row_counts(spark, sf_dir):
     return tables.row_counts({n: fixtures.table(spark, sf_dir, n) for n in names})
 
 
+def _landed(spark, posts: DataFrame, path: str) -> None:
+    """Posts as message files."""
+    records = statuses_to_records(fixtures.statuses_of(posts))
+    to_messages(records, F.col("source_id")).write.mode("append").parquet(path)
+
+
+@query
+def s1_stream_source(spark, sf_dir):
+    """Message files read as a stream and parsed."""
+    landing, out = workspace(spark, "landing"), workspace(spark, "parsed")
+    _landed(spark, fixtures.posts(spark, sf_dir), landing)
+    posts = good_posts(parse_messages(read_messages(spark, "parquet", landing)))
+    writer = (
+        posts.select("key", "language", "sec", "country", "follower_group", F.array_join("tags", " ").alias("tags"))
+        .writeStream.format("parquet").option("path", out).option("checkpointLocation", out + "-checkpoint")
+    )
+    control.finish(control.start(writer, once=True))
+    return tables.scan(spark, out)
+
+
+@query
+def s2_stream_sink(spark, sf_dir):
+    """Documents as a stream of statuses through the ingest job to stored messages."""
+    out = workspace(spark, "messages")
+    documents = fixtures.stream_table(spark, sf_dir, "documents")
+    posts = fixtures.posts_of(documents, fixtures.table(spark, sf_dir, "nation"))
+    messages = ingest(fixtures.statuses_of(posts), fixtures.tag_list(spark))
+    writer = write_messages(messages, out + "-checkpoint", "parquet", out)
+    control.finish(control.start(writer, once=True))
+    value = F.col("value")
+    return tables.scan(spark, out).select(
+        "key",
+        F.get_json_object(value, "$.language").alias("language"),
+        F.md5(F.get_json_object(value, "$.text")).alias("text_md5"),
+    )
+
+
+# --- streams -----------------------------------------------------------------------------------
+
+
+@query
+def w3_stream_window_counts(spark, sf_dir):
+    """Events as a stream into one-second buckets, windows over the bucket table."""
+    path = workspace(spark, "buckets")
+    events = fixtures.stream_table(spark, sf_dir, "events").select(
+        F.col("event_type").alias("tag"), F.unix_seconds(F.col("ts").cast("timestamp")).alias("sec")
+    )
+    control.finish(control.start(bucket_writer(events, path, path + "-checkpoint"), once=True))
+    return windows.sliding_sum(read_buckets(spark, path), "tag")
+
+
+@query
+def w4_stream_feedback(spark, sf_dir):
+    """All posts through the stream job, in two deliveries with a restart in between.
+
+    The second delivery needs the first one's buckets to promote the same tags as a batch run.
+    """
+    root = workspace(spark, "stream")
+    weights = fixtures.word_topics(spark, sf_dir)
+    models.publish(weights, topics.topic_labels(weights), f"{root}/model")
+    posts = fixtures.posts(spark, sf_dir)
+    middle = posts.agg(F.avg("sec")).first()[0]
+    for part in (F.col("sec") <= middle, F.col("sec") > middle):
+        _landed(spark, posts.filter(part), f"{root}/landing")
+        job = Pipeline(root, fixtures.tag_list(spark), TopicModel(f"{root}/model"))
+        messages = read_messages(spark, "parquet", f"{root}/landing")
+        control.finish(control.start(job.writer(messages), once=True))
+    return tables.scan(spark, f"{root}/assigned").select("key", "match_kind", "topic", "label")
+
+
 # --- projections -------------------------------------------------------------------------------
 
 
@@ -594,7 +669,7 @@ def t12_evaluation(spark, sf_dir):
 
 @query
 def t13_topic_mixture(spark, sf_dir):
-    """Topics and total share of each document's mixture."""
+    """Topics and total share of each document's mixture; zero without any known term."""
     _, vectors = _fit(spark, sf_dir)
     mixed = topics.topic_mixture(topics.fit_topics(vectors, "post_id", _FIT), vectors, "post_id")
     return mixed.groupBy("post_id").agg(

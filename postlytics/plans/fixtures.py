@@ -28,12 +28,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = spread(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), "doc_id")
-    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return posts_of(spread(documents, "doc_id"), table(spark, sf_dir, "nation"))
+
+
+def posts_of(documents: DataFrame, nation: DataFrame) -> DataFrame:
+    """Posts from a table or a stream of documents."""
     sec = F.col("doc_id") + EPOCH
     followers = F.pmod(F.col("doc_id") * 7919, F.lit(5000))
     return (
-        documents.join(nation, F.col("doc_id") % 25 == F.col("n_nationkey"), "left")
+        documents.join(nation.select("n_nationkey", "n_name"), F.col("doc_id") % 25 == F.col("n_nationkey"), "left")
         .select(
             F.col("doc_id").alias("post_id"),
             "text",
@@ -76,7 +80,21 @@ def word_topics(spark: SparkSession, sf_dir: str, topics: int = DEFAULTS.topics)
     )
 
 
+def stream_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table read as a stream; a table that is one file is picked from its folder by name."""
+    path = f"{sf_dir}/{name}.parquet"
+    reader = spark.readStream.schema(scan(spark, path).schema)
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(jvm_path).isDirectory():
+        return reader.parquet(path)
+    return reader.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
+
+
 def statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return statuses_of(posts(spark, sf_dir))
+
+
+def statuses_of(posts: DataFrame) -> DataFrame:
     """Posts in the shape the landing job writes; every third has no coordinates."""
     lat = (F.col("post_id") % 120 - 60).cast("double")
     lon = (F.col("post_id") % 300 - 150).cast("double")
@@ -97,7 +115,7 @@ def statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("string").alias("geometry_type"),
         F.lit(None).cast("array<array<array<double>>>").alias("geometry"),
     )
-    return posts(spark, sf_dir).select(
+    return posts.select(
         F.col("post_id").alias("id"),
         "text",
         F.col("language").alias("lang"),

@@ -135,7 +135,24 @@ _CREATED = f"strftime(make_timestamp((doc_id + {EPOCH}) * 1000000), '%Y-%m-%dT%H
 
 def statements() -> dict[str, str]:
     created = _CREATED.replace("doc_id", "post_id")
+    event_windows = """
+            SELECT tag, sec, CAST(sum(n) OVER (PARTITION BY tag ORDER BY sec
+                   RANGE BETWEEN 299 PRECEDING AND CURRENT ROW) AS BIGINT) AS n
+            FROM (SELECT event_type AS tag, CAST(floor(epoch(ts)) AS BIGINT) AS sec, count(*) AS n
+                  FROM events GROUP BY ALL)"""
+    typed_posts = _sql(
+        """SELECT CAST(post_id AS VARCHAR) AS key, language, sec, country, follower_group,
+           array_to_string(tags, ' ') AS tags FROM posts""", "posts")
     return {
+        "s1_stream_source": typed_posts,
+        "s2_stream_sink": _sql(
+            """SELECT CAST(post_id AS VARCHAR) AS key, language, md5(text) AS text_md5 FROM split
+               WHERE language = 'en' AND len(seed_tags) > 0""", "split"),
+        "w3_stream_window_counts": event_windows,
+        "w4_stream_feedback": _sql(
+            """SELECT CAST(post_id AS VARCHAR) AS key, match_kind, topic, label
+               FROM accepted JOIN best USING (post_id) LEFT JOIN labels10 USING (topic)""",
+            "accepted", "best", "labels10"),
         "s3_collection_scan": "SELECT conv_id, turn, role, length(text) AS length FROM conversations",
         "s4_corpus_append": _sql(
             """SELECT CAST(post_id AS VARCHAR) AS key, coalesce(w.n, 0) AS words, sec * 1000 AS ingested_ms,
@@ -149,8 +166,8 @@ def statements() -> dict[str, str]:
                language AS topic, CAST(count(*) AS INTEGER) AS count
                FROM split WHERE len(seed_tags) > 0 GROUP BY ALL""", "split"),
         "s8_seed_list": _sql("SELECT DISTINCT unnest(tags) AS tag FROM posts", "posts"),
-        "s9_retention": """SELECT event_id, epoch_ms(ts) AS ingested_ms FROM events
-            WHERE epoch_ms(ts) % 3 <> 1""",
+        "s9_retention": """SELECT event_id, epoch_us(ts) // 1000 AS ingested_ms FROM events
+            WHERE epoch_us(ts) // 1000 % 3 <> 1""",
         "s10_row_counts": " UNION ALL ".join(
             f"SELECT '{t}' AS collection, count(*) AS documents FROM {t}"
             for t in ("documents", "conversations", "events", "labels", "nation")),
@@ -160,9 +177,7 @@ def statements() -> dict[str, str]:
                 CASE WHEN country IS NOT NULL THEN len(tags) END AS tags,
                 CASE WHEN country IS NOT NULL THEN follower_group END AS follower_group,
                 CASE WHEN country IS NOT NULL THEN {created} END AS created FROM posts""", "posts"),
-        "p1_good_posts": _sql(
-            """SELECT CAST(post_id AS VARCHAR) AS key, language, sec, country, follower_group,
-               array_to_string(tags, ' ') AS tags FROM posts""", "posts"),
+        "p1_good_posts": typed_posts,
         "p2_record_json": _sql(
             """SELECT post_id, md5(text) AS text_md5, language, follower_group, country AS full_name,
                CAST(NULL AS VARCHAR) AS topic FROM posts""", "posts"),
@@ -223,11 +238,7 @@ def statements() -> dict[str, str]:
         "j5_accepted_union": _sql("SELECT post_id, match_kind FROM accepted", "accepted"),
         "a1_seed_window_counts": _sql("SELECT * FROM seed_windows", "seed_windows"),
         "a2_tag_window_counts": _sql("SELECT * FROM tag_windows", "tag_windows"),
-        "a2_event_window_counts": """
-            SELECT tag, sec, CAST(sum(n) OVER (PARTITION BY tag ORDER BY sec
-                   RANGE BETWEEN 299 PRECEDING AND CURRENT ROW) AS BIGINT) AS n
-            FROM (SELECT event_type AS tag, CAST(floor(epoch(ts)) AS BIGINT) AS sec, count(*) AS n
-                  FROM events GROUP BY ALL)""",
+        "a2_event_window_counts": event_windows,
         "a3_window_total": _sql("SELECT * FROM total_windows", "total_windows"),
         "a4_window_shares": _sql("SELECT tag, sec, share FROM window_shares", "window_shares"),
         "a4_overall_shares": _sql("SELECT * FROM overall_shares", "overall_shares"),
@@ -310,8 +321,10 @@ def statements() -> dict[str, str]:
                    CASE WHEN CAST('0x' || substr(md5(doc_id || '1'), 1, 8) AS BIGINT) % 5 = 0
                         THEN 'validation' ELSE 'train' END AS part FROM documents""",
         "t13_topic_mixture": _sql(
-            """SELECT DISTINCT post_id, CAST(10 AS BIGINT) AS topics, CAST(1 AS DOUBLE) AS total FROM clean""",
-            "clean"),
+            """SELECT post_id, CAST(10 AS BIGINT) AS topics,
+               CAST(max(CASE WHEN df >= 4 THEN 1 ELSE 0 END) AS DOUBLE) AS total
+               FROM clean JOIN word_stats USING (word) GROUP BY post_id""",
+            "clean", "word_stats"),
         "t14_weights_json": _sql("SELECT * FROM word_topics", "word_topics"),
         "t15_conflicting_labels": """
             SELECT source AS topic, count(DISTINCT lang) AS labels FROM documents
