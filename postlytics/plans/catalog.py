@@ -79,8 +79,8 @@ def _published(spark, sf_dir) -> models.Model:
     root = workspace(spark, "model")
     weights = fixtures.word_topics(spark, sf_dir)
     old = weights.withColumn("weight", F.col("weight") + 1)
-    models.publish(old, topics.topic_labels(old, 1), root)
-    models.publish(weights, topics.topic_labels(weights), root)
+    models.publish(old, root, 1)
+    models.publish(weights, root)
     return models.load(spark, root)
 
 
@@ -98,7 +98,7 @@ def s6_topics_replace(spark, sf_dir):
 def s7_view_append(spark, sf_dir):
     """View rows as they go into the relational table, through a file sink."""
     path = workspace(spark, "view")
-    posts = tags.with_seed_tag(fixtures.split_posts(spark, sf_dir))
+    posts = tags.with_seed_tag(fixtures.split_posts(spark, sf_dir, countries=True))
     relational.append_view(view.topic_view(posts, "language"), fmt="parquet", path=path)
     return tables.scan(spark, path).select(
         F.unix_seconds("timeStamp").alias("ts"), "region", "followerGroup", "topic", "count"
@@ -135,7 +135,7 @@ def _landed(spark, posts: DataFrame, path: str) -> None:
 def s1_stream_source(spark, sf_dir):
     """Message files read as a stream and parsed."""
     landing, out = workspace(spark, "landing"), workspace(spark, "parsed")
-    _landed(spark, fixtures.posts(spark, sf_dir), landing)
+    _landed(spark, fixtures.posts(spark, sf_dir, countries=True), landing)
     posts = good_posts(parse_messages(read_messages(spark, "parquet", landing)))
     writer = (
         posts.select("key", "language", "sec", "country", "follower_group", F.array_join("tags", " ").alias("tags"))
@@ -150,7 +150,7 @@ def s2_stream_sink(spark, sf_dir):
     """Documents as a stream of statuses through the ingest job to stored messages."""
     out = workspace(spark, "messages")
     documents = fixtures.stream_table(spark, sf_dir, "documents")
-    posts = fixtures.posts_of(documents, fixtures.table(spark, sf_dir, "nation"))
+    posts = fixtures.with_country(fixtures.posts_of(documents), fixtures.table(spark, sf_dir, "nation"))
     messages = ingest(fixtures.statuses_of(posts), fixtures.tag_list(spark))
     writer = write_messages(messages, out + "-checkpoint", "parquet", out)
     control.finish(control.start(writer, once=True))
@@ -183,9 +183,8 @@ def w4_stream_feedback(spark, sf_dir):
     The second delivery needs the first one's buckets to promote the same tags as a batch run.
     """
     root = workspace(spark, "stream")
-    weights = fixtures.word_topics(spark, sf_dir)
-    models.publish(weights, topics.topic_labels(weights), f"{root}/model")
-    posts = fixtures.posts(spark, sf_dir)
+    models.publish(fixtures.word_topics(spark, sf_dir), f"{root}/model")
+    posts = fixtures.posts(spark, sf_dir, countries=True)
     middle = posts.agg(F.avg("sec")).first()[0]
     for part in (F.col("sec") <= middle, F.col("sec") > middle):
         _landed(spark, posts.filter(part), f"{root}/landing")
@@ -403,11 +402,14 @@ def j2_known_words(spark, sf_dir):
 
 
 def _assigned(spark, sf_dir, posts: DataFrame, *carry: str) -> DataFrame:
-    weights = fixtures.word_topics(spark, sf_dir)
+    """Posts scored with a stored model, as the stream job does."""
+    root = workspace(spark, "model")
+    models.publish(fixtures.word_topics(spark, sf_dir), root)
+    model = models.load(spark, root)
     return scoring.assign_topics(
         posts.withColumn("words", words.clean_words(F.col("text"))),
-        lookup(scoring.word_slots(weights), DEFAULTS.vocabulary_size),
-        lookup(topics.topic_labels(weights), DEFAULTS.topics),
+        lookup(scoring.word_slots(model.word_topics), DEFAULTS.vocabulary_size),
+        lookup(model.topics, DEFAULTS.topics),
         *carry,
         key="post_id",
     )
@@ -481,14 +483,15 @@ def a5_promoted_now(spark, sf_dir):
 @query
 def a6_topic_counts(spark, sf_dir):
     """Seed-accepted posts by country, follower group and language."""
-    accepted = tags.with_seed_tag(fixtures.split_posts(spark, sf_dir))
+    accepted = tags.with_seed_tag(fixtures.split_posts(spark, sf_dir, countries=True))
     return view.topic_counts(accepted, "language")
 
 
 @query
 def a7_topic_view(spark, sf_dir):
     """Accepted posts, cleaned, scored and counted per minute."""
-    marked = promotion.mark_accepted(fixtures.split_posts(spark, sf_dir), key="post_id")
+    split = fixtures.split_posts(spark, sf_dir, countries=True)
+    marked = promotion.mark_accepted(split, key="post_id")
     assigned = _assigned(
         spark, sf_dir, promotion.accepted(marked), "ts", "country", "follower_group"
     )

@@ -27,24 +27,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return scan(spark, f"{sf_dir}/{name}.parquet")
 
 
-def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def posts(spark: SparkSession, sf_dir: str, countries: bool = False) -> DataFrame:
+    """Posts; `countries` adds the column `country`, which needs the nation table."""
     documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    return posts_of(spread(documents, "doc_id"), table(spark, sf_dir, "nation"))
+    plain = posts_of(spread(documents, "doc_id"))
+    return with_country(plain, table(spark, sf_dir, "nation")) if countries else plain
 
 
-def posts_of(documents: DataFrame, nation: DataFrame) -> DataFrame:
+def posts_of(documents: DataFrame) -> DataFrame:
     """Posts from a table or a stream of documents."""
     sec = F.col("doc_id") + EPOCH
     followers = F.pmod(F.col("doc_id") * 7919, F.lit(5000))
     return (
-        documents.join(nation.select("n_nationkey", "n_name"), F.col("doc_id") % 25 == F.col("n_nationkey"), "left")
-        .select(
+        documents.select(
             F.col("doc_id").alias("post_id"),
             "text",
             F.col("lang").alias("language"),
             F.expr(f"regexp_extract_all(text, '{HASHTAG}', 0)").alias("hashtags"),
             followers.alias("followers"),
-            F.when(F.col("doc_id") % 7 != 0, F.col("n_name")).alias("country"),
             F.timestamp_seconds(sec).alias("ts"),
             sec.alias("sec"),
         )
@@ -55,12 +55,20 @@ def posts_of(documents: DataFrame, nation: DataFrame) -> DataFrame:
     )
 
 
+def with_country(posts: DataFrame, nation: DataFrame) -> DataFrame:
+    """Every seventh post has no country. Spark broadcasts the nations by their file size."""
+    nations = nation.select("n_nationkey", "n_name")
+    return posts.join(nations, F.col("post_id") % 25 == F.col("n_nationkey"), "left").select(
+        *posts.columns, F.when(F.col("post_id") % 7 != 0, F.col("n_name")).alias("country")
+    )
+
+
 def tag_list(spark: SparkSession, values: tuple[str, ...] = SEEDS) -> TagList:
     return TagList(spark.createDataFrame([(v,) for v in values], "tag string"), values)
 
 
-def split_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return split_tags(posts(spark, sf_dir), tag_list(spark), "post_id")
+def split_posts(spark: SparkSession, sf_dir: str, countries: bool = False) -> DataFrame:
+    return split_tags(posts(spark, sf_dir, countries), tag_list(spark), "post_id")
 
 
 def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,7 +99,7 @@ def stream_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return statuses_of(posts(spark, sf_dir))
+    return statuses_of(posts(spark, sf_dir, countries=True))
 
 
 def statuses_of(posts: DataFrame) -> DataFrame:

@@ -16,10 +16,7 @@ def train(corpus: DataFrame, model_root: str, settings: Settings = DEFAULTS, see
         raise ValueError("no word occurs in enough documents")
     vectors = topics.term_vectors(corpus, words)
     weights = topics.describe_topics(topics.fit_topics(vectors, settings=settings, seed=seed), words)
-    labels = topics.topic_labels(weights, settings.words_per_topic)
-    topics.require_none(topics.conflicting_labels(labels), "topics with several labels")
-    topics.require_none(topics.repeated_weights(weights), "words with repeated topics")
-    return models.publish(weights, labels, model_root)
+    return models.publish(weights, model_root, settings.words_per_topic)
 
 
 def shrink(corpus: DataFrame, target: str, seed: int) -> tuple[int, int]:

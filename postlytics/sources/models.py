@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postlytics import schemas
+from postlytics.operators.topics import repeated_weights, require_none, topic_labels
 from postlytics.session import path_exists
+from postlytics.settings import DEFAULTS
 
 
 @dataclass(frozen=True)
@@ -24,18 +26,23 @@ def current_version(spark: SparkSession, root: str) -> int | None:
     return spark.read.schema("version long").parquet(f"{root}/versions").agg(F.max("version")).first()[0]
 
 
-def publish(word_topics: DataFrame, topics: DataFrame, root: str) -> int:
+def publish(word_topics: DataFrame, root: str, words_per_topic: int = DEFAULTS.words_per_topic) -> int:
     """Replace both tables: write them under a new version, then announce it.
 
-    Readers see the old pair until the last step and never an empty or mixed one. A run that
-    dies before it leaves an unannounced folder that the next run overwrites.
+    The labels come from the weights as stored, which are then not computed twice, and the
+    guards read the same rows that readers will. Readers see the old pair until the last step
+    and never an empty or mixed one. A run that dies before it leaves an unannounced folder that
+    the next run overwrites.
     """
     spark = word_topics.sparkSession
     version = (current_version(spark, root) or 0) + 1
     folder = f"{root}/version={version}"
     columns = schemas.WORD_TOPICS.fieldNames()
     word_topics.select(*columns).write.mode("overwrite").parquet(f"{folder}/word_topics")
-    topics.select(*schemas.TOPICS.fieldNames()).write.mode("overwrite").parquet(f"{folder}/topics")
+    stored = spark.read.schema(schemas.WORD_TOPICS).parquet(f"{folder}/word_topics")
+    require_none(repeated_weights(stored), "words with repeated topics")
+    labels = topic_labels(stored, words_per_topic).select(*schemas.TOPICS.fieldNames())
+    labels.coalesce(1).write.mode("overwrite").parquet(f"{folder}/topics")
     announced = spark.createDataFrame([(version,)], "version long").coalesce(1)
     announced.write.mode("append").parquet(f"{root}/versions")
     return version
