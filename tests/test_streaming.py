@@ -1,0 +1,252 @@
+import json
+import random
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from postlytics.functions.records import iso_date
+from postlytics.functions.text import clean_words
+from postlytics.operators import promotion, scoring, view
+from postlytics.operators.tags import TagList, split_tags
+from postlytics.operators.windows import second_buckets
+from postlytics.session import workspace
+from postlytics.settings import Settings
+from postlytics.sources import models
+from postlytics.sources.batches import write_batch
+from postlytics.sources.streams import read_messages, write_messages
+from postlytics.streaming import control
+from postlytics.streaming.buckets import bucket_writer, read_buckets
+from postlytics.streaming.ingest import ingest, read_statuses
+from postlytics.streaming.pipeline import Pipeline, TopicModel
+from postlytics.streaming.view import minute_view, read_assigned, view_writer
+
+BASE = 1_704_067_200
+SETTINGS = Settings(topics=3, share_threshold=0.04)
+WEIGHTS = [(f"word{i}", t, float((i * (t + 2)) % 7)) for i in range(6) for t in range(3)]
+
+
+def seeds(spark):
+    return TagList.of(spark.createDataFrame([("s1",), ("s2",)], "tag string"))
+
+
+def posts(seed, count, start=0, end=900):
+    draw = random.Random(seed)
+    tags = ["S1", "s2", "Hot"] + [f"t{i}" for i in range(20)]
+    rows = [
+        (
+            f"{seed}-{i}",
+            " ".join(draw.choices([f"Word{j}!" for j in range(9)], k=draw.randint(0, 6))),
+            draw.choices(tags, [3, 1, 15] + [1] * 20, k=draw.randint(0, 5)),
+            BASE + draw.randint(start, end - 1),
+            draw.choice(["DE", "FR", None]),
+        )
+        for i in range(count)
+    ]
+    return sorted(rows, key=lambda r: r[3])
+
+
+def to_message(spark, row):
+    key, text, tags, sec, country = row
+    stamp = spark.range(1).select(iso_date(F.timestamp_seconds(F.lit(sec)))).first()[0]
+    value = {"text": text, "hashtagList": tags, "creationDate": stamp, "language": "en", "followerGroup": "Small"}
+    if country:
+        value["place"] = {"country": country}
+    return key, json.dumps(value)
+
+
+def deliver(spark, rows, path, *extra):
+    df = spark.createDataFrame(rows, "key string, text string, tags array<string>, sec long, country string")
+    record = F.to_json(F.struct(
+        "text", F.col("tags").alias("hashtagList"),
+        iso_date(F.timestamp_seconds("sec")).alias("creationDate"),
+        F.lit("en").alias("language"), F.lit("Small").alias("followerGroup"),
+        F.struct("country").alias("place"),
+    ))
+    messages = df.select("key", record.alias("value"))
+    if extra:
+        messages = messages.unionByName(spark.createDataFrame(list(extra), "key string, value string"))
+    messages.coalesce(2).write.mode("append").parquet(path)
+
+
+def run(spark, root, settings=SETTINGS, mode=scoring.SUM):
+    job = Pipeline(root, seeds(spark), TopicModel(f"{root}/model", mode, settings), settings)
+    messages = read_messages(spark, "parquet", f"{root}/landing")
+    control.finish(control.start(job.writer(messages), once=True))
+    return job
+
+
+def publish(spark, root):
+    return models.publish(spark.createDataFrame(WEIGHTS, "word string, topic int, weight double"), f"{root}/model")
+
+
+def assigned(spark, root):
+    rows = spark.read.parquet(f"{root}/assigned").collect()
+    assert len({r.key for r in rows}) == len(rows)
+    return {r.key: (r.match_kind, r.topic, r.label) for r in rows}
+
+
+def in_batch(spark, rows):
+    df = spark.createDataFrame(rows, "key string, text string, tags array<string>, sec long, country string")
+    df = df.withColumn("tags", F.transform("tags", lambda t: F.lower(t)))
+    marked = promotion.accepted(promotion.mark_accepted(split_tags(df, seeds(spark)), settings=SETTINGS))
+    slots = scoring.word_slots(
+        spark.createDataFrame(WEIGHTS, "word string, topic int, weight double"), settings=SETTINGS
+    )
+    scores = scoring.topic_scores(
+        marked.withColumn("words", clean_words(F.col("text"))), slots, "match_kind", settings=SETTINGS
+    )
+    return {r.key: (r.match_kind, r.topic) for r in scores.select("key", "match_kind", scoring.best_topic().alias("topic")).collect()}
+
+
+def test_three_deliveries_with_restarts_equal_one_batch(spark):
+    root = workspace(spark, "stream")
+    publish(spark, root)
+    rows = posts(1, 600)
+    for part in (rows[:150], rows[150:400], rows[400:]):
+        deliver(spark, part, f"{root}/landing")
+        run(spark, root)
+    got = {k: v[:2] for k, v in assigned(spark, root).items()}
+    expected = in_batch(spark, rows)
+    assert got == expected
+    assert {"seed", "promoted"} == {kind for kind, _ in expected.values()}
+    funnel = spark.read.parquet(f"{root}/funnel").agg(F.sum("posts"), F.sum("with_seed_or_promoted")).first()
+    assert tuple(funnel) == (600, len(expected))
+    corpus = spark.read.parquet(f"{root}/corpus")
+    assert {r.key for r in corpus.collect()} == set(expected)
+
+
+def test_repeated_batch_changes_nothing(spark):
+    root = workspace(spark, "stream")
+    publish(spark, root)
+    rows = posts(2, 200)
+    for part in (rows[:100], rows[100:]):
+        deliver(spark, part, f"{root}/landing")
+    job = Pipeline(root, seeds(spark), TopicModel(f"{root}/model", settings=SETTINGS), SETTINGS)
+    messages = spark.read.parquet(f"{root}/landing").persist()
+    first = messages.filter(F.col("key").isin(*[r[0] for r in rows[:100]]))
+    second = messages.filter(F.col("key").isin(*[r[0] for r in rows[100:]]))
+    job.process(first, 0)
+    job.process(second, 1)
+    before = assigned(spark, root)
+    job.process(second, 1)
+    job.process(second, 1)
+    assert assigned(spark, root) == before
+    assert {k: v[:2] for k, v in before.items()} == in_batch(spark, rows)
+
+
+def test_state_holds_only_what_can_be_looked_back_to(spark):
+    root = workspace(spark, "stream")
+    job = Pipeline(root, seeds(spark), TopicModel(f"{root}/model", settings=SETTINGS), SETTINGS)
+    for batch_id, start in enumerate((0, 1000, 2000, 3000)):
+        rows = [to_message(spark, r) for r in posts(10 + batch_id, 5, start, start + 500)]
+        job.process(spark.createDataFrame(rows, "key string, value string"), batch_id)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/tag_state")
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = sorted(s.getPath().getName() for s in fs.listStatus(folder))
+    assert names == ["batch=2", "batch=3"]
+
+
+def test_bad_messages_and_empty_batches(spark):
+    root = workspace(spark, "stream")
+    deliver(spark, posts(3, 20), f"{root}/landing", ("bad", "no json"), ("cut", '{"text":'))
+    job = run(spark, root)
+    assert {r.key for r in spark.read.parquet(f"{root}/quarantine").collect()} == {"bad", "cut"}
+    job.process(spark.createDataFrame([("x", "bad")], "key string, value string"), 99)
+    job.process(spark.createDataFrame([], "key string, value string"), 100)
+    assert spark.read.parquet(f"{root}/quarantine").count() == 3
+
+
+def test_no_model_then_a_model(spark):
+    root = workspace(spark, "stream")
+    rows = posts(4, 120)
+    deliver(spark, rows[:60], f"{root}/landing")
+    job = Pipeline(root, seeds(spark), TopicModel(f"{root}/model", settings=SETTINGS), SETTINGS)
+    job.process(spark.read.parquet(f"{root}/landing"), 0)
+    assert {v[1:] for v in assigned(spark, root).values()} == {(None, None)}
+    publish(spark, root)
+    deliver(spark, rows[60:], f"{root}/more")
+    job.process(spark.read.parquet(f"{root}/more"), 1)
+    assert job.model.version == 1
+    assert any(topic is not None for _, topic, _ in assigned(spark, root).values())
+    publish(spark, root)
+    job.model.refresh(spark)
+    assert job.model.version == 2
+
+
+def test_minute_view_equals_batch_for_closed_minutes(spark):
+    root, out = workspace(spark, "stream"), workspace(spark, "view")
+    publish(spark, root)
+    rows = posts(5, 300)
+    for part in (rows[:150], rows[150:]):
+        deliver(spark, part, f"{root}/landing")
+        run(spark, root)
+        stream = view_writer(
+            minute_view(read_assigned(spark, f"{root}/assigned"), SETTINGS),
+            lambda df, batch_id: write_batch(df, out, batch_id),
+            out + "-checkpoint",
+        )
+        control.finish(control.start(stream, once=True))
+    names = ("ts", "region", "follower_group", "topic", "count")
+    stored = spark.read.parquet(f"{root}/assigned")
+    whole = {tuple(r[n] for n in names) for r in view.topic_view(stored).collect()}
+    emitted = [tuple(r[n] for n in names) for r in spark.read.parquet(out).collect()]
+    assert len(emitted) == len(set(emitted))
+    last = stored.agg(F.max("ts")).first()[0]
+    closed = {r for r in whole if (last - r[0]).total_seconds() >= SETTINGS.watermark_seconds}
+    assert closed and closed <= set(emitted) <= whole
+
+
+def test_bucket_stream_merges_late_rows(spark):
+    path, source = workspace(spark, "buckets"), workspace(spark, "events")
+    rows = [("a", BASE + i // 3) for i in range(60)] + [("b", BASE + 90_000)]
+    for part in (rows[::2], rows[1::2]):
+        spark.createDataFrame(part, "tag string, sec long").write.mode("append").parquet(source)
+        stream = spark.readStream.schema("tag string, sec long").parquet(source)
+        control.finish(control.start(bucket_writer(stream, path, path + "-checkpoint"), once=True))
+    got = {(r.tag, r.sec): r.n for r in read_buckets(spark, path).collect()}
+    assert got == Counter(rows)
+    some = read_buckets(spark, path, BASE + 2, BASE + 5)
+    assert {(r.tag, r.sec): r.n for r in some.collect()} == {("a", BASE + s): 3 for s in range(2, 6)}
+    assert second_buckets(spark.createDataFrame(rows, "tag string, sec long"), "tag").count() == len(got)
+
+
+def test_ingest_job(spark):
+    landing, out = workspace(spark, "statuses"), workspace(spark, "messages")
+    statuses = [
+        {"id": 1, "text": "x", "lang": "en", "created_at": "Mon Jan 01 00:00:05 +0000 2024",
+         "entities": {"hashtags": [{"text": "S1"}, {"text": "Other"}]}, "coordinates": [1.0, 2.0],
+         "place": {"country": "Germany", "bounding_box": [[[1.0, 2.0], [3.0, 4.0]]]}, "user": {"followers_count": 301}},
+        {"id": 2, "text": "y", "lang": "de", "entities": {"hashtags": [{"text": "s1"}]}, "user": {"followers_count": 1}},
+        {"id": 3, "text": "z", "lang": "en", "entities": {"hashtags": []}, "user": {"followers_count": 1}},
+    ]
+    lines = spark.createDataFrame([(json.dumps(s),) for s in statuses], "value string")
+    lines.coalesce(1).write.text(landing)
+    messages = ingest(read_statuses(spark, landing), seeds(spark))
+    query = control.start(write_messages(messages, out + "-checkpoint", "parquet", out), once=True)
+    control.finish(query)
+    [row] = spark.read.parquet(out).collect()
+    assert row.key == "1"
+    assert json.loads(row.value) == {
+        "text": "x", "hashtagList": ["S1", "Other"], "creationDate": "2024-01-01T00:00:05Z", "language": "en",
+        "location": {"latitude": 1.0, "longitude": 2.0}, "followerGroup": "Medium",
+        "place": {"country": "Germany", "boundingBoxCoordinates": [[
+            {"latitude": 1.0, "longitude": 2.0}, {"latitude": 3.0, "longitude": 4.0}]]},
+    }
+    seen = [p.observedMetrics["ingest"] for p in query.recentProgress if "ingest" in p.observedMetrics]
+    assert seen[0].posts == seen[0].with_tags == 1
+
+
+def test_bounded_run_stops(spark):
+    source = workspace(spark, "events")
+    spark.createDataFrame([("a", BASE)], "tag string, sec long").write.parquet(source)
+    stream = spark.readStream.schema("tag string, sec long").parquet(source)
+    path = workspace(spark, "buckets")
+    query = control.start(bucket_writer(stream, path, path + "-checkpoint"))
+    control.run_for(query, minutes=0.1)
+    assert not query.isActive
+
+
+def test_kafka_source_needs_its_connector(spark):
+    with pytest.raises(Exception, match="(?i)kafka"):
+        read_messages(spark, subscribe="Politics", **{"kafka.bootstrap.servers": "localhost:9092"})
