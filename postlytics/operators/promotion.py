@@ -12,6 +12,8 @@ from postlytics.settings import DEFAULTS, Settings
 
 # more promoted tags per second than this are not kept as one array
 _ARRAY_LIMIT = 10_000
+# promoted tags of all seconds together that may be broadcast
+_BROADCAST_TAGS = 1_000_000
 
 
 def _share() -> Column:
@@ -59,35 +61,44 @@ def mark_accepted(
     totals: DataFrame | None = None,
     settings: Settings = DEFAULTS,
     key: str = "key",
+    seconds: int | None = None,
 ) -> DataFrame:
     """Adds `match_kind`: 'seed', else 'promoted', else null, for every post.
 
     A post without seed tag is accepted when one of its tags is promoted in the window that ends
     with the post's own second, counting the pairs of that second. A stream passes buckets that
-    also hold what came before `split`. The shares of one second add up to 1, so at most 1 / threshold
-    tags are promoted in it: they travel as one array per second. Thresholds too small for that
-    bound to help go by one row per tag.
+    also hold what came before `split`.
+
+    Posts with a seed tag need no lookup and are not shuffled. The others meet the promoted tags
+    by second: the shares of one second add up to 1, so at most 1 / threshold tags are promoted
+    in it and travel as one array. `seconds`, when known, bounds the number of seconds in the
+    buckets; few enough are broadcast, which a micro-batch of one or two hot seconds needs. Else
+    adaptive execution chooses by measured size and splits a second that holds most posts.
+    Thresholds too small for the bound to help go by one row per tag.
     """
     if tag_buckets is None or totals is None:
         tag_buckets, totals = other_tag_buckets(split, probes=True), total_buckets(split, probes=True)
     hot = promoted(windowed_shares(tag_buckets, totals, settings), settings)
     seed = has_tags(F.col("seed_tags"))
+    seeded, others = split.filter(seed), split.filter(~seed)
     if settings.share_threshold * _ARRAY_LIMIT >= 1:
         per_second = hot.groupBy("sec").agg(F.collect_list("tag").alias("promoted_tags"))
-        joined = split.join(per_second, "sec", "left")
+        if seconds is not None and seconds <= _BROADCAST_TAGS * settings.share_threshold:
+            per_second = F.broadcast(per_second)
+        joined = others.join(per_second, "sec", "left")
         by_promotion = F.arrays_overlap("other_tags", "promoted_tags")
     else:
         per_post = (
-            split.filter(~seed)
-            .select(key, "sec", F.explode("other_tags").alias("tag"))
+            others.select(key, "sec", F.explode("other_tags").alias("tag"))
             .join(hot.select("tag", "sec"), ["tag", "sec"], "left_semi")
             .select(key, F.lit(True).alias("promoted_tags"))
             .distinct()
         )
-        joined = split.join(per_post, key, "left")
+        joined = others.join(per_post, key, "left")
         by_promotion = F.col("promoted_tags")
-    kind = F.when(seed, "seed").when(by_promotion, "promoted")
-    return joined.withColumn("match_kind", kind).drop("promoted_tags")
+    return seeded.withColumn("match_kind", F.lit("seed")).unionByName(
+        joined.withColumn("match_kind", F.when(by_promotion, "promoted")).drop("promoted_tags")
+    )
 
 
 def accepted(marked: DataFrame) -> DataFrame:

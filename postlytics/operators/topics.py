@@ -60,13 +60,8 @@ def fit_topics(
     are kept with spill to disk during the fit, as each iteration samples them again; a lost
     executor's part is recomputed from its source.
     """
-    n = partitions or vectors.sparkSession.sparkContext.defaultParallelism
-    placed = (
-        vectors.repartition(n, key)
-        .sortWithinPartitions(key)
-        .select("features")
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    )
+    by_key = vectors.repartition(partitions, key) if partitions else vectors.repartition(key)
+    placed = by_key.sortWithinPartitions(key).select("features").persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return LDA(
             k=settings.topics, maxIter=settings.max_iter, seed=seed, featuresCol="features"

@@ -98,7 +98,7 @@ def s6_topics_replace(spark, sf_dir):
 def s7_view_append(spark, sf_dir):
     """View rows as they go into the relational table, through a file sink."""
     path = workspace(spark, "view")
-    posts = tags.with_seed_tag(fixtures.split_posts(spark, sf_dir, countries=True))
+    posts = tags.with_seed_tag(fixtures.split_posts(spark, sf_dir))
     relational.append_view(view.topic_view(posts, "language"), fmt="parquet", path=path)
     return tables.scan(spark, path).select(
         F.unix_seconds("timeStamp").alias("ts"), "region", "followerGroup", "topic", "count"
@@ -135,7 +135,7 @@ def _landed(spark, posts: DataFrame, path: str) -> None:
 def s1_stream_source(spark, sf_dir):
     """Message files read as a stream and parsed."""
     landing, out = workspace(spark, "landing"), workspace(spark, "parsed")
-    _landed(spark, fixtures.posts(spark, sf_dir, countries=True), landing)
+    _landed(spark, fixtures.posts(spark, sf_dir), landing)
     posts = good_posts(parse_messages(read_messages(spark, "parquet", landing)))
     writer = (
         posts.select("key", "language", "sec", "country", "follower_group", F.array_join("tags", " ").alias("tags"))
@@ -184,7 +184,7 @@ def w4_stream_feedback(spark, sf_dir):
     """
     root = workspace(spark, "stream")
     models.publish(fixtures.word_topics(spark, sf_dir), f"{root}/model")
-    posts = fixtures.posts(spark, sf_dir, countries=True)
+    posts = fixtures.posts(spark, sf_dir)
     middle = posts.agg(F.avg("sec")).first()[0]
     for part in (F.col("sec") <= middle, F.col("sec") > middle):
         _landed(spark, posts.filter(part), f"{root}/landing")
@@ -390,7 +390,7 @@ def j1_post_pairs(spark, sf_dir):
 
 def _scores(spark, sf_dir, mode: str = scoring.SUM, *carry: str) -> DataFrame:
     posts = fixtures.posts(spark, sf_dir).withColumn("words", words.clean_words(F.col("text")))
-    slots = scoring.word_slots(fixtures.word_topics(spark, sf_dir), mode)
+    slots = scoring.word_slots(fixtures.stored_model(spark, sf_dir).word_topics, mode)
     kept = lookup(slots, DEFAULTS.vocabulary_size)
     return scoring.topic_scores(posts, kept, *carry, key="post_id")
 
@@ -402,10 +402,7 @@ def j2_known_words(spark, sf_dir):
 
 
 def _assigned(spark, sf_dir, posts: DataFrame, *carry: str) -> DataFrame:
-    """Posts scored with a stored model, as the stream job does."""
-    root = workspace(spark, "model")
-    models.publish(fixtures.word_topics(spark, sf_dir), root)
-    model = models.load(spark, root)
+    model = fixtures.stored_model(spark, sf_dir)
     return scoring.assign_topics(
         posts.withColumn("words", words.clean_words(F.col("text"))),
         lookup(scoring.word_slots(model.word_topics), DEFAULTS.vocabulary_size),
@@ -483,14 +480,14 @@ def a5_promoted_now(spark, sf_dir):
 @query
 def a6_topic_counts(spark, sf_dir):
     """Seed-accepted posts by country, follower group and language."""
-    accepted = tags.with_seed_tag(fixtures.split_posts(spark, sf_dir, countries=True))
+    accepted = tags.with_seed_tag(fixtures.split_posts(spark, sf_dir))
     return view.topic_counts(accepted, "language")
 
 
 @query
 def a7_topic_view(spark, sf_dir):
     """Accepted posts, cleaned, scored and counted per minute."""
-    split = fixtures.split_posts(spark, sf_dir, countries=True)
+    split = fixtures.split_posts(spark, sf_dir)
     marked = promotion.mark_accepted(split, key="post_id")
     assigned = _assigned(
         spark, sf_dir, promotion.accepted(marked), "ts", "country", "follower_group"

@@ -6,6 +6,8 @@ text serve as tags; all of them, however many a text has.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,7 +16,9 @@ from postlytics.functions.text import clean_words
 from postlytics.operators.records import lower_tags
 from postlytics.operators.tags import TagList, split_tags
 from postlytics.operators.topics import word_statistics
+from postlytics.session import path_exists, workspace
 from postlytics.settings import DEFAULTS
+from postlytics.sources import models
 from postlytics.sources.tables import scan, spread
 
 SEEDS = ("the", "and", "is", "la", "die")
@@ -27,11 +31,37 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return scan(spark, f"{sf_dir}/{name}.parquet")
 
 
-def posts(spark: SparkSession, sf_dir: str, countries: bool = False) -> DataFrame:
-    """Posts; `countries` adds the column `country`, which needs the nation table."""
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    plain = posts_of(spread(documents, "doc_id"))
-    return with_country(plain, table(spark, sf_dir, "nation")) if countries else plain
+_STORED: dict[tuple[str, str, str], str] = {}
+
+
+def _stored(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], None]) -> str:
+    """Path of a table derived once per application and kept in the shared folder."""
+    place = (spark.sparkContext.applicationId, sf_dir, name)
+    if place not in _STORED or not path_exists(spark, _STORED[place]):
+        path = workspace(spark, name)
+        write(path)
+        _STORED[place] = path
+    return _STORED[place]
+
+
+def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The posts table; queries read only the columns they use."""
+
+    def write(path: str) -> None:
+        documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+        derived = posts_of(spread(documents, "doc_id"))
+        with_country(derived, table(spark, sf_dir, "nation")).write.parquet(path)
+
+    return scan(spark, _stored(spark, sf_dir, "posts", write))
+
+
+def stored_model(spark: SparkSession, sf_dir: str) -> models.Model:
+    """The stand-in weights as a published model."""
+
+    def write(path: str) -> None:
+        models.publish(word_topics(spark, sf_dir), path)
+
+    return models.load(spark, _stored(spark, sf_dir, "model", write))
 
 
 def posts_of(documents: DataFrame) -> DataFrame:
@@ -67,8 +97,8 @@ def tag_list(spark: SparkSession, values: tuple[str, ...] = SEEDS) -> TagList:
     return TagList(spark.createDataFrame([(v,) for v in values], "tag string"), values)
 
 
-def split_posts(spark: SparkSession, sf_dir: str, countries: bool = False) -> DataFrame:
-    return split_tags(posts(spark, sf_dir, countries), tag_list(spark), "post_id")
+def split_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return split_tags(posts(spark, sf_dir), tag_list(spark), "post_id")
 
 
 def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,7 +129,7 @@ def stream_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return statuses_of(posts(spark, sf_dir, countries=True))
+    return statuses_of(posts(spark, sf_dir))
 
 
 def statuses_of(posts: DataFrame) -> DataFrame:

@@ -84,13 +84,12 @@ class Pipeline:
         try:
             write_batch(bad_messages(parsed), self.path("quarantine"), batch_id)
             posts = good_posts(parsed)
-            last = posts.agg(F.max("sec")).first()[0]
-            if last is not None:
-                self._accept_and_score(posts, batch_id, last)
+            if not posts.isEmpty():
+                self._accept_and_score(posts, batch_id)
         finally:
             parsed.unpersist()
 
-    def _accept_and_score(self, posts: DataFrame, batch_id: int, last: int) -> None:
+    def _accept_and_score(self, posts: DataFrame, batch_id: int) -> None:
         spark, keep = posts.sparkSession, StorageLevel.MEMORY_AND_DISK
         split = split_tags(posts, self.seeds, "key")
         tag_state = WindowState(spark, self.path("tag_state"), "tag", "sec")
@@ -101,9 +100,10 @@ class Pipeline:
         totals = merge_buckets(
             total_buckets(split, probes=True), total_state.before(batch_id), "sec"
         ).persist(keep)
-        marked = mark_accepted(split, tag_buckets, totals, self.settings).persist(keep)
+        last, seconds = totals.agg(F.max("sec"), F.count("sec")).first()
+        marked = mark_accepted(split, tag_buckets, totals, self.settings, seconds=seconds).persist(keep)
         # a later batch may hold posts this late, each with a full window before it
-        horizon = last - self.settings.window_seconds - self.settings.watermark_seconds
+        horizon = (last or 0) - self.settings.window_seconds - self.settings.watermark_seconds
         try:
             write_batch(marked.agg(*funnel_columns()), self.path("funnel"), batch_id)
             tag_state.save(tag_buckets, batch_id, horizon)

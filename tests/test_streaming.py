@@ -249,4 +249,4 @@ def test_bounded_run_stops(spark):
 
 def test_kafka_source_needs_its_connector(spark):
     with pytest.raises(Exception, match="(?i)kafka"):
-        read_messages(spark, subscribe="Politics", **{"kafka.bootstrap.servers": "localhost:9092"})
+        read_messages(spark, subscribe="posts", **{"kafka.bootstrap.servers": "localhost:9092"})
