@@ -76,11 +76,12 @@ def parse_messages(messages: DataFrame) -> DataFrame:
     )
 
 
-def good_posts(parsed: DataFrame) -> DataFrame:
+def good_posts(parsed: DataFrame, *carry: str) -> DataFrame:
     """Parsed messages to posts: key, text, tags, ts, sec, language, country, follower_group."""
     ts = parse_date(F.col("record.creationDate"))
     return parsed.filter(~F.col("bad")).select(
         "key",
+        *carry,
         F.col("record.text").alias("text"),
         F.col("record.language").alias("language"),
         lower_tags(F.col("record.hashtagList")).alias("tags"),

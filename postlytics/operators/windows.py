@@ -20,23 +20,34 @@ def sliding_sum(buckets: DataFrame, *keys: str, settings: Settings = DEFAULTS) -
     s - window_seconds + 1 .. s; its end is s + 1.
 
     Time is cut into chunks and the last window of a chunk is repeated in the next one, so each
-    window task sorts at most chunk_seconds + window_seconds rows per key, however hot the key
-    and however long the history. With no keys the chunks alone spread the work.
+    window task sorts at most twice chunk_seconds + window_seconds rows per key, however hot the
+    key and however long the history. With no keys the chunks alone spread the work.
+
+    Within a chunk each bucket adds its n at its second and takes it away when it leaves the
+    window, so the running sum is the window's: linear work, also where every second is filled.
     """
     size, chunk = settings.window_seconds, settings.chunk_seconds
     if chunk < size:
         raise ValueError("chunk_seconds must be at least window_seconds")
     sec = F.col("sec")
-    own = F.struct(F.floor(sec / chunk).alias("chunk"), F.lit(False).alias("carried"))
-    next_ = F.struct((F.floor(sec / chunk) + 1).alias("chunk"), F.lit(True).alias("carried"))
+    here = F.struct(F.floor(sec / chunk).alias("chunk"), F.lit(True).alias("own"))
+    next_ = F.struct((F.floor(sec / chunk) + 1).alias("chunk"), F.lit(False).alias("own"))
     needed_later = F.pmod(sec, F.lit(chunk)) > chunk - size
-    places = F.when(needed_later, F.array(own, next_)).otherwise(F.array(own))
-    frame = (
-        Window.partitionBy(*keys, "place.chunk").orderBy("sec").rangeBetween(-(size - 1), 0)
+    places = F.when(needed_later, F.array(here, next_)).otherwise(F.array(here))
+    placed = (
+        buckets.select(*keys, "sec", "n", F.explode(places).alias("place"))
+        .select(*keys, "place.chunk", "sec", "n", "place.own")
+        .repartition(*keys, "chunk")
+    )
+    enters = F.struct(sec.alias("at"), F.col("n").alias("change"), F.col("own").alias("own"))
+    leaves = F.struct((sec + size).alias("at"), (-F.col("n")).alias("change"), F.lit(False).alias("own"))
+    until_now = (
+        Window.partitionBy(*keys, "chunk").orderBy("at").rangeBetween(Window.unboundedPreceding, 0)
     )
     return (
-        buckets.select(*keys, "sec", "n", F.explode(places).alias("place"))
-        .select(*keys, "sec", F.sum("n").over(frame).alias("n"), F.col("place.carried").alias("carried"))
-        .filter("not carried")
-        .drop("carried")
+        placed.select(*keys, "chunk", F.explode(F.array(enters, leaves)).alias("step"))
+        .select(*keys, "chunk", "step.*")
+        .select(*keys, F.col("at").alias("sec"), F.sum("change").over(until_now).alias("n"), "own")
+        .filter("own")
+        .drop("own")
     )

@@ -592,14 +592,11 @@ def t5_clean_words(spark, sf_dir):
 
 @query
 def t5_conversation_words(spark, sf_dir):
-    rows = spread_conversations(spark, sf_dir)
+    path = f"{sf_dir}/conversations.parquet"
+    rows = tables.scan_spread(spark, path, "conv_id", "conv_id", "text")
     return _count(rows, words.clean_words(F.col("text")), "word")
 
 
-def spread_conversations(spark, sf_dir) -> DataFrame:
-    return tables.spread(fixtures.table(spark, sf_dir, "conversations").select("conv_id", "text"), "conv_id")
-
-
 @query
 def t6_sentences(spark, sf_dir):
     corpus = fixtures.corpus(spark, sf_dir)

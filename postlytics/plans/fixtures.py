@@ -19,7 +19,7 @@ from postlytics.operators.topics import word_statistics
 from postlytics.session import path_exists, workspace
 from postlytics.settings import DEFAULTS
 from postlytics.sources import models
-from postlytics.sources.tables import scan, spread
+from postlytics.sources.tables import scan, scan_spread
 
 SEEDS = ("the", "and", "is", "la", "die")
 EPOCH = 1_704_067_200  # 2024-01-01 00:00:00 UTC
@@ -48,9 +48,10 @@ def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The posts table; queries read only the columns they use."""
 
     def write(path: str) -> None:
-        documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-        derived = posts_of(spread(documents, "doc_id"))
-        with_country(derived, table(spark, sf_dir, "nation")).write.parquet(path)
+        documents = scan_spread(
+            spark, f"{sf_dir}/documents.parquet", "doc_id", "doc_id", "text", "lang"
+        )
+        with_country(posts_of(documents), table(spark, sf_dir, "nation")).write.parquet(path)
 
     return scan(spark, _stored(spark, sf_dir, "posts", write))
 

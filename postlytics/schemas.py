@@ -95,7 +95,9 @@ CORPUS = T.StructType([
     T.StructField("batch_id", T.LongType()),
 ])
 
+# `row` numbers the messages of one micro-batch
 ASSIGNED = T.StructType([
+    T.StructField("row", T.LongType()),
     T.StructField("key", T.StringType()),
     T.StructField("ts", T.TimestampType()),
     T.StructField("country", T.StringType()),

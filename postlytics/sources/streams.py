@@ -23,7 +23,7 @@ def read_messages(
 
     From Kafka the key is topic-partition-offset, which no two messages share; a producer's own
     keys may repeat. Give `subscribe` and `kafka.bootstrap.servers` as options. File formats
-    read `schemas.MESSAGE` and need unique keys.
+    read `schemas.MESSAGE`.
     """
     reader = spark.readStream.format(fmt).options(**options)
     if fmt == "kafka":

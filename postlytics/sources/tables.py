@@ -16,17 +16,24 @@ def scan(spark: SparkSession, path: str | None = None, fmt: str = "parquet", **o
     return reader.load(path) if path else reader.load()
 
 
-def spread(table: DataFrame, key: str, settings: Settings = DEFAULTS) -> DataFrame:
-    """Spread a small table over all cores.
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Size of the files below a path; their content is not read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return files.agg(F.sum("length")).first()[0] or 0
 
-    A table of a few megabytes is one row group, so one task would do all later text work. Above
-    spread_below_bytes (an estimate from file sizes) the scan's own splits are kept, and nothing
-    is shuffled.
+
+def scan_spread(
+    spark: SparkSession, path: str, key: str, *columns: str, settings: Settings = DEFAULTS
+) -> DataFrame:
+    """Columns of a stored table, spread over all cores when the table is small.
+
+    A table of a few megabytes is one row group, so one task would do all later text work. From
+    spread_below_bytes on the scan's own splits are kept, and nothing is shuffled.
     """
-    size = int(str(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    if size >= settings.spread_below_bytes:
-        return table
-    return table.repartition(table.sparkSession.sparkContext.defaultParallelism, key)
+    rows = scan(spark, path).select(*columns)
+    if stored_bytes(spark, path) >= settings.spread_below_bytes:
+        return rows
+    return rows.repartition(spark.sparkContext.defaultParallelism, key)
 
 
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:

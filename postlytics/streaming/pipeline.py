@@ -27,7 +27,8 @@ from postlytics.sources import models
 from postlytics.sources.batches import append_corpus, write_batch
 from postlytics.streaming.buckets import WindowState
 
-CARRIED = ("ts", "country", "follower_group", "match_kind")
+# what scoring keeps of a post besides its row number
+CARRIED = ("key", "ts", "country", "follower_group", "match_kind")
 
 
 @dataclass
@@ -63,7 +64,9 @@ class TopicModel:
 class Pipeline:
     """Tables below `root`: quarantine, tag_state, total_state, funnel, corpus, assigned.
 
-    Message keys must be unique. Every write replaces what an earlier try of its batch left.
+    Messages are told apart by their number in the batch, so copies with equal keys all count.
+    The number is given at the source, whose partitions read the same rows again after a loss.
+    Every write replaces what an earlier try of its batch left.
     """
 
     root: str
@@ -80,10 +83,11 @@ class Pipeline:
         )
 
     def process(self, messages: DataFrame, batch_id: int) -> None:
-        parsed = parse_messages(messages.select("key", "value")).persist(StorageLevel.MEMORY_AND_DISK)
+        numbered = messages.select("key", "value", F.monotonically_increasing_id().alias("row"))
+        parsed = parse_messages(numbered).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             write_batch(bad_messages(parsed), self.path("quarantine"), batch_id)
-            posts = good_posts(parsed)
+            posts = good_posts(parsed, "row")
             if not posts.isEmpty():
                 self._accept_and_score(posts, batch_id)
         finally:
@@ -91,7 +95,7 @@ class Pipeline:
 
     def _accept_and_score(self, posts: DataFrame, batch_id: int) -> None:
         spark, keep = posts.sparkSession, StorageLevel.MEMORY_AND_DISK
-        split = split_tags(posts, self.seeds, "key")
+        split = split_tags(posts, self.seeds, "row")
         tag_state = WindowState(spark, self.path("tag_state"), "tag", "sec")
         total_state = WindowState(spark, self.path("total_state"), "sec")
         tag_buckets = merge_buckets(
@@ -101,14 +105,16 @@ class Pipeline:
             total_buckets(split, probes=True), total_state.before(batch_id), "sec"
         ).persist(keep)
         last, seconds = totals.agg(F.max("sec"), F.count("sec")).first()
-        marked = mark_accepted(split, tag_buckets, totals, self.settings, seconds=seconds).persist(keep)
+        marked = mark_accepted(
+            split, tag_buckets, totals, self.settings, key="row", seconds=seconds
+        ).persist(keep)
         # a later batch may hold posts this late, each with a full window before it
         horizon = (last or 0) - self.settings.window_seconds - self.settings.watermark_seconds
         try:
             write_batch(marked.agg(*funnel_columns()), self.path("funnel"), batch_id)
             tag_state.save(tag_buckets, batch_id, horizon)
             total_state.save(totals, batch_id, horizon)
-            kept = accepted(marked).select("key", *CARRIED, clean_words(F.col("text")).alias("words"))
+            kept = accepted(marked).select("row", *CARRIED, clean_words(F.col("text")).alias("words"))
             append_corpus(kept, self.path("corpus"), batch_id, F.unix_millis(F.current_timestamp()))
             write_batch(self._assign(kept), self.path("assigned"), batch_id)
         finally:
@@ -120,9 +126,9 @@ class Pipeline:
     def _assign(self, kept: DataFrame) -> DataFrame:
         if not self.model.refresh(kept.sparkSession):
             return kept.select(
-                "key", *CARRIED, F.lit(None).cast("int").alias("topic"), F.lit(None).cast("string").alias("label")
+                "row", *CARRIED, F.lit(None).cast("int").alias("topic"), F.lit(None).cast("string").alias("label")
             )
         return assign_topics(
             kept, self.model.slots, self.model.topics, *CARRIED,
-            scoring=self.model.scoring, settings=self.settings,
+            scoring=self.model.scoring, settings=self.settings, key="row",
         )

@@ -19,10 +19,11 @@ def read_assigned(spark: SparkSession, path: str, **options: str) -> DataFrame:
 def minute_view(assigned: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     """Closed flush intervals; each is emitted once, when the watermark has passed its end.
 
-    A batch that the writer of `assigned` had to repeat may be read twice; its keys are dropped
-    the second time.
+    A batch that the writer of `assigned` had to repeat may be read twice; its rows, known by
+    batch and number, are dropped the second time.
     """
-    once = assigned.withWatermark("ts", settings.watermark).dropDuplicatesWithinWatermark(["key"])
+    timed = assigned.withWatermark("ts", settings.watermark)
+    once = timed.dropDuplicatesWithinWatermark(["batch_id", "row"])
     return topic_view(once, "label", settings)
 
 

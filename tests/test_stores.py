@@ -113,6 +113,9 @@ def test_row_counts(spark):
 
 
 def test_only_small_tables_are_spread(spark):
-    df = spark.range(10).withColumnRenamed("id", "k")
-    assert tables.spread(df, "k").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    assert tables.spread(df, "k", Settings(spread_below_bytes=1)) is df
+    path = workspace(spark, "table")
+    spark.range(10).withColumnRenamed("id", "k").coalesce(1).write.parquet(path)
+    spread = tables.scan_spread(spark, path, "k", "k")
+    assert spread.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    kept = tables.scan_spread(spark, path, "k", "k", settings=Settings(spread_below_bytes=1))
+    assert "Exchange" not in kept._jdf.queryExecution().executedPlan().toString()

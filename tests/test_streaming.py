@@ -135,6 +135,35 @@ def test_repeated_batch_changes_nothing(spark):
     assert {k: v[:2] for k, v in before.items()} == in_batch(spark, rows)
 
 
+def test_copies_with_one_key_all_count(spark):
+    root = workspace(spark, "stream")
+    publish(spark, root)
+    copy = ("same", "word1 word2", ["s1", "x"], BASE + 5, "DE")
+    other = ("other", "word1", ["s1"], BASE + 6, "DE")
+    rows = [to_message(spark, copy)] * 5 + [to_message(spark, other)]
+    job = Pipeline(root, seeds(spark), TopicModel(f"{root}/model", settings=SETTINGS), SETTINGS)
+    messages = spark.createDataFrame(rows, "key string, value string").repartition(3).persist()
+    job.process(messages, 0)
+    stored = spark.read.parquet(f"{root}/assigned")
+    assert Counter(r.key for r in stored.collect()) == {"same": 5, "other": 1}
+    assert view.topic_view(stored).agg(F.sum("count")).first()[0] == 6
+
+
+def test_hot_second_and_hot_tag(spark):
+    """Two thirds of the posts in one second, half of all tags one tag."""
+    root = workspace(spark, "stream")
+    publish(spark, root)
+    draw = random.Random(8)
+    rows = [
+        (f"h{i}", "word1", ["s1", "hot", "hot"] if i % 3 == 0 else ["hot", f"t{draw.randint(0, 500)}"],
+         BASE + (100 if i % 3 else draw.randint(0, 200)), None)
+        for i in range(900)
+    ]
+    deliver(spark, rows, f"{root}/landing")
+    run(spark, root)
+    assert {k: v[:2] for k, v in assigned(spark, root).items()} == in_batch(spark, rows)
+
+
 def test_state_holds_only_what_can_be_looked_back_to(spark):
     root = workspace(spark, "stream")
     job = Pipeline(root, seeds(spark), TopicModel(f"{root}/model", settings=SETTINGS), SETTINGS)
