@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark import StorageLevel
 from pyspark.ml.clustering import LDA, LDAModel
 from pyspark.ml.feature import CountVectorizerModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -71,16 +74,21 @@ def fit_topics(
 
 
 def describe_topics(model: LDAModel, words: list[str]) -> DataFrame:
-    """(word, topic, weight) over the full vocabulary, one row per word and topic."""
-    spark = SparkSession.active()
-    terms = spark.createDataFrame(list(enumerate(words)), "term int, word string")
+    """(word, topic, weight) over the full vocabulary, one row per word and topic.
+
+    The terms are broadcast: they come from the driver and are at most vocabulary_size words.
+    """
+    terms = SparkSession.active().createDataFrame(
+        pd.DataFrame({"term": np.arange(len(words), dtype="int32"), "word": words}),
+        "term int, word string",
+    )
     described = model.describeTopics(len(words))
     return (
         described.select(
             F.col("topic").cast("int").alias("topic"),
             F.explode(F.arrays_zip("termIndices", "termWeights")).alias("t"),
         )
-        .join(terms, F.col("t.termIndices") == F.col("term"))
+        .join(F.broadcast(terms), F.col("t.termIndices") == F.col("term"))
         .select("word", "topic", F.col("t.termWeights").alias("weight"))
     )
 
@@ -146,8 +154,6 @@ def evaluate(model: LDAModel, vectors: DataFrame) -> DataFrame:
 
 def topic_mixture(model: LDAModel, vectors: DataFrame, key: str = "key") -> DataFrame:
     """(key, topic, share) for every topic of each document."""
-    from pyspark.ml.functions import vector_to_array
-
     mixed = model.transform(vectors).select(
         key, vector_to_array("topicDistribution").alias("shares")
     )

@@ -183,12 +183,12 @@ def w4_stream_feedback(spark, sf_dir):
     The second delivery needs the first one's buckets to promote the same tags as a batch run.
     """
     root = workspace(spark, "stream")
-    models.publish(fixtures.word_topics(spark, sf_dir), f"{root}/model")
+    model_root = fixtures.model_root(spark, sf_dir)
     posts = fixtures.posts(spark, sf_dir)
     middle = posts.agg(F.avg("sec")).first()[0]
     for part in (F.col("sec") <= middle, F.col("sec") > middle):
         _landed(spark, posts.filter(part), f"{root}/landing")
-        job = Pipeline(root, fixtures.tag_list(spark), TopicModel(f"{root}/model"))
+        job = Pipeline(root, fixtures.tag_list(spark), TopicModel(model_root))
         messages = read_messages(spark, "parquet", f"{root}/landing")
         control.finish(control.start(job.writer(messages), once=True))
     return tables.scan(spark, f"{root}/assigned").select("key", "match_kind", "topic", "label")

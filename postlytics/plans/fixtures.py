@@ -56,13 +56,17 @@ def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(spark, _stored(spark, sf_dir, "posts", write))
 
 
-def stored_model(spark: SparkSession, sf_dir: str) -> models.Model:
-    """The stand-in weights as a published model."""
+def model_root(spark: SparkSession, sf_dir: str) -> str:
+    """Where the stand-in weights are published as a model."""
 
     def write(path: str) -> None:
         models.publish(word_topics(spark, sf_dir), path)
 
-    return models.load(spark, _stored(spark, sf_dir, "model", write))
+    return _stored(spark, sf_dir, "model", write)
+
+
+def stored_model(spark: SparkSession, sf_dir: str) -> models.Model:
+    return models.load(spark, model_root(spark, sf_dir))
 
 
 def posts_of(documents: DataFrame) -> DataFrame:

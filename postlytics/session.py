@@ -25,16 +25,20 @@ def build_session(app: str = "postlytics", master: str | None = None, **conf: st
     return builder.getOrCreate()
 
 
+_LOCAL_ROOTS: dict[str, str] = {}
+
+
 def shared_root(spark: SparkSession) -> str:
-    """The folder named by `spark.checkpoint.dir`; a fresh local one only in local mode."""
+    """The folder named by `spark.checkpoint.dir`; where unset, a fresh one, in local mode only."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-    root = tempfile.mkdtemp(prefix="postlytics-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    if context.applicationId not in _LOCAL_ROOTS:
+        _LOCAL_ROOTS[context.applicationId] = tempfile.mkdtemp(prefix="postlytics-")
+    return _LOCAL_ROOTS[context.applicationId]
 
 
 def workspace(spark: SparkSession, name: str) -> str:

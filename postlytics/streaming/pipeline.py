@@ -94,31 +94,36 @@ class Pipeline:
             parsed.unpersist()
 
     def _accept_and_score(self, posts: DataFrame, batch_id: int) -> None:
-        spark, keep = posts.sparkSession, StorageLevel.MEMORY_AND_DISK
+        spark, settings = posts.sparkSession, self.settings
         split = split_tags(posts, self.seeds, "row")
         tag_state = WindowState(spark, self.path("tag_state"), "tag", "sec")
         total_state = WindowState(spark, self.path("total_state"), "sec")
-        tag_buckets = merge_buckets(
-            other_tag_buckets(split, probes=True), tag_state.before(batch_id), "tag", "sec"
-        ).persist(keep)
-        totals = merge_buckets(
-            total_buckets(split, probes=True), total_state.before(batch_id), "sec"
-        ).persist(keep)
-        last, seconds = totals.agg(F.max("sec"), F.count("sec")).first()
-        marked = mark_accepted(
-            split, tag_buckets, totals, self.settings, key="row", seconds=seconds
-        ).persist(keep)
-        # a later batch may hold posts this late, each with a full window before it
-        horizon = (last or 0) - self.settings.window_seconds - self.settings.watermark_seconds
+        held: list[DataFrame] = []
+
+        def hold(table: DataFrame) -> DataFrame:
+            held.append(table.persist(StorageLevel.MEMORY_AND_DISK))
+            return held[-1]
+
         try:
+            now, before = other_tag_buckets(split, probes=True), tag_state.before(batch_id)
+            tag_buckets = hold(merge_buckets(now, before, "tag", "sec"))
+            now, before = total_buckets(split, probes=True), total_state.before(batch_id)
+            totals = hold(merge_buckets(now, before, "sec"))
+            last, seconds = totals.agg(F.max("sec"), F.count("sec")).first()
+            marked = hold(
+                mark_accepted(split, tag_buckets, totals, settings, key="row", seconds=seconds)
+            )
             write_batch(marked.agg(*funnel_columns()), self.path("funnel"), batch_id)
+            # a later batch may hold posts this late, each with a full window before it
+            horizon = (last or 0) - settings.window_seconds - settings.watermark_seconds
             tag_state.save(tag_buckets, batch_id, horizon)
             total_state.save(totals, batch_id, horizon)
-            kept = accepted(marked).select("row", *CARRIED, clean_words(F.col("text")).alias("words"))
+            words = clean_words(F.col("text")).alias("words")
+            kept = hold(accepted(marked).select("row", *CARRIED, words))
             append_corpus(kept, self.path("corpus"), batch_id, F.unix_millis(F.current_timestamp()))
             write_batch(self._assign(kept), self.path("assigned"), batch_id)
         finally:
-            for table in (marked, totals, tag_buckets):
+            for table in held:
                 table.unpersist()
         tag_state.forget(batch_id)
         total_state.forget(batch_id)
