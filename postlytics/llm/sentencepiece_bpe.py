@@ -166,13 +166,14 @@ class Coder:
         """A pattern that cuts texts where no piece spans the border; None if spaces end pieces.
 
         Parts between such borders are encoded alone, with the same result: before a space that
-        follows something else, and around characters that no longer piece has.
+        follows something else, and around characters that no longer piece has. Spaces are not
+        yet escaped where it applies.
         """
         pairs = {pair for text in self.split for pair in itertools.pairwise(text)}
         if any(a != SPACE and b == SPACE for a, b in pairs):
             return None
         alone = "".join(c for c in "\n\t" if not any(c in pair for pair in pairs))
-        parts = [f"{SPACE}*[^{SPACE}{alone}]+", f"{SPACE}+"] + ([f"[{alone}]"] if alone else [])
+        parts = [f" *[^ {alone}]+", " +"] + ([f"[{alone}]"] if alone else [])
         return re.compile("|".join(parts))
 
     def _longest_prefix(self, text: str) -> str:
@@ -180,12 +181,9 @@ class Coder:
 
     def fits(self, left: str, right: str) -> bool:
         """Would merging the joined text end with exactly these two tokens?"""
-        key = (left, right)
-        known = self.follows.get(key)
-        if known is None:
-            if len(self.follows) >= CACHED_SEGMENTS:
-                self.follows.clear()
-            known = self.follows[key] = self._fits(left, right)
+        if len(self.follows) >= CACHED_SEGMENTS:
+            self.follows.clear()
+        known = self.follows[left, right] = self._fits(left, right)
         return known
 
     def _fits(self, left: str, right: str) -> bool:
@@ -206,48 +204,48 @@ class Coder:
 
     def tokens(self, text: str) -> list[str]:
         """Tokens of a text whose spaces are escaped; characters without a piece stay alone."""
-        size = len(text)
+        size, follows, shorter = len(text), self.follows, self.shorter
         longest = list(text)
-        for end, token in self.automaton.iter(text):
-            start = end + 1 - len(token)
-            if len(token) > len(longest[start]):
-                longest[start] = token
+        for end, token in self.automaton.iter(text):  # by rising ends, so the last one is the longest
+            longest[end + 1 - len(token)] = token
         open_end = bytearray(b"\x01") * (size + 1)  # 0: no token may end here any more
         found: list[str] = []
-        at, token = 0, longest[0] if size else None
-        while token is not None:
-            last = found[-1] if found else None
-            while True:
-                end = at + len(token)
-                if open_end[end] and (last is None or self.fits(last, token)):
-                    found.append(token)
-                    at, token = end, longest[end] if end < size else None
+        last, at, token = "", 0, longest[0] if size else ""
+        while token:
+            end = at + len(token)
+            while not open_end[end] or (
+                last and not (self.fits(last, token) if (fit := follows.get((last, token))) is None else fit)
+            ):
+                token = shorter.get(token, "")
+                if not token:
                     break
-                if len(token) > 1:
-                    token = self.shorter[token]
-                    continue
+                end = at + len(token)
+            if token:
+                found.append(token)
+                last, at, token = token, end, longest[end] if end < size else ""
+            else:  # nothing fits here: the last token is taken back and a shorter one tried
                 open_end[at] = 0
-                found.pop()
-                at, token = at - len(last), last
-                break
+                token = found.pop()
+                at -= len(token)
+                last = found[-1] if found else ""
         return found
 
     def _ids_of(self, segment: str) -> tuple[int, ...]:
-        ids: list[int] = []
-        for token in self.tokens(segment):
-            known = self.ids.get(token)
-            if known is not None:
-                ids.append(known)
-            elif self.bytes:
-                ids += [self.bytes[b] for b in token.encode("utf-8", "replace")]
-            else:
-                ids.append(self.unknown)
-        return tuple(ids)
+        tokens = self.tokens(segment)
+        try:
+            return tuple([self.ids[token] for token in tokens])
+        except KeyError:
+            return tuple(itertools.chain.from_iterable(map(self._ids_of_token, tokens)))
+
+    def _ids_of_token(self, token: str) -> list[int]:
+        if token in self.ids:
+            return [self.ids[token]]
+        return [self.bytes[b] for b in token.encode("utf-8", "replace")] if self.bytes else [self.unknown]
 
     def _segment(self, segment: str) -> tuple[int, ...]:
         ids = self.cache.get(segment)
         if ids is None:
-            ids = self._ids_of(segment)
+            ids = self._ids_of(segment.replace(" ", SPACE))
             if len(segment) <= CACHED_LENGTH:
                 if len(self.cache) >= CACHED_SEGMENTS:
                     self.cache.clear()
@@ -257,10 +255,10 @@ class Coder:
     def encode(self, text: str | None) -> list[int]:
         if not text:
             return []
-        escaped = text.replace(" ", SPACE)
+        plain = text.replace(SPACE, " ")  # both are escaped alike
         if self.dummy_prefix:
-            escaped = SPACE + escaped
-        segments = self.segments.findall(escaped) if self.segments else [escaped]
+            plain = " " + plain
+        segments = self.segments.findall(plain) if self.segments else [plain]
         return list(itertools.chain.from_iterable(map(self._segment, segments)))
 
     def decode(self, ids: list[int] | None) -> str:
@@ -310,8 +308,11 @@ def decoder(model: Model):
     def decode(ids: pa.Array) -> pa.Array:
         coder = coder_of(key, shared.value)
         texts: list[str] = []
-        for values in in_slices(ids):
-            texts += map(coder.decode, values)
+        for at in range(0, len(ids), 256):
+            part = ids.slice(at, 256)
+            offsets = part.offsets.to_numpy()
+            flat = part.values.slice(offsets[0], offsets[-1] - offsets[0]).to_numpy().tolist()
+            texts += [coder.decode(flat[a:b]) for a, b in itertools.pairwise((offsets - offsets[0]).tolist())]
         return pa.array(texts, pa.string())
 
     return decode
