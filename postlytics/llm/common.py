@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from postlytics.session import shared_root, workspace
 
@@ -51,11 +52,17 @@ def in_slices(column: pa.Array, rows: int = 256) -> Iterator[list]:
         yield column.slice(start, rows).to_pylist()
 
 
-def fitted(batch_rows: Callable[[list], list], column: pa.Array, kind: pa.DataType) -> pa.Array:
-    """One result per value of a column, computed slice by slice."""
-    parts = [pa.array(batch_rows(values), kind) for values in in_slices(column)]
-    return pa.concat_arrays(parts) if parts else pa.array([], kind)
+def text_function(row: Callable[[str | None], object], kind: T.DataType):
+    """A column function that gives one value of the kind for every text, whatever its length."""
 
+    @F.arrow_udf(kind)
+    def apply(text: pa.Array) -> pa.Array:
+        arrow = to_arrow_type(kind)
+        parts = [pa.array([row(value) for value in values], arrow) for values in in_slices(text)]
+        return pa.concat_arrays(parts) if parts else pa.array([], arrow)
 
-def sha256_hex(value: str) -> str:
-    return hashlib.sha256(value.encode("utf-8", "surrogatepass")).hexdigest()
+    return apply
+
+
+# bytes A-Z to a-z; all others, and so every other character of UTF-8, stay
+LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
