@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from postlytics.llm import chat, licenses, quality, secrets, sentencepiece_bpe, simhash, url_filter
+from postlytics.llm import (
+    chat,
+    decontaminate,
+    langid,
+    licenses,
+    quality,
+    secrets,
+    sentencepiece_bpe,
+    simhash,
+    url_filter,
+    warc_zip,
+)
 from postlytics.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -89,3 +100,35 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_report(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_zip.archive_report(table(spark, sf_dir, "pages"))
+
+
+STATEMENTS["op5_warc_zip"] = """
+WITH payloads AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+    sha256(coalesce(html, '')) AS payload_digest
+  FROM pages
+), firsts AS (
+  SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) END AS first_id
+  FROM payloads
+)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+  CASE WHEN first_id <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN first_id <> page_id THEN first_id END AS refers_to
+FROM firsts
+"""
+
+
+@query
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return langid.predicted(docs, langid.train(docs))
