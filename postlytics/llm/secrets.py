@@ -30,7 +30,7 @@ HEX = r"[0-9a-f]{24,}"
 KINDS = ("assign", "access", "hex", "random")
 MIN_VALUE = 6
 
-RUN = r"[A-Za-z0-9+/_=-]{20,}"
+RUN = r"[A-Za-z0-9+/_-]{20,}={0,2}"
 DIGITS, LOWER, UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 # Encodings by the pattern that a run must match, most special first; each needs
 # letters and digits, as words and numbers alone are no code.
