@@ -14,6 +14,8 @@ from postlytics.session import shared_root, workspace
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table; its texts will pass to Python in small batches."""
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -46,6 +48,17 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+# Rows that the JVM hands to Python at once; Spark's default of 10,000 is meant for short rows.
+BATCH_ROWS = 256
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Keep batches of whole texts small, unless the session already has smaller ones."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(name, "10000")) > BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def in_slices(column: pa.Array, rows: int = 256) -> Iterator[list]:
     """Python values of a column, few rows at a time, so that long texts are not all held twice."""
     for start in range(0, len(column), rows):
@@ -55,6 +68,8 @@ def in_slices(column: pa.Array, rows: int = 256) -> Iterator[list]:
 def text_function(row: Callable[[str | None], object], kind: T.DataType):
     """A column function that gives one value of the kind for every text, whatever its length."""
 
+    small_batches(SparkSession.active())
+
     @F.arrow_udf(kind)
     def apply(text: pa.Array) -> pa.Array:
         arrow = to_arrow_type(kind)

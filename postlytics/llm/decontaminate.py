@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from postlytics.llm.common import in_slices, saved, text_function
+from postlytics.llm.common import in_slices, saved, small_batches, text_function
 
 WORD = re.compile(r"[^\W_]+")
 
@@ -225,6 +225,7 @@ def contaminated(docs: DataFrame, items: DataFrame, settings: Settings = Setting
     give none; a null doc_id or item_id is carried.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     weighted = saved(weighted_items(items, settings), "weighted-items")
     chars = weighted.agg(F.sum(F.char_length("text"))).first()[0] or 0
     shards = max(1, -(-chars // settings.shard_chars))

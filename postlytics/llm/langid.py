@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from postlytics.llm.common import in_slices
+from postlytics.llm.common import in_slices, small_batches
 
 UNKNOWN = "und"
 LETTER = re.compile(r"[^\W\d_]")
@@ -257,6 +257,7 @@ def predicted(docs: DataFrame, network: Network) -> DataFrame:
     A null or empty text, and one without a letter, is `und` with score 0; a row without doc_id is
     not held out. Repeated rows each give a row.
     """
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(network)
 
     @F.arrow_udf("struct<lang:string,score:double>")

@@ -249,6 +249,10 @@ def _scanned(docs: DataFrame, battery: Battery) -> DataFrame:
     )
 
 
+def _has_rank(rank: int):
+    return lambda span: span["rank"] == rank
+
+
 def secret_report(docs: DataFrame, battery: Battery = Battery()) -> DataFrame:
     """(doc_id, n_assign, n_access, n_hex, base_sha256, spans) per row; null texts are empty.
 
@@ -258,7 +262,7 @@ def secret_report(docs: DataFrame, battery: Battery = Battery()) -> DataFrame:
     bounds = dismissal_bounds(scanned.select(F.explode("runs").alias("run")).select("run.*"), battery)
     spans = F.array_sort(F.concat("base", random_spans(F.col("runs"), bounds)))
     counts = [
-        F.size(F.filter("base", lambda s, rank=rank: s["rank"] == rank)).cast("long").alias(f"n_{kind}")
+        F.size(F.filter("base", _has_rank(rank))).cast("long").alias(f"n_{kind}")
         for rank, kind in enumerate(KINDS[:3])
     ]
     return scanned.select(
@@ -286,8 +290,10 @@ def redacted(docs: DataFrame, mark: str = "[SECRET]", battery: Battery = Battery
         ),
         lambda state: F.concat(state["out"], F.substring(text, state["at"] + 1, F.char_length(text))),
     )
-    clean = F.when(F.size(spans) > 0, cut).otherwise(text)
-    changed = {"text": clean, "n_chars": F.char_length(clean)}
-    return docs.select(*[
-        changed[f.name].cast(f.dataType).alias(f.name) if f.name in changed else F.col(f"`{f.name}`") for f in docs.schema
+    row = F.struct(*[F.col(f"`{name}`") for name in docs.columns])
+    changed = docs.select(row.alias("row"), F.when(F.size(spans) > 0, cut).otherwise(text).alias("clean"))
+    values = {"text": F.col("clean"), "n_chars": F.char_length("clean")}
+    return changed.select(*[
+        values.get(field.name, F.col(f"row.`{field.name}`")).cast(field.dataType).alias(field.name)
+        for field in docs.schema
     ])

@@ -26,14 +26,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postlytics.llm.common import in_slices
+from postlytics.llm.common import in_slices, small_batches
 
 # Fixed values of the model format.
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 
-# Segments kept by a worker with their ids; the table is emptied when it is full.
-CACHED_SEGMENTS = 600_000
+# Segments kept by a worker with their ids, and pairs of tokens; a table is emptied when it is full.
+CACHED_SEGMENTS = 500_000
+CACHED_PAIRS = 200_000
 CACHED_LENGTH = 64
 
 
@@ -108,6 +109,29 @@ def _one_byte(error: UnicodeDecodeError) -> tuple[str, int]:
 codecs.register_error("postlytics_one_byte", _one_byte)
 
 
+class _Segments(dict):
+    """Ids of segments that were seen; others are encoded when they are asked for.
+
+    The last character, often a comma or full stop, is encoded alone where no piece spans the
+    place before it; `pairs` are the neighbours that pieces have.
+    """
+
+    def __init__(self, encode, pairs: set[tuple[str, str]]) -> None:
+        super().__init__()
+        self.encode, self.pairs = encode, pairs
+
+    def __missing__(self, segment: str) -> tuple[int, ...]:
+        if 2 < len(segment) <= CACHED_LENGTH and segment[-2] != " " and (segment[-2], segment[-1]) not in self.pairs:
+            ids = self[segment[:-1]] + self[segment[-1]]
+        else:
+            ids = self.encode(segment.replace(" ", SPACE))
+        if len(segment) <= CACHED_LENGTH:
+            if len(self) >= CACHED_SEGMENTS:
+                self.clear()
+            self[segment] = ids
+        return ids
+
+
 class Coder:
     """Tables of a model. `rank` orders merges: lower ones come first, equal ones from the left."""
 
@@ -127,8 +151,9 @@ class Coder:
             self.automaton.add_word(text, text)
         self.automaton.make_automaton()
         self.shorter = {text: self._longest_prefix(text) for text in self.split}
+        self.pairs = {pair for text in self.split for pair in itertools.pairwise(text)}
         self.segments = self._segments()
-        self.cache: dict[str, tuple[int, ...]] = {}
+        self.cache = _Segments(self._ids_of, self.pairs)
         self.follows: dict[tuple[str, str], bool] = {}
         self.surface = [self._surface(text, kind) for text, _, kind in model.pieces]
         self.starts_with_space = {i for i, (text, _, kind) in enumerate(model.pieces) if kind == NORMAL and text.startswith(SPACE)}
@@ -169,10 +194,9 @@ class Coder:
         follows something else, and around characters that no longer piece has. Spaces are not
         yet escaped where it applies.
         """
-        pairs = {pair for text in self.split for pair in itertools.pairwise(text)}
-        if any(a != SPACE and b == SPACE for a, b in pairs):
+        if any(a != SPACE and b == SPACE for a, b in self.pairs):
             return None
-        alone = "".join(c for c in "\n\t" if not any(c in pair for pair in pairs))
+        alone = "".join(c for c in "\n\t" if not any(c in pair for pair in self.pairs))
         parts = [f" *[^ {alone}]+", " +"] + ([f"[{alone}]"] if alone else [])
         return re.compile("|".join(parts))
 
@@ -181,7 +205,7 @@ class Coder:
 
     def fits(self, left: str, right: str) -> bool:
         """Would merging the joined text end with exactly these two tokens?"""
-        if len(self.follows) >= CACHED_SEGMENTS:
+        if len(self.follows) >= CACHED_PAIRS:
             self.follows.clear()
         known = self.follows[left, right] = self._fits(left, right)
         return known
@@ -242,16 +266,6 @@ class Coder:
             return [self.ids[token]]
         return [self.bytes[b] for b in token.encode("utf-8", "replace")] if self.bytes else [self.unknown]
 
-    def _segment(self, segment: str) -> tuple[int, ...]:
-        ids = self.cache.get(segment)
-        if ids is None:
-            ids = self._ids_of(segment.replace(" ", SPACE))
-            if len(segment) <= CACHED_LENGTH:
-                if len(self.cache) >= CACHED_SEGMENTS:
-                    self.cache.clear()
-                self.cache[segment] = ids
-        return ids
-
     def encode(self, text: str | None) -> list[int]:
         if not text:
             return []
@@ -259,7 +273,7 @@ class Coder:
         if self.dummy_prefix:
             plain = " " + plain
         segments = self.segments.findall(plain) if self.segments else [plain]
-        return list(itertools.chain.from_iterable(map(self._segment, segments)))
+        return list(itertools.chain.from_iterable(map(self.cache.__getitem__, segments)))
 
     def decode(self, ids: list[int] | None) -> str:
         if ids is None or not len(ids):
@@ -326,6 +340,7 @@ def _shared(model: Model):
 
 def encode_texts(docs: DataFrame, model: Model, text: str = "text", ids: str = "ids") -> DataFrame:
     """All columns and the token ids of the whole text in a new column; an `ids` column is replaced."""
+    small_batches(docs.sparkSession)
     return docs.withColumn(ids, encoder(model)(F.col(text).cast("string")))
 
 

@@ -21,7 +21,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,27 +36,40 @@ PAIRS = ((0, 1), (0, 2), (1, 2))
 CHUNK = 1 << 15
 
 
-def fingerprint(text: str | None, size: int = 3) -> int:
-    """SimHash of the word shingles as a signed long; a text without words has 0."""
+def fingerprints(text: str | None, size: int = 3, prints: int = 1) -> list[int]:
+    """SimHashes of the word shingles as signed longs; a text without words has zeros.
+
+    The first is by the shingle hash itself, each further one by another mix of it.
+    """
     words = (text or "").encode("utf-8", "surrogatepass").translate(LOWER).split()
     if not words:
-        return 0
+        return [0] * prints
     joined = b" ".join(words)
     ends = np.cumsum([len(word) + 1 for word in words]) - 1
     starts = np.concatenate([[0], ends[:-1] + 1])
     size = min(size, len(words))
     starts, ends = starts[: len(words) - size + 1].tolist(), ends[size - 1 :].tolist()
-    counts = np.zeros(64, np.int64)
+    counts = np.zeros((prints, 64), np.int64)
     for at in range(0, len(starts), CHUNK):
         spans = zip(starts[at : at + CHUNK], ends[at : at + CHUNK])
-        hashes = np.array([xxhash.xxh64_intdigest(joined[a:b], SEED) for a, b in spans], ">u8")
-        counts += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
-    bits = np.packbits(counts * 2 > len(starts))
-    return int(bits.view(">i8")[0])
+        hashes = np.array([xxhash.xxh64_intdigest(joined[a:b], SEED) for a, b in spans], np.uint64)
+        for number in range(prints):
+            bits = (_mixed(hashes, number) if number else hashes).astype(">u8").view(np.uint8)
+            counts[number] += np.unpackbits(bits.reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+    return np.packbits(counts * 2 > len(starts), axis=1).view(">i8").ravel().tolist()
+
 
+def _mixed(hashes: np.ndarray, number: int) -> np.ndarray:
+    """A one-to-one mix of hashes (multiply and shift), different for every number."""
+    mixed = hashes + np.uint64(number * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        mixed = (mixed ^ (mixed >> np.uint64(shift))) * np.uint64(factor)
+    return mixed ^ (mixed >> np.uint64(31))
 
-def fingerprint_of(text: str, size: int = 3) -> Column:
-    return text_function(lambda value: fingerprint(value, size), T.LongType())(F.col(text).cast("string"))
+
+def fingerprints_of(text: str, size: int = 3, prints: int = 1) -> Column:
+    kind = T.ArrayType(T.LongType())
+    return text_function(lambda value: fingerprints(value, size, prints), kind)(F.col(text).cast("string"))
 
 
 def _remainder(words: np.ndarray) -> np.ndarray:
@@ -133,27 +146,22 @@ def _distance(a: str, b: str) -> Column:
 
 
 def links(prints: DataFrame, max_distance: int = 3) -> DataFrame:
-    """(a, b): links that join all distinct fingerprints `fp` within the distance, 3 or 5 at most.
+    """(which, a, b): links that join all distinct fingerprints (which, fp) of the same `which`.
 
-    Every pair within the distance is connected by the result, and each row is such a pair.
+    Every pair within the distance, 3 or 5 at most, is connected by the result, and each row is
+    such a pair. `which` numbers the kind of fingerprint, from 0.
     """
     if max_distance > 5:
         raise ValueError("the segments cover up to five errors")
-    stored_keys = exact_keys if max_distance <= 3 else fuzzy_keys
-    bucket = F.min("b").over(_by_key())
-    stored = prints.select(F.col("fp").alias("b"), F.explode(_key_column(stored_keys)("fp")).alias("key"))
-    probes = prints.select(F.col("fp").alias("a"), F.explode(_key_column(fuzzy_keys)("fp")).alias("key"))
-    met = stored.withColumn("pivot", bucket).join(probes, "key")
+    key = (F.shiftleft(F.col("which").cast("long"), 26) + F.col("key")).alias("key")
+    stored_keys = _key_column(exact_keys if max_distance <= 3 else fuzzy_keys)
+    stored = prints.select("which", "fp", F.explode(stored_keys("fp")).alias("key")).select("which", F.col("fp").alias("b"), key)
+    probes = prints.select("which", "fp", F.explode(_key_column(fuzzy_keys)("fp")).alias("key")).select(F.col("fp").alias("a"), key)
+    met = stored.withColumn("pivot", F.min("b").over(Window.partitionBy("key"))).join(probes, "key")
     by_pivot = (_distance("a", "pivot") <= max_distance) & (_distance("b", "pivot") <= max_distance)
     wanted = (F.col("b") == F.col("pivot")) | ((F.col("a") < F.col("b")) & ~by_pivot)
     found = met.filter((F.col("a") != F.col("b")) & (_distance("a", "b") <= max_distance) & wanted)
-    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-
-
-def _by_key():
-    from pyspark.sql import Window
-
-    return Window.partitionBy("key")
+    return found.select("which", F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
@@ -162,7 +170,8 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     Rounds of large-star and small-star contraction; the number of rounds grows with the logarithm
     of the longest path. Each round is saved by a reliable checkpoint.
     """
-    edges = checkpointed(edges.select("a", "b").filter("a <> b").distinct())
+    ordered = edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    edges = checkpointed(ordered.filter("a <> b").distinct())
     state = None
     for _ in range(max_rounds):
         signature = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
@@ -192,20 +201,42 @@ def _small_star(edges: DataFrame) -> DataFrame:
     )
 
 
-def groups(docs: DataFrame, size: int = 3, max_distance: int = 3) -> DataFrame:
-    """(doc_id, fp, component_id) per row of `docs`.
+def print_edges(prints: DataFrame, max_distance: int = 3) -> DataFrame:
+    """(a, b): edges between first fingerprints of the distinct rows of (prints array<long>).
+
+    Texts are linked when any of their fingerprints are. Each value of a further fingerprint is
+    stood for by the smallest first one that has it, and the others that share it link to that.
+    """
+    rows = prints.select("prints").distinct()
+    each = rows.select(F.col("prints")[0].alias("first"), F.posexplode("prints").alias("which", "fp"))
+    found = links(each.select("which", "fp").distinct(), max_distance)
+    stand = each.groupBy("which", "fp").agg(F.min("first").alias("stand"))
+    shared = each.join(stand, ["which", "fp"]).filter("first <> stand").select(F.col("first").alias("a"), F.col("stand").alias("b"))
+    left = stand.select("which", F.col("fp").alias("a"), F.col("stand").alias("stand_a"))
+    right = stand.select("which", F.col("fp").alias("b"), F.col("stand").alias("stand_b"))
+    linked = found.join(left, ["which", "a"]).join(right, ["which", "b"]).select("stand_a", "stand_b")
+    return linked.union(shared)
+
+
+def groups(docs: DataFrame, size: int = 3, max_distance: int = 3, prints: int = 1) -> DataFrame:
+    """(doc_id, fp, component_id) per row of `docs`; fp is the first of the fingerprints.
 
     Null texts and texts without words have fingerprint zero and are linked like any other. The
     component is named by its smallest doc_id; rows without doc_id take part but name none, so a
     component of such rows alone has a null name. Repeated rows each give a row.
     """
-    prints = saved(docs.select("doc_id", fingerprint_of("text", size).alias("fp")), "simhash")
-    first = prints.groupBy("fp").agg(F.min("doc_id").alias("first_doc"))
-    label = components(links(prints.select("fp").distinct(), max_distance)).withColumnRenamed("node", "fp")
+    found = saved(docs.select("doc_id", fingerprints_of("text", size, prints).alias("prints")), "simhash")
+    found = found.withColumn("fp", F.col("prints")[0])
+    if prints == 1:
+        edges = links(found.select(F.lit(0).alias("which"), "fp").distinct(), max_distance)
+    else:
+        edges = print_edges(found, max_distance).toDF("a", "b")
+    first = found.groupBy("fp").agg(F.min("doc_id").alias("first_doc"))
+    label = components(edges).withColumnRenamed("node", "fp")
     labelled = first.join(label, "fp", "left").select("fp", "first_doc", F.coalesce("label", "fp").alias("label"))
     named = labelled.groupBy("label").agg(F.min("first_doc").alias("component_id"))
     of_print = labelled.join(named, "label").select("fp", "component_id")
-    return prints.join(of_print, "fp").select("doc_id", "fp", "component_id")
+    return found.select("doc_id", "fp").join(of_print, "fp").select("doc_id", "fp", "component_id")
 
 
 def fingerprint_report(docs: DataFrame) -> DataFrame:
@@ -214,16 +245,16 @@ def fingerprint_report(docs: DataFrame) -> DataFrame:
     return groups(docs).select("doc_id", fingerprint_hex.alias("fingerprint"), "component_id")
 
 
-def one_of_each_group(docs: DataFrame, size: int = 5, max_distance: int = 5) -> DataFrame:
+def one_of_each_group(docs: DataFrame, size: int = 5, max_distance: int = 3, prints: int = 4) -> DataFrame:
     """The documents without near copies: of each group the one with the smallest doc_id stays.
 
-    Of rows that repeat that doc_id one stays. Rows without doc_id cannot be told apart and all
+    Several fingerprints of five-word shingles are compared, each within three bits: a pair that
+    close in one of them nearly always shares 0.8 of its shingles, and most pairs that share as
+    much are that close in one of several. Of rows that repeat that doc_id one stays. Rows without doc_id cannot be told apart and all
     stay. The columns, whatever their names, are those of `docs`.
     """
-    from pyspark.sql import Window
-
     chosen = (
-        groups(docs.select("doc_id", "text"), size, max_distance)
+        groups(docs.select("doc_id", "text"), size, max_distance, prints)
         .filter("doc_id = component_id")
         .select(F.col("doc_id").alias("chosen_id"))
         .distinct()

@@ -51,7 +51,7 @@ def test_random_ids_decode_like_library(coder, library):
         assert coder.decode(ids) == library.decode(ids)
 
 
-@pytest.mark.parametrize("text", ["", " ", " " * 50_000, "thereforth" * 10_000, "\n" * 999, "a" * 5000])
+@pytest.mark.parametrize("text", ["", " ", " " * 50_000, "thereforth" * 10_000, "\n" * 999, "a" * 5000, "ω漢" * 3000, "é" * 60 + "."])
 def test_long_and_empty_texts(coder, library, text):
     assert coder.encode(text) == library.encode(text)
 
