@@ -10,20 +10,22 @@ from postlytics.settings import DEFAULTS, Settings
 # Names of the follower buckets.
 SMALL, MEDIUM, LARGE = "Small", "Medium", "Large"
 
-# How message producers print dates. The first two come from Java's default locale
-# pattern before and after JDK 9, the last from the status feed (its weekday is cut off first).
+# How message producers print dates. The first is what our own
+# jobs write, the next two come from Java's default locale pattern before and after JDK 9, the last from the status feed (its weekday is cut off first).
 DATE_PATTERNS = (
+    "yyyy-MM-dd'T'HH:mm:ss[.SSS][XXX]",
     "MMM d, yyyy h:mm:ss a",
     "MMM d, yyyy, h:mm:ss a",
-    "yyyy-MM-dd'T'HH:mm:ss[.SSS][XXX]",
     "yyyy-MM-dd HH:mm:ss[.SSS]",
     "MMM dd HH:mm:ss Z yyyy",
 )
 
 
 def follower_group(followers: Column, settings: Settings = DEFAULTS) -> Column:
+    """The bucket of a follower count; null for an unknown one."""
     return (
-        F.when(followers <= settings.small_max_followers, SMALL)
+        F.when(followers.isNull(), F.lit(None).cast("string"))
+        .when(followers <= settings.small_max_followers, SMALL)
         .when(followers <= settings.medium_max_followers, MEDIUM)
         .otherwise(LARGE)
     )

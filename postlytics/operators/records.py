@@ -62,17 +62,32 @@ def record_json() -> Column:
     return F.to_json(F.struct(*schemas.RECORD.fieldNames()))
 
 
-def parse_messages(messages: DataFrame) -> DataFrame:
-    """Adds `record` and `bad`: texts that are no JSON object keep a null record and bad = true."""
+# reasons of the quarantine table
+NO_JSON, NO_DATE, FUTURE = "json", "date", "future"
+
+
+def parse_messages(messages: DataFrame, latest: Column | None = None) -> DataFrame:
+    """Adds `record`, `reason` and `bad`.
+
+    Texts that are no JSON object keep a null record. A message is bad for that reason, when its
+    date is given but fits no pattern, or, if `latest` is given, when its date lies after it.
+    """
     corrupt = "_corrupt"
     schema = T.StructType([*schemas.RECORD.fields, T.StructField(corrupt, T.StringType())])
     parsed = F.from_json(
         "value", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt}
     )
-    return messages.withColumn("_parsed", parsed).select(
-        *messages.columns,
-        F.col("_parsed").alias("record"),
-        (F.col("_parsed").isNull() | F.col(f"_parsed.{corrupt}").isNotNull()).alias("bad"),
+    created = F.col("_parsed.creationDate")
+    date = parse_date(created)
+    reason = F.when(F.col("_parsed").isNull() | F.col(f"_parsed.{corrupt}").isNotNull(), NO_JSON).when(
+        created.isNotNull() & date.isNull(), NO_DATE
+    )
+    if latest is not None:
+        reason = reason.when(date > latest, FUTURE)
+    return (
+        messages.withColumn("_parsed", parsed)
+        .select(*messages.columns, F.col("_parsed").alias("record"), reason.alias("reason"))
+        .withColumn("bad", F.col("reason").isNotNull())
     )
 
 
@@ -93,5 +108,5 @@ def good_posts(parsed: DataFrame, *carry: str) -> DataFrame:
 
 
 def bad_messages(parsed: DataFrame) -> DataFrame:
-    """Messages for the quarantine table."""
-    return parsed.filter("bad").select("key", "value")
+    """Messages for the quarantine table, each with its reason."""
+    return parsed.filter("bad").select("key", "value", "reason")

@@ -21,15 +21,22 @@ class TagList:
 
     @classmethod
     def of(cls, table: DataFrame, settings: Settings = DEFAULTS) -> TagList:
-        """`table` has one column `tag`. At most inline_list_limit + 1 rows reach the driver."""
+        """`table` has one column `tag` and may be empty; at most inline_list_limit + 1 rows reach the driver."""
         tags = table.select(F.lower("tag").alias("tag")).distinct()
         head = [r.tag for r in tags.limit(settings.inline_list_limit + 1).collect()]
-        if not head:
-            raise ValueError("the tag list is empty")
         small = len(head) <= settings.inline_list_limit
         return cls(tags, tuple(sorted(head)) if small else None)
 
 
+    @classmethod
+    def required(cls, table: DataFrame, settings: Settings = DEFAULTS) -> TagList:
+        """A list that must not be empty, such as the seeds of a job."""
+        found = cls.of(table, settings)
+        if found.values == ():
+            raise ValueError("the tag list is empty")
+        return found
+
+
 def has_tags(tags: Column) -> Column:
     return F.size(tags) > 0
 
@@ -41,6 +48,9 @@ def split_tags(posts: DataFrame, seeds: TagList, key: str = "key") -> DataFrame:
     adaptive execution picks broadcast or a skew-split sort-merge join by measured size; one
     group is then one post.
     """
+    if seeds.values == ():
+        none = F.array().cast(_NO_TAGS)
+        return posts.withColumns({"seed_tags": none, "other_tags": F.coalesce("tags", none)})
     if seeds.values is not None:
         return posts.withColumns({
             "seed_tags": F.filter("tags", lambda t: t.isin(*seeds.values)),
@@ -72,9 +82,10 @@ def without_seed_tag(split: DataFrame) -> DataFrame:
 
 
 def tracked(posts: DataFrame, seeds: TagList, settings: Settings = DEFAULTS) -> DataFrame:
-    """Ingest filter: one language and one of the first n seeds in sorted order."""
-    head = seeds.table.orderBy("tag").limit(settings.tracked_seeds)
-    wanted = TagList.of(head, settings)
+    """Ingest filter: one language and any of the seeds, or of the first n in sorted order if set."""
+    wanted = seeds
+    if settings.tracked_seeds is not None:
+        wanted = TagList.of(seeds.table.orderBy("tag").limit(settings.tracked_seeds), settings)
     return with_seed_tag(
         split_tags(posts.filter(F.col("language") == settings.tracked_language), wanted)
     )

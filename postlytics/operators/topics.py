@@ -30,18 +30,26 @@ def word_statistics(corpus: DataFrame) -> DataFrame:
 
 
 def vocabulary(corpus: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
-    """The most frequent words with enough documents, ties by word; bounded by vocabulary_size."""
-    return (
-        word_statistics(corpus)
-        .filter(F.col("df") >= settings.min_doc_freq)
-        .orderBy(F.desc("n"), "word")
-        .limit(settings.vocabulary_size)
-    )
+    """All words with enough documents, with their counts."""
+    return word_statistics(corpus).filter(F.col("df") >= settings.min_doc_freq)
+
 
+def vocabulary_words(vocab: DataFrame, settings: Settings = DEFAULTS) -> list[str]:
+    """The vocabulary in term order, by falling count, then word.
 
-def vocabulary_words(vocab: DataFrame) -> list[str]:
-    """The vocabulary in term order; at most vocabulary_size strings reach the driver."""
-    return [r.word for r in vocab.select("word", "n").orderBy(F.desc("n"), "word").collect()]
+    Spark ML takes it from the driver. More than vocabulary_size words are refused, not cut: the
+    count comes first, so no more than that many strings reach the driver.
+    """
+    kept = vocab.select("word", "n").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        found = kept.count()
+        if found > settings.vocabulary_size:
+            raise ValueError(
+                f"{found} words are more than vocabulary_size={settings.vocabulary_size}; raise min_doc_freq"
+            )
+        return [r.word for r in kept.orderBy(F.desc("n"), "word").collect()]
+    finally:
+        kept.unpersist()
 
 
 def term_vectors(corpus: DataFrame, words: list[str], key: str = "key") -> DataFrame:
@@ -73,8 +81,8 @@ def fit_topics(
         placed.unpersist()
 
 
-def describe_topics(model: LDAModel, words: list[str]) -> DataFrame:
-    """(word, topic, weight) over the full vocabulary, one row per word and topic.
+def describe_topics(model: LDAModel, words: list[str], terms_per_topic: int | None = None) -> DataFrame:
+    """(word, topic, weight), one row per topic and word: of all words, or of its heaviest ones.
 
     The terms are broadcast: they come from the driver and are at most vocabulary_size words.
     """
@@ -82,7 +90,7 @@ def describe_topics(model: LDAModel, words: list[str]) -> DataFrame:
         pd.DataFrame({"term": np.arange(len(words), dtype="int32"), "word": words}),
         "term int, word string",
     )
-    described = model.describeTopics(len(words))
+    described = model.describeTopics(terms_per_topic or len(words))
     return (
         described.select(
             F.col("topic").cast("int").alias("topic"),

@@ -194,6 +194,24 @@ def w4_stream_feedback(spark, sf_dir):
     return tables.scan(spark, f"{root}/assigned").select("key", "match_kind", "topic", "label")
 
 
+@query
+def w4_out_of_order(spark, sf_dir):
+    """As `w4_stream_feedback`, with a copy of every tenth post dated far ahead before all others.
+
+    The copies go to quarantine; were they let in, they would move the window state past all posts.
+    """
+    root = workspace(spark, "stream")
+    model_root = fixtures.model_root(spark, sf_dir)
+    posts = fixtures.posts(spark, sf_dir)
+    ahead = posts.filter("post_id % 10 = 0").withColumn("ts", F.col("ts") + F.expr("INTERVAL 900 YEAR"))
+    for part in (ahead, posts):
+        _landed(spark, part, f"{root}/landing")
+        job = Pipeline(root, fixtures.tag_list(spark), TopicModel(model_root))
+        messages = read_messages(spark, "parquet", f"{root}/landing")
+        control.finish(control.start(job.writer(messages), once=True))
+    return tables.scan(spark, f"{root}/assigned").select("key", "match_kind", "topic", "label")
+
+
 # --- projections -------------------------------------------------------------------------------
 
 
@@ -216,6 +234,24 @@ def p1_parse_messages(spark, sf_dir):
     ).withColumn("tags", F.when(~F.col("bad"), F.col("tags")))
 
 
+@query
+def p1_bad_dates(spark, sf_dir):
+    """Dates that fit no pattern, dates far ahead and missing dates among good ones."""
+    records = statuses_to_records(fixtures.statuses(spark, sf_dir))
+    number = F.col("source_id") % 5
+    date = (
+        F.when(number == 1, "yesterday")
+        .when(number == 2, "2999-01-01T00:00:00Z")
+        .when(number == 3, F.lit(None))
+        .otherwise(F.col("creationDate"))
+    )
+    messages = records.withColumn("creationDate", date).select(
+        F.col("source_id").cast("string").alias("key"), record_json().alias("value")
+    )
+    parsed = parse_messages(messages, F.lit("2900-01-01 00:00:00").cast("timestamp"))
+    return parsed.select("key", "reason", "bad")
+
+
 @query
 def p1_good_posts(spark, sf_dir):
     """Messages all the way to typed posts."""
@@ -609,29 +645,23 @@ def t7_vocabulary(spark, sf_dir):
     return topics.vocabulary(fixtures.corpus(spark, sf_dir))
 
 
-_FIT = replace(DEFAULTS, max_iter=10)
-
-
-def _fit(spark, sf_dir):
-    corpus = fixtures.corpus(spark, sf_dir)
-    terms = topics.vocabulary_words(topics.vocabulary(corpus))
-    vectors = topics.term_vectors(corpus, terms, "post_id")
-    return terms, vectors
-
-
 @query
 def t8_topic_fit(spark, sf_dir):
-    """Topics of the corpus, each with its label."""
-    terms, vectors = _fit(spark, sf_dir)
-    model = topics.fit_topics(vectors, "post_id", _FIT)
-    return topics.topic_labels(topics.describe_topics(model, terms))
+    """Words of each fitted topic's label: how many, how many different, how many in the vocabulary."""
+    terms, model = fixtures.fitted_terms(spark, sf_dir), fixtures.fitted_topics(spark, sf_dir)
+    described = topics.describe_topics(model, terms, DEFAULTS.words_per_topic)
+    labelled = topics.topic_labels(described).select("topic", F.explode(F.split("label", ", ")).alias("word"))
+    known = topics.vocabulary(fixtures.corpus(spark, sf_dir)).select("word", F.lit(1).alias("known"))
+    return labelled.join(known, "word", "left").groupBy("topic").agg(
+        F.count("word").alias("words"), F.count_distinct("word").alias("different"), F.count("known").alias("known")
+    )
 
 
 @query
 def t9_topic_mass(spark, sf_dir):
     """Terms and weight total of each fitted topic."""
-    terms, vectors = _fit(spark, sf_dir)
-    described = topics.describe_topics(topics.fit_topics(vectors, "post_id", _FIT), terms)
+    terms, model = fixtures.fitted_terms(spark, sf_dir), fixtures.fitted_topics(spark, sf_dir)
+    described = topics.describe_topics(model, terms)
     return described.groupBy("topic").agg(
         F.count(F.lit(1)).alias("terms"), F.round(F.sum("weight"), 6).alias("mass")
     )
@@ -658,17 +688,22 @@ def t12_split(spark, sf_dir):
 
 @query
 def t12_evaluation(spark, sf_dir):
-    """Log likelihood and perplexity of the validation part under a model of the training part."""
-    _, vectors = _fit(spark, sf_dir)
+    """The validation part under a model of the training part.
+
+    Perplexity is the likelihood per known token, so both give the number of these tokens back.
+    """
+    vectors = fixtures.term_vectors(spark, sf_dir)
     train, validation = topics.train_validation(vectors, "post_id")
-    return topics.evaluate(topics.fit_topics(train, "post_id", _FIT), validation)
+    found = topics.evaluate(topics.fit_topics(train, "post_id"), validation)
+    tokens = F.round(-F.col("log_likelihood") / F.col("log_perplexity")).cast("long")
+    return found.select(tokens.alias("tokens"), (F.col("log_likelihood") < 0).alias("below_zero"))
 
 
 @query
 def t13_topic_mixture(spark, sf_dir):
     """Topics and total share of each document's mixture; zero without any known term."""
-    _, vectors = _fit(spark, sf_dir)
-    mixed = topics.topic_mixture(topics.fit_topics(vectors, "post_id", _FIT), vectors, "post_id")
+    vectors = fixtures.term_vectors(spark, sf_dir)
+    mixed = topics.topic_mixture(fixtures.fitted_topics(spark, sf_dir), vectors, "post_id")
     return mixed.groupBy("post_id").agg(
         F.count(F.lit(1)).alias("topics"), F.round(F.sum("share"), 6).alias("total")
     )

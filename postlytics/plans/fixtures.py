@@ -8,14 +8,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.clustering import LDAModel, LocalLDAModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postlytics.functions.records import follower_group
 from postlytics.functions.text import clean_words
+from postlytics.operators import topics
 from postlytics.operators.records import lower_tags
 from postlytics.operators.tags import TagList, split_tags
-from postlytics.operators.topics import word_statistics
 from postlytics.session import path_exists, workspace
 from postlytics.settings import DEFAULTS
 from postlytics.sources import models
@@ -111,18 +112,44 @@ def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     return posts(spark, sf_dir).select("post_id", clean_words(F.col("text")).alias("words"))
 
 
-def word_topics(spark: SparkSession, sf_dir: str, topics: int = DEFAULTS.topics) -> DataFrame:
+def word_topics(spark: SparkSession, sf_dir: str, n_topics: int = DEFAULTS.topics) -> DataFrame:
     """A stand-in for a learned model with exact integer weights for every frequent word."""
     t = F.col("topic")
     weight = F.pmod(F.length("word") * (t + 3) + F.ascii("word") * (t + 1), F.lit(97))
     return (
-        word_statistics(corpus(spark, sf_dir))
+        topics.word_statistics(corpus(spark, sf_dir))
         .filter(F.col("df") >= DEFAULTS.min_doc_freq)
-        .select("word", F.explode(F.sequence(F.lit(0), F.lit(topics - 1))).alias("topic"))
+        .select("word", F.explode(F.sequence(F.lit(0), F.lit(n_topics - 1))).alias("topic"))
         .select("word", "topic", weight.cast("double").alias("weight"))
     )
 
 
+def vocabulary_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(word, n, df) of the vocabulary, counted once per application."""
+
+    def write(path: str) -> None:
+        topics.vocabulary(corpus(spark, sf_dir)).write.parquet(path)
+
+    return scan(spark, _stored(spark, sf_dir, "vocabulary", write))
+
+
+def fitted_terms(spark: SparkSession, sf_dir: str) -> list[str]:
+    return topics.vocabulary_words(vocabulary_of(spark, sf_dir))
+
+
+def term_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topics.term_vectors(corpus(spark, sf_dir), fitted_terms(spark, sf_dir), "post_id")
+
+
+def fitted_topics(spark: SparkSession, sf_dir: str) -> LDAModel:
+    """The topics of the corpus by the default settings, fitted once per application."""
+
+    def write(path: str) -> None:
+        topics.fit_topics(term_vectors(spark, sf_dir), "post_id").save(path)
+
+    return LocalLDAModel.load(_stored(spark, sf_dir, "topics", write))
+
+
 def stream_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table read as a stream; a table that is one file is picked from its folder by name."""
     path = f"{sf_dir}/{name}.parquet"

@@ -17,13 +17,16 @@ class Settings:
     max_iter: int = 100
     min_doc_freq: int = 4
     words_per_topic: int = 10
-    tracked_seeds: int = 400
+    tracked_seeds: int | None = None  # all; a remote interface that takes fewer may set a number
     tracked_language: str = "en"
     flush_interval: str = "1 minute"
     run_minutes: int = 3
 
     # our own choices
+    # a fit refuses more words than this; a larger min_doc_freq lowers their number
     vocabulary_size: int = 1 << 18
+    # a message dated this much after its batch is processed goes to quarantine
+    future_seconds: int = 300
     # longest tag list written into the plan as literals; longer lists are joined
     inline_list_limit: int = 1000
     # time slice one window task works on; must be at least window_seconds

@@ -84,7 +84,9 @@ class Pipeline:
 
     def process(self, messages: DataFrame, batch_id: int) -> None:
         numbered = messages.select("key", "value", F.monotonically_increasing_id().alias("row"))
-        parsed = parse_messages(numbered).persist(StorageLevel.MEMORY_AND_DISK)
+        # a date far ahead would move the window state's horizon past all live posts
+        latest = F.current_timestamp() + F.make_dt_interval(secs=F.lit(self.settings.future_seconds))
+        parsed = parse_messages(numbered, latest).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             write_batch(bad_messages(parsed), self.path("quarantine"), batch_id)
             posts = good_posts(parsed, "row")

@@ -19,6 +19,19 @@ def test_bad_json_goes_to_quarantine(spark):
     assert sorted(r.key for r in bad_messages(parsed).collect()) == ["1", "2", "3", "4"]
 
 
+def test_bad_and_future_dates_go_to_quarantine_with_a_reason(spark):
+    dates = ["2024-01-01T00:00:05Z", "yesterday", "2999-01-01T00:00:00Z", None]
+    values = [json.dumps({"text": "x"} | ({"creationDate": d} if d else {})) for d in dates]
+    parsed = parse_messages(messages(spark, *values, "no json"), F.lit("2900-01-01").cast("timestamp"))
+    assert [r.key for r in good_posts(parsed).collect()] == ["0", "3"]
+    assert {r.key: r.reason for r in bad_messages(parsed).collect()} == {"1": "date", "2": "future", "4": "json"}
+
+
+def test_unknown_followers_have_no_group(spark):
+    rows = spark.createDataFrame([(None,), (300,)], "n long").select(follower_group(F.col("n")).alias("g")).collect()
+    assert [r.g for r in rows] == [None, "Small"]
+
+
 def test_missing_fields_are_null_and_tags_empty(spark):
     [row] = good_posts(parse_messages(messages(spark, '{"text":"x"}'))).collect()
     assert row.tags == []

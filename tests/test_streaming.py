@@ -176,6 +176,23 @@ def test_state_holds_only_what_can_be_looked_back_to(spark):
     assert names == ["batch=2", "batch=3"]
 
 
+def test_a_post_dated_ahead_does_not_stop_promotion(spark):
+    found = []
+    for ahead in (False, True):
+        root = workspace(spark, "stream")
+        job = Pipeline(root, seeds(spark), TopicModel(f"{root}/model", settings=SETTINGS), SETTINGS)
+        for batch_id in range(4):
+            rows = posts(30 + batch_id, 40, batch_id * 200, batch_id * 200 + 200)
+            if ahead and batch_id == 0:
+                rows = [*rows, ("ahead", "Word1!", ["s1", "Hot"], BASE + 30_000_000_000, "DE")]
+            sent = [to_message(spark, r) for r in rows]
+            job.process(spark.createDataFrame(sent, "key string, value string"), batch_id)
+        found.append({(r.key, r.match_kind) for r in spark.read.parquet(f"{root}/assigned").collect()})
+        if ahead:
+            assert [(r.key, r.reason) for r in spark.read.parquet(f"{root}/quarantine").collect()] == [("ahead", "future")]
+    assert found[0] == found[1] and "promoted" in {kind for _, kind in found[1]}
+
+
 def test_bad_messages_and_empty_batches(spark):
     root = workspace(spark, "stream")
     deliver(spark, posts(3, 20), f"{root}/landing", ("bad", "no json"), ("cut", '{"text":'))

@@ -75,9 +75,13 @@ def test_probes_add_empty_rows(split):
     assert {r.sec: r.n for r in pairs.total_buckets(split, probes=True).collect()} == {10: 6, 11: 0, 12: 0}
 
 
-def test_empty_list_is_an_error(spark):
+def test_empty_list_matches_nothing(spark):
+    none = spark.createDataFrame([], "tag string")
+    posts = spark.createDataFrame([(1, ["a", "b"]), (2, []), (3, None)], "key long, tags array<string>")
+    rows = split_tags(posts, TagList.of(none)).orderBy("key").collect()
+    assert [(r.seed_tags, r.other_tags) for r in rows] == [([], ["a", "b"]), ([], []), ([], [])]
     with pytest.raises(ValueError):
-        TagList.of(spark.createDataFrame([], "tag string"))
+        TagList.required(none)
 
 
 def test_seed_lines(spark, tmp_path):
@@ -99,3 +103,10 @@ def test_tracked_takes_the_first_sorted_seeds(spark):
     assert [r.key for r in tracked(posts, seeds, replace(DEFAULTS, tracked_seeds=1)).collect()] == [1]
     both = tracked(posts, seeds).agg(F.count("key")).first()[0]
     assert both == 2
+
+
+def test_tracked_takes_all_seeds(spark):
+    names = [f"s{i:04}" for i in range(1500)]
+    seeds = TagList.of(spark.createDataFrame([(n,) for n in names], "tag string"))
+    posts = spark.createDataFrame([(i, "en", [n]) for i, n in enumerate(names)], "key long, language string, tags array<string>")
+    assert tracked(posts, seeds).count() == 1500

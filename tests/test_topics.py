@@ -46,8 +46,13 @@ def test_vocabulary_equals_count_vectorizer(corpus):
     assert words == sorted(words, key=lambda w: (-counts[w], w))
 
 
-def test_vocabulary_size_is_the_limit(corpus):
-    assert topics.vocabulary(corpus, replace(SETTINGS, vocabulary_size=5)).count() == 5
+def test_too_many_words_are_refused_and_none_is_cut(corpus):
+    tight = replace(SETTINGS, vocabulary_size=5)
+    vocab = topics.vocabulary(corpus, tight)
+    assert vocab.count() == topics.vocabulary(corpus, SETTINGS).count() > 5
+    assert "TakeOrderedAndProject" not in vocab._jdf.queryExecution().toString()
+    with pytest.raises(ValueError, match="min_doc_freq"):
+        topics.vocabulary_words(vocab, tight)
 
 
 @pytest.fixture(scope="module")
