@@ -198,13 +198,18 @@ def fold(doc_id: Column) -> Column:
 
 
 HELD_OUT = 2
+# parts that a language's rows are dealt to while its sample is drawn
+SALTS = 64
 
 
 def training_windows(labelled: DataFrame, settings: Settings) -> DataFrame:
     """(lang, window): a few windows of the sampled rows of (doc_id, text, lang)."""
-    by_lang = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", F.lit(settings.seed)), "doc_id")
-    ids = labelled.select("doc_id", "lang").withColumn("rank", F.row_number().over(by_lang))
-    chosen = ids.filter(F.col("rank") <= settings.rows_per_language).select("doc_id").distinct()
+    # the smallest hashes of each language: first of each of its salted parts, then of what is left
+    ids = labelled.select("doc_id", "lang", F.xxhash64("doc_id", F.lit(settings.seed)).alias("draw"))
+    for part in (F.pmod("draw", F.lit(SALTS)), F.lit(0)):
+        smallest = Window.partitionBy("lang", part).orderBy("draw", "doc_id")
+        ids = ids.withColumn("rank", F.row_number().over(smallest)).filter(F.col("rank") <= settings.rows_per_language)
+    chosen = ids.select("doc_id").distinct()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
