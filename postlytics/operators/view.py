@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from postlytics.settings import DEFAULTS, Settings
 
-# followers are at most 2^31 - 1; 2^14 values per block give at most 2^17 blocks
-_BLOCK_BITS = 14
+# at most 2^17 blocks of values, of 2^14 values at least
+_BLOCK_BITS, _BLOCKS_BITS = 14, 17
 
 
 def topic_counts(posts: DataFrame, topic: str = "label") -> DataFrame:
@@ -45,10 +45,12 @@ def follower_terciles(posts: DataFrame, followers: str = "followers") -> DataFra
     value = F.col(followers).cast("long")
     folded = (
         posts.filter(value.isNotNull()).groupBy(value.alias("value")).agg(F.count(F.lit(1)).alias("times"))
-        .withColumn("block", F.shiftright("value", _BLOCK_BITS))
     )
+    largest = posts.agg(F.max(F.abs(value))).first()[0] or 0
+    bits = max(_BLOCK_BITS, largest.bit_length() + 1 - _BLOCKS_BITS)
+    folded = folded.withColumn("block", F.shiftright("value", bits))
     earlier = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    # at most 2^17 block rows by the type of the value
+    # at most 2^17 block rows, by the largest value
     blocks = folded.groupBy("block").agg(F.sum("times").alias("block_times"))
     offsets = blocks.select("block", F.coalesce(F.sum("block_times").over(earlier), F.lit(0)).alias("before_block"))
     inside = Window.partitionBy("block").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)

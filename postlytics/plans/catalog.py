@@ -28,6 +28,7 @@ from postlytics.streaming import control
 from postlytics.streaming.buckets import bucket_writer, read_buckets
 from postlytics.streaming.ingest import ingest
 from postlytics.streaming.pipeline import Pipeline, TopicModel
+from postlytics.streaming.view import minute_view, read_assigned, view_writer
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -119,6 +120,23 @@ def s9_retention(spark, sf_dir):
     return batches.retain(corpus, 3, 1)
 
 
+@query
+def s9_corpus_switch(spark, sf_dir):
+    """Two batches, a retention that switches the corpus, a third batch, then what readers see."""
+    root = workspace(spark, "stream")
+    millis = F.unix_millis(F.col("ts").cast("timestamp"))
+    events = fixtures.table(spark, sf_dir, "events").select(
+        F.col("event_id").alias("key"), F.array("event_type").alias("words"), millis.alias("ms")
+    )
+    for batch_id in range(3):
+        if batch_id == 2:
+            batches.switch_corpus(spark, root, 3, 1)
+        part = events.filter(F.pmod("key", F.lit(3)) == batch_id)
+        batches.append_corpus(part, batches.corpus_path(spark, root), batch_id, F.col("ms"))
+    rows = tables.scan(spark, batches.corpus_path(spark, root))
+    return rows.select(F.col("key").cast("long").alias("event_id"), "ingested_ms", F.col("batch_id").cast("long").alias("batch_id"))
+
+
 @query
 def s10_row_counts(spark, sf_dir):
     names = ("documents", "conversations", "events", "labels", "nation")
@@ -212,6 +230,32 @@ def w4_out_of_order(spark, sf_dir):
     return tables.scan(spark, f"{root}/assigned").select("key", "match_kind", "topic", "label")
 
 
+@query
+def a7_stream_view(spark, sf_dir):
+    """The minute view as a stream over what the stream job assigned.
+
+    A last post an hour later closes all minutes before it; its own minute stays open.
+    """
+    root, out = workspace(spark, "stream"), workspace(spark, "view")
+    model_root = fixtures.model_root(spark, sf_dir)
+    posts = fixtures.posts(spark, sf_dir)
+    last = posts.orderBy(F.desc("sec")).limit(1)
+    closing = last.withColumns({
+        "ts": F.col("ts") + F.expr("INTERVAL 1 HOUR"), "post_id": F.lit(-1).cast("long"),
+        "hashtags": F.array(F.lit(fixtures.SEEDS[0])),
+    })
+    for part in (posts, closing):
+        _landed(spark, part, f"{root}/landing")
+        job = Pipeline(root, fixtures.tag_list(spark), TopicModel(model_root))
+        messages = read_messages(spark, "parquet", f"{root}/landing")
+        control.finish(control.start(job.writer(messages), once=True))
+    rows = minute_view(read_assigned(spark, f"{root}/assigned"))
+    stream = view_writer(rows, lambda df, batch_id: batches.write_batch(df, out, batch_id), f"{out}-checkpoint")
+    control.finish(control.start(stream, once=True))
+    view_columns = ("region", "follower_group", "topic", "count")
+    return tables.scan(spark, out).select(F.unix_seconds("ts").alias("ts"), *view_columns)
+
+
 # --- projections -------------------------------------------------------------------------------
 
 

@@ -259,6 +259,15 @@ def statements() -> dict[str, str]:
                FROM accepted JOIN posts USING (post_id) JOIN best USING (post_id)
                LEFT JOIN labels10 USING (topic) GROUP BY ALL""",
             "accepted", "posts", "best", "labels10"),
+        "a7_stream_view": _sql(
+            """SELECT (sec // 60 + 1) * 60 AS ts, country AS region, follower_group, label AS topic,
+               count(*) AS count
+               FROM accepted JOIN posts USING (post_id) JOIN best USING (post_id)
+               LEFT JOIN labels10 USING (topic) GROUP BY ALL""",
+            "accepted", "posts", "best", "labels10"),
+        "s9_corpus_switch": """
+            SELECT event_id, epoch_us(ts) // 1000 AS ingested_ms, event_id % 3 AS batch_id FROM events
+            WHERE event_id % 3 = 2 OR epoch_us(ts) // 1000 % 3 <> 1""",
         "a8_topic_scores": _sql(
             """SELECT p.post_id, CAST(t AS INTEGER) AS topic, coalesce(k.score, 0.0) AS score
                FROM (SELECT post_id, t FROM posts, range(10) r(t)) p

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from postlytics.operators import topics
 from postlytics.settings import DEFAULTS, Settings
@@ -19,6 +19,13 @@ def train(corpus: DataFrame, model_root: str, settings: Settings = DEFAULTS, see
     return models.publish(weights, model_root, settings.words_per_topic)
 
 
+def train_and_shrink(spark: SparkSession, root: str, model_root: str, seed: int, settings: Settings = DEFAULTS) -> int:
+    """The whole batch job on the corpus below `root`: fit, publish, then drop one drawn share of it."""
+    version = train(spark.read.parquet(batches.corpus_path(spark, root)), model_root, settings, seed)
+    batches.switch_corpus(spark, root, *batches.draw_retention(seed))
+    return version
+
+
 def shrink(corpus: DataFrame, target: str, seed: int) -> tuple[int, int]:
     """Write the corpus without one drawn share of its rows to `target`; returns the draw.
 

@@ -31,8 +31,6 @@ class Settings:
     inline_list_limit: int = 1000
     # time slice one window task works on; must be at least window_seconds
     chunk_seconds: int = 3600
-    # tables below this size are spread over all cores after the scan
-    spread_below_bytes: int = 256 << 20
     watermark: str = "2 minutes"
     watermark_seconds: int = 120
     trigger: str = "1 second"

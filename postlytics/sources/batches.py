@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from postlytics import schemas
+from postlytics.sources.versions import announce, current_version
+
 
 def write_batch(df: DataFrame, path: str, batch_id: int, *partitions: str) -> None:
     """Write rows as the batch's own partitions, replacing what an earlier try left there.
@@ -35,6 +38,37 @@ def retain(corpus: DataFrame, divisor: int, remainder: int) -> DataFrame:
     return corpus.filter(F.pmod("ingested_ms", F.lit(divisor)) != remainder)
 
 
+def corpus_path(spark: SparkSession, root: str) -> str:
+    """The corpus below `root` that jobs read and append to: the announced one, first `corpus`."""
+    version = current_version(spark, f"{root}/corpora")
+    return f"{root}/corpus" if version is None else f"{root}/corpus-{version}"
+
+
+def switch_corpus(spark: SparkSession, root: str, divisor: int, remainder: int) -> str:
+    """Put a corpus without the rows of one remainder in the place of the current one.
+
+    It is written beside the old one and announced last, so readers see one or the other. Batches
+    that were appended meanwhile are carried over whole. The old corpus is left for readers that
+    still use it; deleting it is up to the operator of the job.
+    """
+    old = corpus_path(spark, root)
+    version = (current_version(spark, f"{root}/corpora") or 0) + 1
+    new = f"{root}/corpus-{version}"
+    rows = spark.read.schema(schemas.CORPUS).parquet(old)
+    seen = rows.select("batch_id").distinct().persist()
+    try:
+        seen.count()
+        kept = retain(rows.join(seen, "batch_id", "left_semi"), divisor, remainder)
+        kept.write.mode("overwrite").partitionBy("batch_id").parquet(new)
+        spark.catalog.refreshByPath(old)
+        later = spark.read.schema(schemas.CORPUS).parquet(old).join(seen, "batch_id", "left_anti")
+        later.write.mode("append").partitionBy("batch_id").parquet(new)
+    finally:
+        seen.unpersist()
+    announce(spark, f"{root}/corpora", version)
+    return new
+
+
 # The divisor of a retention run is drawn from these.
 RETENTION_DIVISORS = (2, 3, 4)
 

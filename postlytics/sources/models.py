@@ -5,12 +5,11 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from postlytics import schemas
 from postlytics.operators.topics import repeated_weights, require_none, topic_labels
-from postlytics.session import path_exists
 from postlytics.settings import DEFAULTS
+from postlytics.sources.versions import announce, current_version
 
 
 @dataclass(frozen=True)
@@ -20,12 +19,6 @@ class Model:
     topics: DataFrame
 
 
-def current_version(spark: SparkSession, root: str) -> int | None:
-    if not path_exists(spark, f"{root}/versions"):
-        return None
-    return spark.read.schema("version long").parquet(f"{root}/versions").agg(F.max("version")).first()[0]
-
-
 def publish(word_topics: DataFrame, root: str, words_per_topic: int = DEFAULTS.words_per_topic) -> int:
     """Replace both tables: write them under a new version, then announce it.
 
@@ -43,8 +36,7 @@ def publish(word_topics: DataFrame, root: str, words_per_topic: int = DEFAULTS.w
     require_none(repeated_weights(stored), "words with repeated topics")
     labels = topic_labels(stored, words_per_topic).select(*schemas.TOPICS.fieldNames())
     labels.coalesce(1).write.mode("overwrite").parquet(f"{folder}/topics")
-    announced = spark.createDataFrame([(version,)], "version long").coalesce(1)
-    announced.write.mode("append").parquet(f"{root}/versions")
+    announce(spark, root, version)
     return version
 
 

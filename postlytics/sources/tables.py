@@ -7,8 +7,6 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postlytics.settings import DEFAULTS, Settings
-
 
 def scan(spark: SparkSession, path: str | None = None, fmt: str = "parquet", **options: str) -> DataFrame:
     """A collection by path, or by the options of a connector such as `mongodb`."""
@@ -16,24 +14,13 @@ def scan(spark: SparkSession, path: str | None = None, fmt: str = "parquet", **o
     return reader.load(path) if path else reader.load()
 
 
-def stored_bytes(spark: SparkSession, path: str) -> int:
-    """Size of the files below a path; their content is not read."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    return files.agg(F.sum("length")).first()[0] or 0
-
-
-def scan_spread(
-    spark: SparkSession, path: str, key: str, *columns: str, settings: Settings = DEFAULTS
-) -> DataFrame:
-    """Columns of a stored table, spread over all cores when the table is small.
+def scan_spread(spark: SparkSession, path: str, key: str, *columns: str) -> DataFrame:
+    """Columns of a stored table, dealt out evenly by a unique key, for tables derived once.
 
-    A table of a few megabytes is one row group, so one task would do all later text work. From
-    spread_below_bytes on the scan's own splits are kept, and nothing is shuffled.
+    A file may be one row group, whatever its size, and one task would then do all later text work.
+    The number of parts follows the session's shuffle partitions and the bytes dealt.
     """
-    rows = scan(spark, path).select(*columns)
-    if stored_bytes(spark, path) >= settings.spread_below_bytes:
-        return rows
-    return rows.repartition(spark.sparkContext.defaultParallelism, key)
+    return scan(spark, path).select(*columns).repartition(F.col(key))
 
 
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:

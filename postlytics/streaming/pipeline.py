@@ -10,7 +10,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
@@ -24,7 +24,7 @@ from postlytics.operators.tags import TagList, split_tags
 from postlytics.operators.topics import conflicting_labels, repeated_weights, require_none
 from postlytics.settings import DEFAULTS, Settings
 from postlytics.sources import models
-from postlytics.sources.batches import append_corpus, write_batch
+from postlytics.sources.batches import append_corpus, corpus_path, write_batch
 from postlytics.streaming.buckets import WindowState
 
 # what scoring keeps of a post besides its row number
@@ -60,13 +60,20 @@ class TopicModel:
         return self.version is not None
 
 
+def with_row_ids(messages: DataFrame) -> DataFrame:
+    """(key, value, row): row depends on the content and on how many equal messages came before."""
+    alike = Window.partitionBy("key", F.xxhash64("value")).orderBy("value")
+    copies = messages.select("key", "value", F.row_number().over(alike).alias("copy"))
+    return copies.select("key", "value", F.xxhash64("key", "value", "copy").alias("row"))
+
+
 @dataclass
 class Pipeline:
     """Tables below `root`: quarantine, tag_state, total_state, funnel, corpus, assigned.
 
-    Messages are told apart by their number in the batch, so copies with equal keys all count.
-    The number is given at the source, whose partitions read the same rows again after a loss.
-    Every write replaces what an earlier try of its batch left.
+    Messages are told apart by a hash of key, value and copy number, so equal messages all count.
+    Equal messages may trade places, so a repeated batch gives the same rows however its files are
+    split. Every write replaces what an earlier try of its batch left.
     """
 
     root: str
@@ -83,7 +90,7 @@ class Pipeline:
         )
 
     def process(self, messages: DataFrame, batch_id: int) -> None:
-        numbered = messages.select("key", "value", F.monotonically_increasing_id().alias("row"))
+        numbered = with_row_ids(messages)
         # a date far ahead would move the window state's horizon past all live posts
         latest = F.current_timestamp() + F.make_dt_interval(secs=F.lit(self.settings.future_seconds))
         parsed = parse_messages(numbered, latest).persist(StorageLevel.MEMORY_AND_DISK)
@@ -122,7 +129,7 @@ class Pipeline:
             total_state.save(totals, batch_id, horizon)
             words = clean_words(F.col("text")).alias("words")
             kept = hold(accepted(marked).select("row", *CARRIED, words))
-            append_corpus(kept, self.path("corpus"), batch_id, F.unix_millis(F.current_timestamp()))
+            append_corpus(kept, corpus_path(spark, self.root), batch_id, F.unix_millis(F.current_timestamp()))
             write_batch(self._assign(kept), self.path("assigned"), batch_id)
         finally:
             for table in held:

@@ -112,10 +112,25 @@ def test_row_counts(spark):
     assert got == {"a": 3, "b": 0}
 
 
-def test_only_small_tables_are_spread(spark):
+def test_spread_keeps_all_rows(spark):
     path = workspace(spark, "table")
-    spark.range(10).withColumnRenamed("id", "k").coalesce(1).write.parquet(path)
-    spread = tables.scan_spread(spark, path, "k", "k")
-    assert spread.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    kept = tables.scan_spread(spark, path, "k", "k", settings=Settings(spread_below_bytes=1))
-    assert "Exchange" not in kept._jdf.queryExecution().executedPlan().toString()
+    spark.range(500).withColumnRenamed("id", "k").coalesce(1).write.parquet(path)
+    assert sorted(r.k for r in tables.scan_spread(spark, path, "k", "k").collect()) == list(range(500))
+
+
+def test_retention_switches_the_corpus(spark):
+    root = workspace(spark, "stream")
+    rows = spark.range(12).select(F.col("id").alias("key"), F.array(F.lit("w")).alias("words"), F.col("id").alias("ms"))
+
+    def keys():
+        path = batches.corpus_path(spark, root)
+        return sorted(int(r.key) for r in spark.read.parquet(path).collect())
+
+    batches.append_corpus(rows.filter("key < 9"), batches.corpus_path(spark, root), 0, F.col("ms"))
+    old = batches.corpus_path(spark, root)
+    new = batches.switch_corpus(spark, root, 3, 1)
+    assert new == batches.corpus_path(spark, root) != old
+    assert keys() == [0, 2, 3, 5, 6, 8]
+    batches.append_corpus(rows.filter("key >= 9"), batches.corpus_path(spark, root), 1, F.col("ms"))
+    assert keys() == [0, 2, 3, 5, 6, 8, 9, 10, 11]
+    assert spark.read.parquet(old).count() == 9

@@ -18,7 +18,7 @@ from postlytics.sources.streams import read_messages, write_messages
 from postlytics.streaming import control
 from postlytics.streaming.buckets import bucket_writer, read_buckets
 from postlytics.streaming.ingest import ingest, read_statuses
-from postlytics.streaming.pipeline import Pipeline, TopicModel
+from postlytics.streaming.pipeline import Pipeline, TopicModel, with_row_ids
 from postlytics.streaming.view import minute_view, read_assigned, view_writer
 
 BASE = 1_704_067_200
@@ -176,6 +176,13 @@ def test_state_holds_only_what_can_be_looked_back_to(spark):
     assert names == ["batch=2", "batch=3"]
 
 
+def test_row_ids_do_not_depend_on_partitions(spark):
+    rows = [("k", f"v{i % 7}") for i in range(40)] + [(None, "x"), (None, None), ("k", None), ("k", None)]
+    frame = spark.createDataFrame(rows, "key string, value string")
+    ids = [sorted(map(tuple, with_row_ids(frame.repartition(n)).collect()), key=str) for n in (1, 5)]
+    assert ids[0] == ids[1] and len({r[2] for r in ids[0]}) == len(rows)
+
+
 def test_a_post_dated_ahead_does_not_stop_promotion(spark):
     found = []
     for ahead in (False, True):
