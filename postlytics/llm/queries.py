@@ -15,6 +15,7 @@ from postlytics.llm import (
     secrets,
     sentencepiece_bpe,
     simhash,
+    statements,
     url_filter,
     warc_zip,
 )
@@ -47,9 +48,15 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(table(spark, sf_dir, "documents"))
 
 
+STATEMENTS["op3_quality_rules"] = statements.QUALITY
+
+
 @query
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licenses.license_report(table(spark, sf_dir, "documents"))
+    return licenses.license_report(table(spark, sf_dir, "documents")).drop("places")
+
+
+STATEMENTS["op4_license_scan"] = statements.license_scan()
 
 
 @query
@@ -97,6 +104,9 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.url_verdicts(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
 
 
+STATEMENTS["op2_url_filter"] = statements.url_filter()
+
+
 @query
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_report(table(spark, sf_dir, "documents"))

@@ -6,6 +6,7 @@ import pytest
 
 from postlytics.llm import url_filter as uf
 from postlytics.llm.queries import QUERIES
+from postlytics.llm.statements import url_filter
 from tests.conftest import SF_DIR
 
 LOWER = {c: c + 32 for c in range(65, 91)}
@@ -111,6 +112,18 @@ def test_trust_and_distrust_spread(spark):
     assert verdicts[5] == verdicts[8] == verdicts[11] == "allow"
 
 
+def test_statement_on_linked_pages(spark):
+    """The query's SQL sees the same links, also where the given pages have none."""
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute("CREATE TABLE pages (page_id BIGINT, url VARCHAR, html VARCHAR)")
+    con.executemany("INSERT INTO pages VALUES (?, ?, ?)", LINKED)
+    wary = uf.Spread(threshold=0.4)
+    rows_of_sql = con.execute(f"SELECT page_id, host, path, rule, verdict FROM ({url_filter(settings=wary)})").fetchall()
+    assert sorted(rows_of_sql, key=str) == plain_verdicts(LINKED, wary)
+
+
 def test_scores_equal_iteration(spark):
     edges = [("a", "b"), ("a", "c"), ("b", "c"), ("c", "a"), ("d", "c"), ("e", "e2")]
     frame = spark.createDataFrame(edges, "src string, dst string")
