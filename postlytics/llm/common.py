@@ -65,8 +65,11 @@ def in_slices(column: pa.Array, rows: int = 256) -> Iterator[list]:
         yield column.slice(start, rows).to_pylist()
 
 
-def text_function(row: Callable[[str | None], object], kind: T.DataType):
-    """A column function that gives one value of the kind for every text, whatever its length."""
+def text_function(row: Callable[[str | None], object], kind: T.DataType, once: bool = False):
+    """A column function that gives one value of the kind for every text, whatever its length.
+
+    `once` keeps the optimizer from copying the call, as it does into a filter on its result.
+    """
 
     small_batches(SparkSession.active())
 
@@ -76,7 +79,7 @@ def text_function(row: Callable[[str | None], object], kind: T.DataType):
         parts = [pa.array([row(value) for value in values], arrow) for values in in_slices(text)]
         return pa.concat_arrays(parts) if parts else pa.array([], arrow)
 
-    return apply
+    return apply.asNondeterministic() if once else apply
 
 
 # bytes A-Z to a-z; all others, and so every other character of UTF-8, stay

@@ -129,7 +129,7 @@ def judge(text: str | None, rules: Rules) -> dict:
 
 def verdict(text: str, rules: Rules = Rules()) -> Column:
     """The verdict struct of a text column."""
-    return text_function(lambda value: judge(value, rules), VERDICT)(F.col(text).cast("string"))
+    return text_function(lambda value: judge(value, rules), VERDICT, once=True)(F.col(text).cast("string"))
 
 
 def quality_report(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
