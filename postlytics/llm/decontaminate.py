@@ -22,6 +22,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -224,22 +225,26 @@ def contaminated(docs: DataFrame, items: DataFrame, settings: Settings = Setting
     One row per row of `docs` and item found. Null and empty texts, and documents without a hit,
     give none; a null doc_id or item_id is carried.
     """
-    spark = docs.sparkSession
-    small_batches(spark)
+    small_batches(docs.sparkSession)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    found = [rows.mapInArrow(_searcher(index), HITS) for index in shard_indexes(items, settings)]
+    return reduce(DataFrame.unionAll, found)
+
+
+def shard_indexes(items: DataFrame, settings: Settings = Settings()) -> list[Broadcast]:
+    """One index per shard of the items, each of a bounded size; at least one, which may be empty."""
     weighted = saved(weighted_items(items, settings), "weighted-items")
     chars = weighted.agg(F.sum(F.char_length("text"))).first()[0] or 0
     shards = max(1, -(-chars // settings.shard_chars))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    parts = []
+    indexes = []
     for shard in range(shards):
         mine = weighted.filter(F.pmod(F.xxhash64("number"), F.lit(shards)) == shard)
         listed = [
             (r["item_id"], r["text"], [(p["term"], p["weight"]) for p in r["postings"]])
             for r in mine.orderBy("number").toLocalIterator()
         ]
-        index = spark.sparkContext.broadcast(Index(listed, settings))
-        parts.append(rows.mapInArrow(_searcher(index), HITS))
-    return reduce(DataFrame.unionAll, parts)
+        indexes.append(items.sparkSession.sparkContext.broadcast(Index(listed, settings)))
+    return indexes
 
 
 def _searcher(index):
@@ -264,8 +269,18 @@ def _searcher(index):
 
 
 def without_benchmark(docs: DataFrame, items: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """The documents in which no item stands, with the columns of `docs`; none is lost by nulls."""
-    found = contaminated(docs, items, settings).select(F.col("doc_id").alias("found_id")).distinct()
-    row = F.struct(*[F.col(f"`{name}`") for name in docs.columns])
-    rows = docs.select(F.col("doc_id").alias("own_id"), row.alias("row"))
-    return rows.join(found, F.col("own_id").eqNullSafe(F.col("found_id")), "left_anti").select("row.*")
+    """The rows of `docs` in whose text no item stands; each row is judged by its own text.
+
+    Nothing is shuffled. Several shards are searched one after the other, each over what the last
+    one left, so that a task holds one index at a time.
+    """
+    kept = docs
+    for number, index in enumerate(shard_indexes(items, settings)):
+        if number:
+            kept = saved(kept, "without-shard")
+        kept = kept.filter(~_stands_in(index)(F.col("text").cast("string")))
+    return kept
+
+
+def _stands_in(index: Broadcast):
+    return text_function(lambda text: bool(index.value.search(text)), T.BooleanType())

@@ -101,5 +101,8 @@ def test_odd_rows(spark, odd_docs, no_docs):
     assert sorted((r.doc_id, r.item_id or 0) for r in found) == [(3, 0), (3, 5)]
     assert dc.contaminated(no_docs, items).count() == 0
     assert dc.contaminated(odd_docs, items.filter("item_id > 99")).count() == 0
-    kept = dc.without_benchmark(odd_docs, items)
-    assert kept.schema == odd_docs.schema and kept.count() == 7
+    for chars in (20, 4_000_000):
+        kept = dc.without_benchmark(odd_docs, items, dc.Settings(shard_chars=chars))
+        assert kept.schema == odd_docs.schema
+        assert sorted((r.doc_id or 0) for r in kept.collect()) == [0, 0, 1, 2, 4, 4, 7]
+    assert dc.without_benchmark(no_docs, items).count() == 0
