@@ -245,12 +245,12 @@ def fingerprint_report(docs: DataFrame) -> DataFrame:
     return groups(docs).select("doc_id", fingerprint_hex.alias("fingerprint"), "component_id")
 
 
-def one_of_each_group(docs: DataFrame, size: int = 5, max_distance: int = 3, prints: int = 4) -> DataFrame:
+def one_of_each_group(docs: DataFrame, size: int = 3, max_distance: int = 3, prints: int = 4) -> DataFrame:
     """The documents without near copies: of each group the one with the smallest doc_id stays.
 
-    Several fingerprints of five-word shingles are compared, each within three bits: a pair that
-    close in one of them nearly always shares 0.8 of its shingles, and most pairs that share as
-    much are that close in one of several. Of rows that repeat that doc_id one stays. Rows without doc_id cannot be told apart and all
+    Several fingerprints of three-word shingles are compared, each within three bits: a pair that
+    close in one of them nearly always shares 0.8 of its five-word shingles, and most pairs that
+    share as much are that close in one of several. Of rows that repeat that doc_id one stays. Rows without doc_id cannot be told apart and all
     stay. The columns, whatever their names, are those of `docs`.
     """
     chosen = (

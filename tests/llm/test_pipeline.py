@@ -33,8 +33,8 @@ def test_quality(kept):
 
 
 def test_dedup(kept):
-    prints = {r.doc_id: simhash.fingerprints(r.text, 5, 4) for r in kept["quality_rules"]}
-    assert all(p[0] & (1 << 64) - 1 == plain_print(r.text, 5) for r in kept["quality_rules"] for p in [prints[r.doc_id]])
+    prints = {r.doc_id: simhash.fingerprints(r.text, 3, 4) for r in kept["quality_rules"]}
+    assert all(p[0] & (1 << 64) - 1 == plain_print(r.text, 3) for r in kept["quality_rules"] for p in [prints[r.doc_id]])
     ids = sorted(prints)
     close = {d: {e for e in ids if any((x ^ y).bit_count() <= 3 for x, y in zip(prints[d], prints[e]))} for d in ids}
     stays = []
