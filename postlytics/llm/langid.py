@@ -203,13 +203,18 @@ SALTS = 64
 
 
 def training_windows(labelled: DataFrame, settings: Settings) -> DataFrame:
-    """(lang, window): a few windows of the sampled rows of (doc_id, text, lang)."""
+    """(lang, window): a few windows of the sampled rows of (doc_id, text, lang).
+
+    The hash that a language's sample ends at is one number per language, so the texts are filtered
+    where they are read, without a join. Of rows with the same doc_id and lang one is taken.
+    """
+    hashed = labelled.withColumn("draw", F.xxhash64("doc_id", F.lit(settings.seed)))
     # the smallest hashes of each language: first of each of its salted parts, then of what is left
-    ids = labelled.select("doc_id", "lang", F.xxhash64("doc_id", F.lit(settings.seed)).alias("draw"))
+    ids = hashed.select("doc_id", "lang", "draw").distinct()
     for part in (F.pmod("draw", F.lit(SALTS)), F.lit(0)):
         smallest = Window.partitionBy("lang", part).orderBy("draw", "doc_id")
         ids = ids.withColumn("rank", F.row_number().over(smallest)).filter(F.col("rank") <= settings.rows_per_language)
-    chosen = ids.select("doc_id").distinct()
+    ends = ids.groupBy("lang").agg(F.max("draw").alias("end")).collect()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -228,7 +233,10 @@ def training_windows(labelled: DataFrame, settings: Settings) -> DataFrame:
                     [pa.array(out_lang, pa.string()), pa.array(out_rows, pa.binary())], ["lang", "window"]
                 )
 
-    sampled = labelled.join(chosen, "doc_id", "left_semi").select("doc_id", "text", "lang")
+    inside = F.lit(False)
+    for row in ends:
+        inside = inside | ((F.col("lang") == row["lang"]) & (F.col("draw") <= row["end"]))
+    sampled = hashed.filter(inside).dropDuplicates(["doc_id", "lang"]).select("doc_id", "text", "lang")
     return sampled.mapInArrow(cut, "lang string, window binary")
 
 
