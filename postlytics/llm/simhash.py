@@ -245,25 +245,8 @@ def fingerprint_report(docs: DataFrame) -> DataFrame:
     return groups(docs).select("doc_id", fingerprint_hex.alias("fingerprint"), "component_id")
 
 
-def one_of_each_group(docs: DataFrame, size: int = 3, max_distance: int = 3, prints: int = 4) -> DataFrame:
-    """The documents without near copies: of each group the one with the smallest doc_id stays.
+def one_of_each_group(docs: DataFrame, size: int = 5, least: float = 0.8) -> DataFrame:
+    """The documents without near copies, by the exact similarity of their shingles."""
+    from postlytics.llm import shingles
 
-    Several fingerprints of three-word shingles are compared, each within three bits: a pair that
-    close in one of them nearly always shares 0.8 of its five-word shingles, and most pairs that
-    share as much are that close in one of several. Of rows that repeat that doc_id one stays. Rows without doc_id cannot be told apart and all
-    stay. The columns, whatever their names, are those of `docs`.
-    """
-    chosen = (
-        groups(docs.select("doc_id", "text"), size, max_distance, prints)
-        .filter("doc_id = component_id")
-        .select(F.col("doc_id").alias("chosen_id"))
-        .distinct()
-    )
-    row = F.struct(*[F.col(f"`{name}`") for name in docs.columns])
-    rows = docs.select(F.col("doc_id").alias("own_id"), row.alias("row"))
-    kept = rows.join(chosen, F.col("own_id") == F.col("chosen_id"), "left_semi")
-    numbered = kept.withColumn("number", F.row_number().over(Window.partitionBy("own_id").orderBy(F.lit(1))))
-    once = numbered.filter("number = 1").union(
-        rows.filter("own_id IS NULL").withColumn("number", F.lit(1))
-    )
-    return once.select("row.*")
+    return shingles.one_of_each_group(docs, size, least)

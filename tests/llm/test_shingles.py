@@ -1,0 +1,68 @@
+"""The near-copy stage against brute-force similarity of five-word shingles."""
+
+import random
+
+import corpus_pipeline
+from postlytics.llm import quality, shingles
+from tests.conftest import SF_DIR
+
+
+def plain_shingles(text):
+    words = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "").split()
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def plain_kept(texts):
+    """Smallest ids of the components of all pairs of at least 0.8; `texts` maps ids to texts."""
+    sets = {d: plain_shingles(text) for d, text in texts.items()}
+    group = {d: d for d in texts}
+    for a in sorted(texts):
+        for b in sorted(texts):
+            if a < b and group[a] != group[b] and 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]):
+                low, high = sorted((group[a], group[b]))
+                group = {d: low if g == high else g for d, g in group.items()}
+    return sorted(set(group.values()))
+
+
+def kept(spark, texts):
+    docs = spark.createDataFrame(sorted(texts.items()), "doc_id long, text string")
+    return sorted(r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, SF_DIR).collect())
+
+
+def test_copies_around_the_threshold(spark):
+    draw = random.Random(5)
+    texts = {}
+    for number in range(120):
+        words = [f"w{draw.randrange(3000)}" for _ in range(draw.randrange(80, 600))]
+        copy = list(words)
+        for at in draw.sample(range(len(words)), max(1, len(words) * draw.randrange(5, 30) // 1000)):
+            copy[at] = "changed"
+        texts[2 * number], texts[2 * number + 1] = " ".join(words), " ".join(copy)
+    want = plain_kept(texts)
+    assert 130 < len(want) < 230
+    assert kept(spark, texts) == want
+
+
+def test_a_dense_group_and_its_edges(spark):
+    draw = random.Random(6)
+    words = [f"w{draw.randrange(900)}" for _ in range(200)]
+    texts = {}
+    for number in range(150):
+        copy = list(words)
+        for at in draw.sample(range(len(words)), draw.randrange(9)):
+            copy[at] = f"x{number}"
+        texts[number] = " ".join(copy)
+    assert kept(spark, texts) == plain_kept(texts)
+
+
+def test_given_documents(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    texts = {r.doc_id: r.text for r in quality.cleaned_documents(docs).collect()}
+    assert kept(spark, texts) == plain_kept(texts)
+
+
+def test_similarity():
+    assert shingles.similarity("a b", "A  B") == 1.0
+    assert shingles.similarity(None, " ") == 1.0
+    assert shingles.similarity(None, "a") == 0.0
+    assert shingles.similarity("a b c d e f", "a b c d e g") == 1 / 3
