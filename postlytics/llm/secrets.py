@@ -3,9 +3,11 @@
 Base spans come from three patterns. The method looks at every unbroken run of code characters,
 infers its encoding from the characters it holds, and tests whether its symbols could be drawn
 uniformly at random: chi-squared over the alphabet, Wald-Wolfowitz runs of high and low symbols,
-and lag-one serial correlation. The smallest p-value, times three, is the run's p-value. Runs that
-are not random are dismissed by the Benjamini-Hochberg procedure over all distinct runs of their
-length class, which bounds the share of random strings among those dismissed; the rest are spans.
+and lag-one serial correlation. The smallest p-value, times three, is the run's p-value. Parts of a
+run between separators are tested like runs, each by its own encoding, as names and paths in front
+of a token would hide it. Strings that are not random are dismissed by the Benjamini-Hochberg
+procedure over all distinct strings of their length class, which bounds the share of random ones
+among those dismissed; a run is a span when it or one of its parts is not dismissed.
 
 All of it is DataFrame code. Positions come from the lengths of matches and of the gaps between
 them. P-values are counted in bins, so the procedure reads a few hundred rows per length class; its
@@ -31,6 +33,10 @@ KINDS = ("assign", "access", "hex", "random")
 MIN_VALUE = 6
 
 RUN = r"[A-Za-z0-9+/_-]{20,}={0,2}"
+MIN_RUN = 20
+# What may join a token to other words. Each set is tried alone too, as the two others
+# belong to the code of the token itself.
+SEPARATORS = ("[/_+-]", "[/+]", "[_-]")
 DIGITS, LOWER, UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 # Encodings by the pattern that a run must match, most special first; each needs
 # letters and digits, as words and numbers alone are no code.
@@ -110,16 +116,23 @@ def _spans(found: Column, rank: int) -> Column:
 
 
 def tested_runs(text: Column, battery: Battery = Battery()) -> Column:
-    """array<struct<start, end, code, class, bin>>: runs with an encoding, and the bin of their p-value."""
-    runs = F.transform(
+    """array<struct<start, end, code, class, bin>>: runs and their parts that have an encoding.
+
+    Places are those of the whole run; code, class and bin of the p-value are the tested string's.
+    """
+    strings = F.flatten(F.transform(
         occurrences(text, RUN),
-        lambda m: F.struct(m["start"].alias("start"), m["end"].alias("end"), m["value"].alias("value"), _alphabet(m["value"]).alias("alphabet")),
-    )
-    coded = F.filter(runs, lambda m: m["alphabet"].isNotNull())
+        lambda m: F.transform(
+            F.array_distinct(F.concat(F.array(m["value"]), _parts(m["value"]))),
+            lambda v: F.struct(m["start"].alias("start"), m["end"].alias("end"), v.alias("value"), _alphabet(v).alias("alphabet")),
+        ),
+    ))
+    coded = F.filter(strings, lambda m: m["alphabet"].isNotNull())
     valued = F.transform(
         coded,
         lambda m: F.struct(
             m["start"].alias("start"), m["end"].alias("end"), F.xxhash64(m["value"]).alias("code"),
+            F.char_length(m["value"]).alias("length"),
             F.char_length(m["alphabet"]).cast("double").alias("k"),
             F.transform(F.split(F.rtrim(m["value"], F.lit("=")), ""), lambda c: (F.call_function("locate", c, m["alphabet"]) - 1).cast("double")).alias("x"),
         ),
@@ -128,12 +141,18 @@ def tested_runs(text: Column, battery: Battery = Battery()) -> Column:
         valued,
         lambda m: F.struct(
             m["start"].alias("start"), m["end"].alias("end"), m["code"].alias("code"),
-            _length_class(m["end"] - m["start"], battery).alias("class"),
+            _length_class(m["length"], battery).alias("class"),
             _bin(randomness(m["x"], m["k"]), battery).alias("bin"),
         ),
     )
 
 
+def _parts(value: Column) -> Column:
+    """Parts between separators that are as long as a run must be."""
+    parts = F.concat(*[F.split(value, separators, -1) for separators in SEPARATORS])
+    return F.filter(parts, lambda p: F.char_length(F.rtrim(p, F.lit("="))) >= MIN_RUN)
+
+
 def _alphabet(value: Column) -> Column:
     found = F.lit(None).cast("string")
     for pattern, alphabet in reversed(ENCODINGS):
@@ -223,7 +242,7 @@ def dismissal_bounds(runs: DataFrame, battery: Battery = Battery()) -> dict[int,
 
 
 def random_spans(runs: Column, bounds: dict[int, int]) -> Column:
-    """Spans of the runs that are not dismissed."""
+    """Spans of the runs that are not dismissed, or have a part that is not; each once."""
 
     def dismissed(run: Column) -> Column:
         found = F.lit(False)
@@ -231,7 +250,7 @@ def random_spans(runs: Column, bounds: dict[int, int]) -> Column:
             found = found | ((run["class"] == number) & (run["bin"] >= bound))
         return found
 
-    return _spans(F.filter(runs, lambda run: ~dismissed(run)), KINDS.index("random"))
+    return F.array_distinct(_spans(F.filter(runs, lambda run: ~dismissed(run)), KINDS.index("random")))
 
 
 def joined(spans: Column) -> Column:

@@ -123,3 +123,18 @@ def test_odd_rows(odd_docs, no_docs):
     assert secrets.secret_report(no_docs).count() == 0
     assert secrets.redacted(no_docs).count() == 0
     assert secrets.redacted(odd_docs).schema == odd_docs.schema
+
+
+@pytest.mark.parametrize("prefix", ["//example/path/services/hooks/", "aws-secret-access-key-", "user_session_token_", "com/my-app/"])
+def test_tokens_behind_names_and_paths_are_found(spark, prefix):
+    draw = np.random.default_rng(11)
+    letters = list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789")
+    keys = [prefix + "".join(draw.choice(letters, 32)) for _ in range(60)]
+    plain = [f"Section{'a' * (20 + i % 5)}1B" for i in range(60)] + ["com/my-app/internationalization/Page1"]
+    docs = spark.createDataFrame(list(enumerate(f"see {t} here" for t in keys + plain)), "doc_id long, text string")
+    rows = {r.doc_id: r.spans for r in secrets.secret_report(docs).collect()}
+    found = [i for i in range(len(keys)) if rows[i] == f"random:4:{4 + len(keys[i])}"]
+    assert len(found) >= 0.9 * len(keys)
+    assert all("random" not in rows[len(keys) + i] for i in range(len(plain)))
+    clean = {r.doc_id: r.text for r in secrets.redacted(docs).collect()}
+    assert all(clean[i] == "see [SECRET] here" for i in found)
