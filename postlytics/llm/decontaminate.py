@@ -6,6 +6,8 @@ a passage that has all its terms, and WAND returns all items of at least a given
 by upper bounds of terms and of blocks of their lists. A hit is then verified: the question and the
 answer part of the item must both be covered by word pairs of the passage.
 
+Items too short for that, of a few words, are found where all their words follow each other.
+
 Passages overlap by half, and half a passage holds the longest item, so an item that stands in a
 text stands whole in one of its passages. The items are cut into shards of a bounded size; each
 shard's index is sent to the tasks, and all texts are read once per shard.
@@ -29,7 +31,10 @@ from pyspark.sql import types as T
 
 from postlytics.llm.common import in_slices, saved, small_batches, text_function
 
-WORD = re.compile(r"[^\W_]+")
+# Letters of scripts without blanks between words (Thai to Khmer, kana, bopomofo, Han),
+# each of which is a word of its own.
+UNSPACED = "\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u312f\u31a0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\ua9e0-\ua9ff\uaa60-\uaa7f\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff"
+WORD = re.compile(rf"[^\W_{UNSPACED}]+|(?=\w)[{UNSPACED}]")
 
 
 @dataclass(frozen=True)
@@ -42,7 +47,7 @@ class Settings:
     overlap: float = 0.6
     # words at the front of an item that are its question
     question_share: float = 2 / 3
-    # items with fewer words cannot be told from ordinary text and are never found
+    # items with fewer words have too few pairs for a score and are found word by word
     min_words: int = 6
     min_passage: int = 64
     block: int = 32
@@ -66,16 +71,19 @@ def weighted_items(items: DataFrame, settings: Settings = Settings()) -> DataFra
     """(number, item_id, text, postings array<struct<term, weight>>) of the items that can be found.
 
     The weights are BM25 term weights by the statistics of all items, divided by their sum. Items
-    that repeat, under one id or several, each count. Rows without text are left out.
+    that repeat, under one id or several, each count. Rows without text are left out. Items of fewer
+    than `min_words` words have no postings and no part in the statistics.
     """
     rows = items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
     terms = text_function(pair_terms, T.ArrayType(T.StringType()))
-    numbered = saved(
-        rows.withColumn("number", F.monotonically_increasing_id())
-        .withColumn("terms", terms("text"))
-        .filter(F.size("terms") + 1 >= settings.min_words),
+    every = saved(
+        rows.filter("text IS NOT NULL")
+        .withColumn("number", F.monotonically_increasing_id())
+        .withColumn("terms", terms("text")),
         "items",
     )
+    long = F.size("terms") + 1 >= settings.min_words
+    numbered = every.filter(long)
     stats = numbered.agg(F.count(F.lit(1)).alias("n"), F.avg(F.size("terms")).alias("mean")).first()
     n, mean = stats["n"], stats["mean"] or 1.0
     counted = (
@@ -92,7 +100,9 @@ def weighted_items(items: DataFrame, settings: Settings = Settings()) -> DataFra
         F.sum("weight").alias("full"), F.collect_list(F.struct("term", "weight")).alias("raw")
     )
     scaled = F.transform("raw", lambda p: F.struct(p["term"].alias("term"), (p["weight"] / F.col("full")).alias("weight")))
-    return lists.join(numbered, "number").select("number", "item_id", "text", F.array_sort(scaled).alias("postings"))
+    found = lists.join(numbered, "number").select("number", "item_id", "text", F.array_sort(scaled).alias("postings"))
+    none = F.array().cast(found.schema["postings"].dataType).alias("postings")
+    return found.unionAll(every.filter(~long).select("number", "item_id", "text", none))
 
 
 class Index:
@@ -102,6 +112,11 @@ class Index:
         self.settings = settings
         self.item_ids = [item_id for item_id, _, _ in rows]
         self.words = [words_of(text) for _, text, _ in rows]
+        # short items by their first word
+        self.short: dict[str, list[tuple[list[str], int]]] = {}
+        for item, words in enumerate(self.words):
+            if 0 < len(words) < settings.min_words:
+                self.short.setdefault(words[0], []).append((words, item))
         self.half = max([settings.min_passage, *map(len, self.words)])
         lists: dict[Pair, list[tuple[int, float]]] = {}
         for item, (_, _, postings) in enumerate(rows):
@@ -200,11 +215,19 @@ class Index:
         cut = round(len(words) * self.settings.question_share)
         return sum(covered[:cut]) / cut, sum(covered[cut:]) / (len(words) - cut)
 
+    def short_items(self, words: list[str]) -> Iterator[int]:
+        """The short items whose words follow each other in the text."""
+        if self.short:
+            for at in [at for at, word in enumerate(words) if word in self.short]:
+                for own, item in self.short[words[at]]:
+                    if words[at : at + len(own)] == own:
+                        yield item
+
     def search(self, text: str | None) -> dict[int, tuple[float, float, float]]:
         """item -> (score, question share, answer share) of verified hits, each by its best passage."""
         words = words_of(text)
         terms = self.terms_of(words)
-        hits: dict[int, tuple[float, float, float]] = {}
+        hits = dict.fromkeys(self.short_items(words), (1.0, 1.0, 1.0))
         for start, end in self.passages(terms):
             own = terms[start:end]
             pairs = None

@@ -106,3 +106,16 @@ def test_odd_rows(spark, odd_docs, no_docs):
         assert kept.schema == odd_docs.schema
         assert sorted((r.doc_id or 0) for r in kept.collect()) == [0, 0, 1, 2, 4, 4, 7]
     assert dc.without_benchmark(no_docs, items).count() == 0
+
+
+def test_short_items_and_unspaced_scripts_are_found(spark):
+    texts = ["Capital of France?", "Wer da", "???", "今日は天気がとても良いですから散歩に行きましょう", "ทำไมท้องฟ้าจึงเป็นสีฟ้า", None]
+    items = spark.createDataFrame(list(enumerate(texts)), "item_id long, text string")
+    docs = [
+        "they ask: capital of  FRANCE? Paris", "capital and of France", "who: wer da?", "wer ist da ???",
+        "先生は言いました今日は天気がとても良いですから散歩に行きましょうと", "今日は雨です", "ถามว่าทำไมท้องฟ้าจึงเป็นสีฟ้าครับ", None,
+    ]
+    frame = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    found = {(r.doc_id, r.item_id) for r in dc.contaminated(frame, items).collect()}
+    assert found == {(0, 0), (2, 1), (4, 3), (6, 4)}
+    assert sorted(r.doc_id for r in dc.without_benchmark(frame, items).collect()) == [1, 3, 5, 7]
