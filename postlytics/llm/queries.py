@@ -12,6 +12,7 @@ from postlytics.llm import (
     langid,
     licenses,
     quality,
+    repair,
     secrets,
     sentencepiece_bpe,
     simhash,
@@ -142,3 +143,8 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return langid.predicted(docs, langid.train(docs))
+
+
+@query
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair_report(table(spark, sf_dir, "conversations"))
