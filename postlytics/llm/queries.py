@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from postlytics.llm import (
     chat,
+    collocations,
     decontaminate,
     langid,
     licenses,
@@ -148,3 +149,11 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.repair_report(table(spark, sf_dir, "conversations"))
+
+
+@query
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+STATEMENTS["op12_phrase_collocations"] = statements.collocations()

@@ -175,8 +175,8 @@ class _Chunk:
         self.items.append(Row(role[:1], fault, copies))
         self.chars += len(text)
 
-    def full(self) -> bool:
-        return len(self.rows) >= CHUNK_ROWS or self.chars >= CHUNK_CHARS
+    def full(self, most: int) -> bool:
+        return len(self.rows) >= most or self.chars >= CHUNK_CHARS
 
     def record(self, closes: bool) -> tuple:
         entries = [NOTHING] if self.opens else [NOTHING, AFTER_S, AFTER_U, AFTER_A]
@@ -196,7 +196,7 @@ def _batch(records: list[tuple], names: list[str], types: list[pa.DataType]) ->
     return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types)], names)
 
 
-def derive_chunks(rows: DataFrame) -> DataFrame:
+def derive_chunks(rows: DataFrame, most: int = CHUNK_ROWS) -> DataFrame:
     """Chunks of `judged` rows with their derivations; a long conversation spreads over partitions."""
 
     def derive(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -205,7 +205,7 @@ def derive_chunks(rows: DataFrame) -> DataFrame:
             columns = [batch[name].to_pylist() for name in ("conv_id", "turn", "role", "copies", "present", "fault")]
             texts = (text for values in in_slices(batch["text"]) for text in values)
             for conversation, turn, role, copies, present, fault, text in zip(*columns, texts):
-                if chunk is None or conversation != chunk.conversation or chunk.full():
+                if chunk is None or conversation != chunk.conversation or chunk.full(most):
                     new = chunk is not None and conversation != chunk.conversation
                     if chunk is not None:
                         done.append(chunk.record(closes=new))
@@ -341,7 +341,7 @@ def edited(chunks: DataFrame, plans: DataFrame) -> DataFrame:
     return chunks.select("conv_id", "chunk", "rows").join(planned, "chunk").select("conv_id", "chunk", "entry", "steps", "rows").mapInArrow(walk, TURNS)
 
 
-def repair(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+def repair(rows: DataFrame, most: int = CHUNK_ROWS) -> tuple[DataFrame, DataFrame]:
     """(repaired turns, one row of counts, cost and audit per conversation) of (conv_id, turn, role, text).
 
     Rows go by turn, nulls first, then role and a digest of the text. Repeated rows are duplicates. Null
@@ -357,7 +357,7 @@ def repair(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.coalesce(F.col("role").cast("string"), F.lit(" ")).alias("role"),
         F.coalesce(F.col("text").cast("string"), F.lit(" ")).alias("text"), "present", "copies",
     )
-    chunks = saved(derive_chunks(judged(named)), "repair-chunks")
+    chunks = saved(derive_chunks(judged(named), most), "repair-chunks")
     plans = saved(compose(chunks), "repair-plans")
     return edited(chunks, plans), plans.filter("chunk IS NULL").drop("chunk", "entry", "steps")
 
@@ -393,9 +393,9 @@ def digests(turns: DataFrame) -> DataFrame:
     return ordered.sortWithinPartitions("conv_id", "chunk", "place").mapInArrow(digest, DIGESTS)
 
 
-def repair_report(rows: DataFrame) -> DataFrame:
+def repair_report(rows: DataFrame, most: int = CHUNK_ROWS) -> DataFrame:
     """Damage all conversations, repair them and digest the result, one row each."""
-    turns, counts = repair(damaged(rows))
+    turns, counts = repair(damaged(rows), most)
     found = digests(turns).withColumnRenamed("conv_id", "of_conv")
     return counts.join(found, F.col("conv_id").eqNullSafe(F.col("of_conv")), "left").select(
         "conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit",

@@ -165,3 +165,52 @@ def url_filter(rules: tuple[Rule, ...] = RULES, settings: Spread = Spread()) ->
         SELECT page_id, ruled.host, path, rule,
           coalesce(by_rule, CASE WHEN flagged.host IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict
         FROM ruled LEFT JOIN flagged ON ruled.host = flagged.host"""
+
+
+def collocations(least: int = 30, top: int = 2000) -> str:
+    """Phrases of two to four words, counted one by one."""
+    grams = "\n  UNION ALL ".join(
+        f"SELECT lang, {size} AS size, unnest(list_transform(range(1, len(w) - {size} + 2),"
+        f" lambda i: array_to_string(w[i : i + {size - 1}], ' '))) AS phrase FROM words"
+        for size in range(1, 5)
+    )
+    cuts = "\n  UNION ALL ".join(
+        f"SELECT lang, phrase, size, a, {k} AS k, array_to_string(w[:{k}], ' ') AS head, array_to_string(w[{k + 1}:], ' ') AS tail"
+        f" FROM candidates WHERE size > {k}"
+        for k in range(1, 4)
+    )
+    inner = "\n  UNION ALL ".join(
+        f"SELECT lang, a, array_to_string(w[{i} : {i + size - 1}], ' ') AS phrase FROM candidates WHERE size = {longer}"
+        for longer in (3, 4) for size in range(2, longer) for i in range(1, longer - size + 2)
+    )
+    return rf"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+    unnest(regexp_split_to_array(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), words AS (
+  SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces
+), grams AS (
+  {grams}
+), counts AS (
+  SELECT lang, size, phrase, CAST(count(*) AS HUGEINT) AS a FROM grams GROUP BY ALL
+), totals AS (
+  SELECT lang, sum(a) AS n FROM counts WHERE size = 1 GROUP BY lang
+), candidates AS (
+  SELECT *, string_split(phrase, ' ') AS w FROM counts WHERE size > 1 AND a >= {least}
+), cuts AS (
+  {cuts}
+), scored AS (
+  SELECT c.lang, c.phrase, c.a, c.k, h.a AS l, t.a AS r, (2000000 * c.a) // (h.a + t.a) AS score
+  FROM cuts c JOIN counts h ON h.lang = c.lang AND h.phrase = c.head JOIN counts t ON t.lang = c.lang AND t.phrase = c.tail
+), lowest AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), longer AS (
+  SELECT lang, phrase, max(a) AS outer_a FROM ({inner}) GROUP BY ALL
+), kept AS (
+  SELECT lowest.* FROM lowest LEFT JOIN longer USING (lang, phrase) WHERE outer_a IS NULL OR 100 * outer_a < 80 * a
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase,
+  CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM kept JOIN totals USING (lang) QUALIFY rank <= {top}
+"""
