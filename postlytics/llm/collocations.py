@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from postlytics.llm.common import in_slices, saved
+from postlytics.llm.common import in_slices, most_frequent, saved
 
 # Marks that end a piece, and the smallest count, share and score factor of the contract.
 BREAKS = b".,;:!?\n\x0b\x0c\r"
@@ -271,22 +271,11 @@ def phrase_counts(docs: DataFrame, lists: list[Ranked]) -> DataFrame:
 
 
 def _ranked(frequent: DataFrame, code: str, listed: int) -> Ranked:
-    """The most frequent entries, at most `listed` of all languages together.
-
-    If not all fit, those above a count are taken, which a histogram of some hundred bins finds.
-    """
+    """The most frequent entries, at most `listed` of all languages together."""
     usable = frequent.filter(F.col(code).isNotNull())
     if code == "phrase":
         usable = usable.filter(F.octet_length("phrase") <= LONGEST)
-    usable = usable.withColumn("bin", F.floor(F.log2("a") * 16))
-    lowest, taken = None, 0
-    for bin_, size in usable.groupBy("bin").count().orderBy(F.desc("bin")).collect():
-        taken += size
-        if taken > listed:
-            break
-        lowest = bin_
-    chosen = usable.filter(F.lit(False) if lowest is None else F.col("bin") >= lowest)
-    top = chosen.orderBy(F.desc("a"), "lang", code).select("lang", code).toArrow()
+    top = most_frequent(usable, "a", listed).orderBy(F.desc("a"), "lang", code).select("lang", code).toArrow()
     total = frequent.count()
     langs = top["lang"].to_pylist()
     if code == "phrase":

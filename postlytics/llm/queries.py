@@ -11,6 +11,7 @@ from postlytics.llm import (
     collocations,
     decontaminate,
     langid,
+    language_model,
     licenses,
     quality,
     repair,
@@ -157,3 +158,8 @@ def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 STATEMENTS["op12_phrase_collocations"] = statements.collocations()
+
+
+@query
+def op13_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.language_scores(table(spark, sf_dir, "documents"))
