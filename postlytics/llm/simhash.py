@@ -245,8 +245,22 @@ def fingerprint_report(docs: DataFrame) -> DataFrame:
     return groups(docs).select("doc_id", fingerprint_hex.alias("fingerprint"), "component_id")
 
 
-def one_of_each_group(docs: DataFrame, size: int = 5, least: float = 0.8) -> DataFrame:
-    """The documents without near copies, by the exact similarity of their shingles."""
-    from postlytics.llm import shingles
+def one_of_each_group(docs: DataFrame, size: int = 3, max_distance: int = 3) -> DataFrame:
+    """The documents without near copies: of each group the row with the smallest doc_id stays.
 
-    return shingles.one_of_each_group(docs, size, least)
+    Groups are those of `groups`: all fingerprints that few bits connect. Of rows of a group that
+    repeat its smallest doc_id, that with the smallest digest of its text stays, once. Rows without
+    doc_id cannot be told apart and all stay. The columns, whatever their names, are those of `docs`.
+    """
+    row = F.struct(*[F.col(f"`{name}`") for name in docs.columns])
+    fp = fingerprints_of("text", size)[0]
+    rows = saved(docs.select(F.monotonically_increasing_id().alias("place"), fp.alias("fp"), row.alias("row")), "fingerprints")
+    numbered = rows.filter("row.doc_id IS NOT NULL")
+    order = F.struct(F.col("row.doc_id"), F.xxhash64("row.text"), F.col("place"))
+    first = numbered.groupBy("fp").agg(F.min(order).alias("first"))
+    edges = links(rows.select(F.lit(0).alias("which"), "fp").distinct(), max_distance)
+    label = components(edges).withColumnRenamed("node", "fp")
+    labelled = first.join(label, "fp", "left").withColumn("label", F.coalesce("label", "fp"))
+    chosen = labelled.groupBy("label").agg(F.min("first").alias("first")).select(F.col("first.place").alias("place"))
+    kept = numbered.join(chosen, "place", "left_semi").select("row.*")
+    return kept.union(rows.filter("row.doc_id IS NULL").select("row.*"))

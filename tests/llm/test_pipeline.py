@@ -4,11 +4,11 @@ import corpus_pipeline
 import pytest
 import sentencepiece
 
-from postlytics.llm import decontaminate, quality, simhash
+from postlytics.llm import decontaminate, quality
 from postlytics.llm.queries import model_path
 from tests.conftest import SF_DIR
 from tests.llm.test_secrets import plain_base
-from tests.llm.test_simhash import plain_print
+from tests.llm.test_simhash import plain_groups, plain_print
 
 
 @pytest.fixture(scope="module")
@@ -33,20 +33,9 @@ def test_quality(kept):
 
 
 def test_dedup(kept):
-    prints = {r.doc_id: simhash.fingerprints(r.text, 3, 4) for r in kept["quality_rules"]}
-    assert all(p[0] & (1 << 64) - 1 == plain_print(r.text, 3) for r in kept["quality_rules"] for p in [prints[r.doc_id]])
-    ids = sorted(prints)
-    close = {d: {e for e in ids if any((x ^ y).bit_count() <= 3 for x, y in zip(prints[d], prints[e]))} for d in ids}
-    stays = []
-    while close:
-        group, todo = set(), [min(close)]
-        while todo:
-            d = todo.pop()
-            if d not in group:
-                group.add(d)
-                todo += close.pop(d)
-        stays.append(min(group))
-    assert sorted(r.doc_id for r in kept["near_dedup"]) == sorted(stays)
+    prints = {r.doc_id: plain_print(r.text, 3) for r in kept["quality_rules"]}
+    stays = sorted(set(plain_groups(prints).values()))
+    assert sorted(r.doc_id for r in kept["near_dedup"]) == stays
     texts = [r.text for r in kept["near_dedup"]]
     assert len(texts) == len(set(texts)) < len(kept["quality_rules"])
 

@@ -117,3 +117,10 @@ def test_one_of_each_group(spark, odd_docs, no_docs):
     assert kept.schema == odd_docs.schema
     assert sorted((r.doc_id or 0) for r in kept.collect()) == [0, 0, 1, 3, 4]
     assert simhash.one_of_each_group(no_docs).count() == 0
+
+
+def test_one_row_stays_where_texts_share_an_id(spark):
+    far = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, "a b c"), (1, far), (1, far), (2, far), (3, "A  B c"), (4, None), (5, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted((r.doc_id, r.text) for r in simhash.one_of_each_group(docs).collect()) == [(1, "a b c"), (1, far), (4, None)]
