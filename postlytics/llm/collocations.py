@@ -35,7 +35,7 @@ LISTED = 1 << 19
 # Words longer than this are not put on the list but counted as they are written.
 LONGEST = 64
 # Side of a tile, occurrences that make it dense, dense tiles a task keeps, and its buffer of codes.
-SIDE, DENSE, KEPT, BUFFER = 256, 16_384, 64, 1 << 22
+SIDE, DENSE, KEPT, BUFFER = 256, 16_384, 64, 1 << 21
 # Different words, and characters of written-out phrases, that a task counts before it hands counts on.
 COUNTED, SPELLED = 1 << 19, 1 << 24
 
@@ -99,7 +99,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
 class Ranked:
     """A ranked list: by language, codes in falling frequency; `whole` when nothing frequent is missing.
 
-    The code of a word is the word, that of a longer phrase `id of its beginning << 20 | id of the last word`.
+    The code of a word is the word, in an Arrow array; that of a longer phrase `id of its beginning << 20 | id of the last word`.
     """
 
     codes: dict[str, object]
@@ -110,7 +110,8 @@ class _Lookup:
     """Ids of one language."""
 
     def __init__(self, lists: list[Ranked], lang: str) -> None:
-        self.words = {word: i for i, word in enumerate(lists[0].codes.get(lang, []))}
+        words = lists[0].codes.get(lang)
+        self.words = {} if words is None else {word: i for i, word in enumerate(words.to_pylist())}
         self.words[_BREAK] = -1
         self.longer = []
         for ranked in lists[1:]:
@@ -270,40 +271,24 @@ def phrase_counts(docs: DataFrame, lists: list[Ranked]) -> DataFrame:
     return found.groupBy("lang", "code", "phrase").agg(F.sum("a").alias("a"))
 
 
-def _ranked(frequent: DataFrame, code: str, listed: int) -> Ranked:
-    """The most frequent entries, at most `listed` of all languages together."""
+def _ranked(frequent: DataFrame, code: str, listed: int) -> tuple[Ranked, DataFrame]:
+    """The most frequent entries, at most `listed` of all languages together, and (lang, id, phrase)."""
     usable = frequent.filter(F.col(code).isNotNull())
     if code == "phrase":
         usable = usable.filter(F.octet_length("phrase") <= LONGEST)
-    top = most_frequent(usable, "a", listed).orderBy(F.desc("a"), "lang", code).select("lang", code).toArrow()
-    total = frequent.count()
-    langs = top["lang"].to_pylist()
-    if code == "phrase":
-        codes: dict[str, object] = {}
-        for lang, word in zip(langs, top[code].to_pylist()):
-            codes.setdefault(lang, []).append(word.encode())
-    else:
-        names, of = np.unique(np.array(langs, object).astype(str), return_inverse=True) if langs else ([], [])
-        values = top[code].to_numpy()
-        codes = {str(name): values[of == i] for i, name in enumerate(names)}
-    return Ranked(codes, len(langs) == total)
-
-
-def _id_table(frequent: DataFrame, code: str, ranked: Ranked) -> DataFrame:
-    """(lang, id, phrase) of the listed entries, ids as in the list."""
-    spark = frequent.sparkSession
-    langs = [lang for lang, codes in ranked.codes.items() for _ in range(len(codes))]
-    ids = np.concatenate([np.arange(len(codes)) for codes in ranked.codes.values()]) if langs else np.empty(0, np.int64)
-    if code == "phrase":
-        values = pa.array([word for codes in ranked.codes.values() for word in codes], pa.binary()).cast(pa.string())
-    else:
-        values = pa.array(np.concatenate(list(ranked.codes.values())) if langs else np.empty(0), pa.int64())
-    table = pa.table({"lang": pa.array(langs, pa.string()), "id": pa.array(ids, pa.int64()), code: values})
-    kind = "string" if code == "phrase" else "long"
-    entries = saved(spark.createDataFrame(table, f"lang string, id long, {code} {kind}"), "ranked-list")
-    if code == "phrase":
-        return entries
-    return entries.join(frequent.select("lang", "code", "phrase"), ["lang", "code"]).select("lang", "id", "phrase")
+    order = Window.partitionBy("lang").orderBy(F.desc("a"), code)
+    numbered = most_frequent(usable, "a", listed).select(
+        "lang", (F.row_number().over(order) - 1).cast("long").alias("id"), "phrase", *([code] if code != "phrase" else [])
+    )
+    entries = saved(numbered, "ranked-list")
+    top = entries.select("lang", "id", code).orderBy("lang", "id").toArrow().combine_chunks()
+    codes: dict[str, object] = {}
+    at = 0
+    for lang, size in sorted(entries.groupBy("lang").count().collect(), key=lambda row: row[0].encode()):
+        part = top[code].slice(at, size)
+        codes[lang] = part.cast(pa.binary()).combine_chunks() if code == "phrase" else part.to_numpy()
+        at += size
+    return Ranked(codes, at == frequent.count()), entries.select("lang", "id", "phrase")
 
 
 def frequent_phrases(docs: DataFrame, least: int = LEAST, listed: int = LISTED) -> tuple[DataFrame, list[DataFrame]]:
@@ -311,9 +296,8 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, listed: int = LISTED)
     words = saved(word_counts(docs), "word-counts")
     totals = words.groupBy("lang").agg(F.sum("a").alias("n"))
     levels = [saved(words.filter(F.col("a") >= least), "frequent-1")]
-    lists = [_ranked(levels[0], "phrase", listed)]
-    names = _id_table(levels[0], "phrase", lists[0])
-    begins = names
+    first_list, names = _ranked(levels[0], "phrase", listed)
+    lists, begins = [first_list], names
     for size in range(2, WORDS + 1):
         counted = saved(phrase_counts(docs, lists).filter(F.col("a") >= least), f"counts-{size}")
         first = begins.select("lang", F.col("id").alias("first"), F.col("phrase").alias("begin"))
@@ -327,8 +311,8 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, listed: int = LISTED)
         frequent = saved(written.union(counted.filter("code IS NULL").select("lang", "code", "phrase", "a")), f"frequent-{size}")
         levels.append(frequent)
         if size < WORDS:
-            lists.append(_ranked(frequent, "code", listed))
-            begins = _id_table(frequent, "code", lists[-1])
+            next_list, begins = _ranked(frequent, "code", listed)
+            lists.append(next_list)
     return totals, [level.select("lang", "phrase", "a") for level in levels]
 
 
