@@ -6,7 +6,8 @@ a passage that has all its terms, and WAND returns all items of at least a given
 by upper bounds of terms and of blocks of their lists. A hit is then verified: the question and the
 answer part of the item must both be covered by word pairs of the passage.
 
-Items too short for that, of a few words, are found where all their words follow each other.
+Items too short for that, of two to five words, are found where all their words follow each other. A
+single word has no question and answer, and is never a hit.
 
 Passages overlap by half, and half a passage holds the longest item, so an item that stands in a
 text stands whole in one of its passages. The items are cut into shards of a bounded size; each
@@ -49,6 +50,8 @@ class Settings:
     question_share: float = 2 / 3
     # items with fewer words have too few pairs for a score and are found word by word
     min_words: int = 6
+    # items with fewer are no evidence: a question and an answer need a word each
+    least_words: int = 2
     min_passage: int = 64
     block: int = 32
     # characters of the items in one shard
@@ -115,7 +118,7 @@ class Index:
         # short items by their first word
         self.short: dict[str, list[tuple[list[str], int]]] = {}
         for item, words in enumerate(self.words):
-            if 0 < len(words) < settings.min_words:
+            if settings.least_words <= len(words) < settings.min_words:
                 self.short.setdefault(words[0], []).append((words, item))
         self.half = max([settings.min_passage, *map(len, self.words)])
         lists: dict[Pair, list[tuple[int, float]]] = {}

@@ -119,3 +119,19 @@ def test_short_items_and_unspaced_scripts_are_found(spark):
     found = {(r.doc_id, r.item_id) for r in dc.contaminated(frame, items).collect()}
     assert found == {(0, 0), (2, 1), (4, 3), (6, 4)}
     assert sorted(r.doc_id for r in dc.without_benchmark(frame, items).collect()) == [1, 3, 5, 7]
+
+
+def test_a_single_word_is_no_evidence(spark):
+    items = spark.createDataFrame([(1, "the"), (2, "The."), (3, "日"), (4, "the end")], ITEMS)
+    docs = spark.createDataFrame([(1, "the start of 日本"), (2, "this is the end"), (3, "the")], DOCS)
+    assert [(r.doc_id, r.item_id) for r in dc.contaminated(docs, items).collect()] == [(2, 4)]
+    assert sorted(r.doc_id for r in dc.without_benchmark(docs, items).collect()) == [1, 3]
+
+
+def test_a_very_long_item(spark):
+    draw, words = random.Random(4), vocabulary(3000, 4)
+    long = " ".join(draw.choice(words) for _ in range(50_000))
+    items = spark.createDataFrame([(1, long), (2, "one two three four five six seven")], ITEMS)
+    docs = spark.createDataFrame([(1, f"before {long} after"), (2, "x one two three four five six seven y"), (3, "clean")], DOCS)
+    found = {(r.doc_id, r.item_id) for r in dc.contaminated(docs, items).collect()}
+    assert found == {(1, 1), (2, 2)}

@@ -140,3 +140,13 @@ def test_long_html_clashes_and_empty_table(spark):
     assert uf.url_verdicts(frame).first().verdict == "allow"
     assert uf.host_edges(frame).count() == 1
     assert uf.url_verdicts(frame.filter("page_id > 1")).count() == 0
+
+
+def test_pages_of_open_tags_take_linear_time(spark):
+    import time
+
+    pages = [(1, "https://a.org/", "<a " * 1_000_000), (2, "https://b.org/", "<a href=" + " " * 1_000_000), (3, "https://c.org/", "<a href" * 300_000)]
+    frame = spark.createDataFrame(pages, "page_id long, url string, html string")
+    began = time.monotonic()
+    assert len(uf.url_verdicts(frame).collect()) == 3
+    assert time.monotonic() - began < 60
