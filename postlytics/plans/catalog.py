@@ -8,6 +8,7 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from postlytics import schemas
 from postlytics.functions import text as words
 from postlytics.functions.records import country, geo_polygon, message_key
 from postlytics.functions.weights import decode_weights, encode_weights
@@ -20,9 +21,9 @@ from postlytics.operators.records import (
     statuses_to_records,
 )
 from postlytics.plans import fixtures
-from postlytics.session import workspace
+from postlytics.session import folder_names, workspace
 from postlytics.settings import DEFAULTS
-from postlytics.sources import batches, models, relational, seeds, tables
+from postlytics.sources import batches, corpus, models, relational, seeds, tables
 from postlytics.sources.streams import read_messages, to_messages, write_messages
 from postlytics.streaming import control
 from postlytics.streaming.buckets import bucket_writer, read_buckets
@@ -66,9 +67,10 @@ def s4_corpus_append(spark, sf_dir):
     )
     english = F.col("language") == "en"
     written_ms = F.col("sec") * 1000
+    table = corpus.BatchTable(spark, path, schemas.CORPUS)
     for batch_id, part in ((0, english), (1, ~english), (1, ~english)):
-        batches.append_corpus(posts.filter(part), path, batch_id, written_ms)
-    return tables.scan(spark, path).select(
+        corpus.append_corpus(posts.filter(part), table, batch_id, written_ms)
+    return table.read().select(
         "key",
         F.size("words").cast("long").alias("words"),
         "ingested_ms",
@@ -116,25 +118,94 @@ def s8_seed_list(spark, sf_dir):
 @query
 def s9_retention(spark, sf_dir):
     events = fixtures.table(spark, sf_dir, "events")
-    corpus = events.select("event_id", F.unix_millis(F.col("ts").cast("timestamp")).alias("ingested_ms"))
-    return batches.retain(corpus, 3, 1)
+    rows = events.select("event_id", F.unix_millis(F.col("ts").cast("timestamp")).alias("ingested_ms"))
+    return corpus.retain(rows, 3, 1)
 
 
-@query
-def s9_corpus_switch(spark, sf_dir):
-    """Two batches, a retention that switches the corpus, a third batch, then what readers see."""
-    root = workspace(spark, "stream")
+def _event_rows(spark, sf_dir) -> DataFrame:
+    """Events as corpus rows: key, words and write time."""
     millis = F.unix_millis(F.col("ts").cast("timestamp"))
-    events = fixtures.table(spark, sf_dir, "events").select(
-        F.col("event_id").alias("key"), F.array("event_type").alias("words"), millis.alias("ms")
+    events = fixtures.table(spark, sf_dir, "events")
+    return events.select(F.col("event_id").alias("key"), F.array("event_type").alias("words"), millis.alias("ms"))
+
+
+def _corpus_seen(table: corpus.BatchTable) -> DataFrame:
+    return table.read().select(
+        F.col("key").cast("long").alias("event_id"), "ingested_ms", F.col("batch_id").cast("long").alias("batch_id")
     )
+
+
+@query
+def s9_corpus_switch(spark, sf_dir):
+    """Two batches, a retention that readers apply, a third batch, then what readers see."""
+    table = corpus.corpus_table(spark, workspace(spark, "stream"))
+    events = _event_rows(spark, sf_dir)
     for batch_id in range(3):
         if batch_id == 2:
-            batches.switch_corpus(spark, root, 3, 1)
+            table.forget_share(3, 1)
         part = events.filter(F.pmod("key", F.lit(3)) == batch_id)
-        batches.append_corpus(part, batches.corpus_path(spark, root), batch_id, F.col("ms"))
-    rows = tables.scan(spark, batches.corpus_path(spark, root))
-    return rows.select(F.col("key").cast("long").alias("event_id"), "ingested_ms", F.col("batch_id").cast("long").alias("batch_id"))
+        corpus.append_corpus(part, table, batch_id, F.col("ms"))
+    return _corpus_seen(table)
+
+
+@query
+def s9_tombstones(spark, sf_dir):
+    """Retentions between batches; some carried out by compaction, one across its border, one left open.
+
+    A batch that was folded is repeated at the end and changes nothing.
+    """
+    table = corpus.corpus_table(spark, workspace(spark, "stream"))
+    events = _event_rows(spark, sf_dir)
+
+    def append(batch_id: int) -> None:
+        corpus.append_corpus(events.filter(F.pmod("key", F.lit(5)) == batch_id), table, batch_id, F.col("ms"))
+
+    append(0)
+    append(1)
+    table.forget_share(3, 1)
+    append(2)
+    table.forget_share(4, 2)
+    table.compact(1)
+    append(3)
+    table.forget_share(2, 1)
+    table.compact(3)
+    append(4)
+    append(0)
+    table.forget_share(5, 3)
+    return _corpus_seen(table)
+
+
+@query
+def s9_emptied_corpus(spark, sf_dir):
+    """Everything so far is forgotten and folded, and forgotten again; then a batch follows."""
+    table = corpus.corpus_table(spark, workspace(spark, "stream"))
+    events = _event_rows(spark, sf_dir)
+    corpus.append_corpus(events.filter("key % 2 = 0"), table, 0, F.col("ms"))
+    table.forget_share(1, 0)
+    table.compact(0)
+    table.forget_share(1, 0)
+    before = _corpus_seen(table)
+    corpus.append_corpus(events.filter("key % 2 = 1"), table, 1, F.col("ms"))
+    return before.unionByName(_corpus_seen(table))
+
+
+@query
+def s4_compaction(spark, sf_dir):
+    """Fifty batches, folded twice on the way, one batch repeated after it was folded.
+
+    `folders` counts the batch folders that are left.
+    """
+    path = workspace(spark, "compacted")
+    table = corpus.BatchTable(spark, path, schemas.CORPUS)
+    events = _event_rows(spark, sf_dir).persist()
+    for batch_id in range(50):
+        corpus.append_corpus(events.filter(F.pmod("key", F.lit(50)) == batch_id), table, batch_id, F.col("ms"))
+        if batch_id in (19, 39):
+            table.compact()
+    corpus.append_corpus(events.filter(F.pmod("key", F.lit(50)) == 30), table, 30, F.col("ms"))
+    events.unpersist()
+    folders = sum(name.startswith("batch_id=") for name in folder_names(spark, path))
+    return _corpus_seen(table).withColumn("folders", F.lit(folders).cast("long"))
 
 
 @query
@@ -230,6 +301,42 @@ def w4_out_of_order(spark, sf_dir):
     return tables.scan(spark, f"{root}/assigned").select("key", "match_kind", "topic", "label")
 
 
+@query
+def w4_wrong_dates(spark, sf_dir):
+    """As `w4_stream_feedback`, with copies dated wrongly before, between and after the live posts.
+
+    Copies of every tenth post are dated a day and a year ahead of all posts. Copies of the posts
+    without seed tags are dated four minutes ahead, so inside the windows of live posts. None of them
+    may change what becomes of the live posts.
+    """
+    root = workspace(spark, "stream")
+    model_root = fixtures.model_root(spark, sf_dir)
+    posts = fixtures.posts(spark, sf_dir)
+    first, last = posts.agg(F.min("sec"), F.max("sec")).first()
+    span = last - first + 1
+    seeded = F.exists("tags", lambda t: t.isin(*fixtures.SEEDS))
+
+    def wrong(part: int, seconds: int, which) -> DataFrame:
+        later = F.timestamp_seconds(F.col("sec") + seconds)
+        return posts.filter(which).withColumns({"ts": later, "post_id": -1 - (F.col("post_id") * 9 + part)})
+
+    def wrongs(part: int) -> DataFrame:
+        tenth = F.pmod("post_id", F.lit(30)) == 10 * part
+        minutes = wrong(part, 240, ~seeded & (F.pmod("post_id", F.lit(3)) == part))
+        day, year = (wrong(part + 3 * k, span + 86_400 * days, tenth) for k, days in ((1, 1), (2, 365)))
+        return minutes.unionByName(day).unionByName(year)
+
+    middle = (first + last) // 2
+    live = [posts.filter(F.col("sec") <= middle), posts.filter(F.col("sec") > middle)]
+    for part in (wrongs(0), live[0], wrongs(1), live[1], wrongs(2)):
+        _landed(spark, part, f"{root}/landing")
+        job = Pipeline(root, fixtures.tag_list(spark), TopicModel(model_root))
+        messages = read_messages(spark, "parquet", f"{root}/landing")
+        control.finish(control.start(job.writer(messages), once=True))
+    rows = tables.scan(spark, f"{root}/assigned").filter(F.col("key").cast("long") >= 0)
+    return rows.select("key", "match_kind", "topic", "label")
+
+
 @query
 def a7_stream_view(spark, sf_dir):
     """The minute view as a stream over what the stream job assigned.

@@ -153,6 +153,10 @@ def statements() -> dict[str, str]:
             """SELECT CAST(post_id AS VARCHAR) AS key, match_kind, topic, label
                FROM accepted JOIN best USING (post_id) LEFT JOIN labels10 USING (topic)""",
             "accepted", "best", "labels10"),
+        "w4_wrong_dates": _sql(
+            """SELECT CAST(post_id AS VARCHAR) AS key, match_kind, topic, label
+               FROM accepted JOIN best USING (post_id) LEFT JOIN labels10 USING (topic)""",
+            "accepted", "best", "labels10"),
         "w4_out_of_order": _sql(
             """SELECT CAST(post_id AS VARCHAR) AS key, match_kind, topic, label
                FROM accepted JOIN best USING (post_id) LEFT JOIN labels10 USING (topic)""",
@@ -268,6 +272,17 @@ def statements() -> dict[str, str]:
         "s9_corpus_switch": """
             SELECT event_id, epoch_us(ts) // 1000 AS ingested_ms, event_id % 3 AS batch_id FROM events
             WHERE event_id % 3 = 2 OR epoch_us(ts) // 1000 % 3 <> 1""",
+        "s9_tombstones": """
+            SELECT event_id, ms AS ingested_ms, event_id % 5 AS batch_id
+            FROM (SELECT event_id, epoch_us(ts) // 1000 AS ms FROM events)
+            WHERE NOT (event_id % 5 <= 1 AND ms % 3 = 1) AND NOT (event_id % 5 <= 2 AND ms % 4 = 2)
+              AND NOT (event_id % 5 <= 3 AND ms % 2 = 1) AND ms % 5 <> 3""",
+        "s9_emptied_corpus": """
+            SELECT event_id, epoch_us(ts) // 1000 AS ingested_ms, CAST(1 AS BIGINT) AS batch_id
+            FROM events WHERE event_id % 2 = 1""",
+        "s4_compaction": """
+            SELECT event_id, epoch_us(ts) // 1000 AS ingested_ms, event_id % 50 AS batch_id,
+                   CAST(31 AS BIGINT) AS folders FROM events""",
         "a8_topic_scores": _sql(
             """SELECT p.post_id, CAST(t AS INTEGER) AS topic, coalesce(k.score, 0.0) AS score
                FROM (SELECT post_id, t FROM posts, range(10) r(t)) p

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from postlytics.operators import topics
 from postlytics.settings import DEFAULTS, Settings
-from postlytics.sources import batches, models
+from postlytics.sources import models
+from postlytics.sources.corpus import corpus_table, draw_retention
 
 
 def train(corpus: DataFrame, model_root: str, settings: Settings = DEFAULTS, seed: int = 1) -> int:
@@ -20,17 +21,9 @@ def train(corpus: DataFrame, model_root: str, settings: Settings = DEFAULTS, see
 
 
 def train_and_shrink(spark: SparkSession, root: str, model_root: str, seed: int, settings: Settings = DEFAULTS) -> int:
-    """The whole batch job on the corpus below `root`: fit, publish, then drop one drawn share of it."""
-    version = train(spark.read.parquet(batches.corpus_path(spark, root)), model_root, settings, seed)
-    batches.switch_corpus(spark, root, *batches.draw_retention(seed))
+    """The whole batch job on the corpus below `root`: fit, publish, forget one drawn share, fold old batches."""
+    table = corpus_table(spark, root)
+    version = train(table.read(), model_root, settings, seed)
+    table.forget_share(*draw_retention(seed))
+    table.compact()
     return version
-
-
-def shrink(corpus: DataFrame, target: str, seed: int) -> tuple[int, int]:
-    """Write the corpus without one drawn share of its rows to `target`; returns the draw.
-
-    The caller switches readers to `target`; the old corpus is left as it is.
-    """
-    divisor, remainder = batches.draw_retention(seed)
-    batches.retain(corpus, divisor, remainder).write.mode("errorifexists").partitionBy("batch_id").parquet(target)
-    return divisor, remainder

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from postlytics.operators.windows import second_buckets
-from postlytics.session import path_exists
+from postlytics.session import delete_path, folder_names
 from postlytics.sources.batches import write_batch
 
 _DAY = 86_400
@@ -60,11 +60,7 @@ class WindowState:
         self.spark, self.path, self.keys = spark, path, keys
 
     def _batches(self) -> list[int]:
-        if not path_exists(self.spark, self.path):
-            return []
-        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
-        fs = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        names = [s.getPath().getName() for s in fs.listStatus(folder)]
+        names = folder_names(self.spark, self.path)
         return sorted(int(n.removeprefix("batch=")) for n in names if n.startswith("batch="))
 
     def before(self, batch_id: int) -> DataFrame:
@@ -82,8 +78,6 @@ class WindowState:
 
     def forget(self, batch_id: int) -> None:
         """Delete folders that neither the next batch nor a repeat of this one reads."""
-        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
         earlier = [b for b in self._batches() if b < batch_id]
         for old in earlier[:-1]:
-            folder = jvm.org.apache.hadoop.fs.Path(f"{self.path}/batch={old}")
-            folder.getFileSystem(conf).delete(folder, True)
+            delete_path(self.spark, f"{self.path}/batch={old}")

@@ -10,7 +10,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
@@ -24,7 +24,8 @@ from postlytics.operators.tags import TagList, split_tags
 from postlytics.operators.topics import conflicting_labels, repeated_weights, require_none
 from postlytics.settings import DEFAULTS, Settings
 from postlytics.sources import models
-from postlytics.sources.batches import append_corpus, corpus_path, write_batch
+from postlytics.sources.batches import write_batch
+from postlytics.sources.corpus import append_corpus, corpus_table, spread_write_time
 from postlytics.streaming.buckets import WindowState
 
 # what scoring keeps of a post besides its row number
@@ -67,6 +68,17 @@ def with_row_ids(messages: DataFrame) -> DataFrame:
     return copies.select("key", "value", F.xxhash64("key", "value", "copy").alias("row"))
 
 
+def clock_columns() -> list[Column]:
+    """Two clocks over distinct seconds that have posts: of all that is known, and of the batch alone.
+
+    Both are middles, so dates that are wrong move them only where they fill more seconds than the
+    right ones. The smaller is taken: a batch of wrong dates alone does not move what is known, and
+    where only wrong dates are known, the first batch of right ones holds the clock back.
+    """
+    middle = lambda sec: F.percentile_approx(sec, 0.5, 1000)
+    return [middle(F.col("sec")), middle(F.when(F.col("fresh"), F.col("sec")))]
+
+
 @dataclass
 class Pipeline:
     """Tables below `root`: quarantine, tag_state, total_state, funnel, corpus, assigned.
@@ -91,7 +103,6 @@ class Pipeline:
 
     def process(self, messages: DataFrame, batch_id: int) -> None:
         numbered = with_row_ids(messages)
-        # a date far ahead would move the window state's horizon past all live posts
         latest = F.current_timestamp() + F.make_dt_interval(secs=F.lit(self.settings.future_seconds))
         parsed = parse_messages(numbered, latest).persist(StorageLevel.MEMORY_AND_DISK)
         try:
@@ -117,19 +128,21 @@ class Pipeline:
             now, before = other_tag_buckets(split, probes=True), tag_state.before(batch_id)
             tag_buckets = hold(merge_buckets(now, before, "tag", "sec"))
             now, before = total_buckets(split, probes=True), total_state.before(batch_id)
-            totals = hold(merge_buckets(now, before, "sec"))
-            last, seconds = totals.agg(F.max("sec"), F.count("sec")).first()
+            fresh = now.withColumn("fresh", F.lit(True)).unionByName(before.withColumn("fresh", F.lit(False)))
+            totals = hold(fresh.groupBy("sec").agg(F.sum("n").alias("n"), F.max("fresh").alias("fresh")))
+            middle, own, seconds = totals.agg(*clock_columns(), F.count("sec")).first()
             marked = hold(
-                mark_accepted(split, tag_buckets, totals, settings, key="row", seconds=seconds)
+                mark_accepted(split, tag_buckets, totals.drop("fresh"), settings, key="row", seconds=seconds)
             )
             write_batch(marked.agg(*funnel_columns()), self.path("funnel"), batch_id)
             # a later batch may hold posts this late, each with a full window before it
-            horizon = (last or 0) - settings.window_seconds - settings.watermark_seconds
+            clock = min((sec for sec in (middle, own) if sec is not None), default=0)
+            horizon = clock - settings.window_seconds - settings.watermark_seconds
             tag_state.save(tag_buckets, batch_id, horizon)
             total_state.save(totals, batch_id, horizon)
             words = clean_words(F.col("text")).alias("words")
             kept = hold(accepted(marked).select("row", *CARRIED, words))
-            append_corpus(kept, corpus_path(spark, self.root), batch_id, F.unix_millis(F.current_timestamp()))
+            append_corpus(kept, corpus_table(spark, self.root), batch_id, spread_write_time(F.current_timestamp(), "row"))
             write_batch(self._assign(kept), self.path("assigned"), batch_id)
         finally:
             for table in held:

@@ -9,7 +9,7 @@ from postlytics import jobs
 from postlytics.plans import fixtures
 from postlytics.session import workspace
 from postlytics.sources import models
-from postlytics.sources.batches import corpus_path
+from postlytics.sources.corpus import corpus_table
 from tests.conftest import SF_DIR
 
 
@@ -22,11 +22,11 @@ def test_from_statuses_to_view(spark, tmp_path):
     jobs.main(["ingest", "--statuses", f"{root}/statuses", "--seeds", str(seeds), "--out", f"{root}/messages", "--checkpoint", f"{root}/c1", *files], spark)
     stream = ["stream", "--root", root, "--seeds", str(seeds), "--model", f"{root}/model", "--messages", f"{root}/messages", *files]
     jobs.main(stream, spark)
-    before = spark.read.parquet(corpus_path(spark, root)).count()
+    before = corpus_table(spark, root).read().count()
     assert before == spark.read.parquet(f"{root}/assigned").count() > 0
     jobs.main(["train", "--root", root, "--model", f"{root}/model", "--seed", "3"], spark)
     assert models.current_version(spark, f"{root}/model") == 1
-    assert spark.read.parquet(corpus_path(spark, root)).count() <= before
+    assert 0 < corpus_table(spark, root).read().count() < before
     jobs.main(["view", "--root", root, "--out", f"{root}/view", "--checkpoint", f"{root}/c2", "--once"], spark)
     assert spark.read.parquet(f"{root}/view").agg(F.sum("count")).first()[0] > 0
 

@@ -1,10 +1,12 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from postlytics.plans import training
 from postlytics.session import workspace
 from postlytics.settings import Settings
-from postlytics.sources import batches, models, relational, tables
+from postlytics.sources import corpus, models, relational, tables
 
 
 def corpus_rows(spark, keys):
@@ -12,10 +14,11 @@ def corpus_rows(spark, keys):
 
 
 def test_repeated_batch_replaces_itself(spark):
-    path = workspace(spark, "corpus")
+    table = corpus.corpus_table(spark, workspace(spark, "stream"))
+    assert table.read().count() == 0 and table.last_batch() == -1
     for batch_id, keys in ((0, [1, 2]), (1, [3]), (1, [3]), (2, [])):
-        batches.append_corpus(corpus_rows(spark, keys), path, batch_id, F.lit(5))
-    rows = spark.read.parquet(path).select("key", "batch_id", "ingested_ms").collect()
+        corpus.append_corpus(corpus_rows(spark, keys), table, batch_id, F.lit(5))
+    rows = table.read().select("key", "batch_id", "ingested_ms").collect()
     assert sorted((r.key, r.batch_id, r.ingested_ms) for r in rows) == [("1", 0, 5), ("2", 0, 5), ("3", 1, 5)]
 
 
@@ -23,17 +26,17 @@ def test_repeated_batch_replaces_itself(spark):
 def test_retention(spark, divisor):
     df = spark.createDataFrame([(i,) for i in range(12)], "ingested_ms long")
     for remainder in range(divisor):
-        kept = [r[0] for r in batches.retain(df, divisor, remainder).collect()]
+        kept = [r[0] for r in corpus.retain(df, divisor, remainder).collect()]
         assert kept == [i for i in range(12) if i % divisor != remainder]
 
 
 def test_retention_arguments(spark):
     df = spark.createDataFrame([(1,)], "ingested_ms long")
     with pytest.raises(ValueError):
-        batches.retain(df, 3, 3)
-    draws = {batches.draw_retention(seed) for seed in range(200)}
+        corpus.retain(df, 3, 3)
+    draws = {corpus.draw_retention(seed) for seed in range(200)}
     assert draws == {(d, r) for d in (2, 3, 4) for r in range(d)}
-    assert batches.draw_retention(7) == batches.draw_retention(7)
+    assert corpus.draw_retention(7) == corpus.draw_retention(7)
 
 
 def weights(spark, *rows):
@@ -66,21 +69,37 @@ def test_publish_guards_weights(spark):
         models.publish(weights(spark, ("a", 0, 1.0), ("a", 0, 2.0)), workspace(spark, "model"))
 
 
-def test_train_and_shrink(spark):
-    path, root, target = (workspace(spark, n) for n in ("corpus", "model", "smaller"))
+def trained(spark, root, seed):
+    """A corpus of 40 posts in one batch, all written within a second, after one training run."""
     docs = spark.createDataFrame(
         [(str(i), [f"{'ab'[i % 2]}{j}" for j in range(8)] + ["x"]) for i in range(40)], "key string, words array<string>"
     )
-    batches.append_corpus(docs, path, 0, F.col("key").cast("long"))
-    settings = Settings(topics=2, max_iter=3)
-    stored = tables.scan(spark, path)
-    assert training.train(stored, root, settings) == 1
-    model = models.load(spark, root)
-    assert model.word_topics.count() == 2 * 17
-    assert model.topics.count() == 2
-    divisor, remainder = training.shrink(stored, target, seed=3)
-    kept = {int(r.key) for r in spark.read.parquet(target).collect()}
-    assert kept == {i for i in range(40) if i % divisor != remainder}
+    table = corpus.corpus_table(spark, root)
+    now = F.timestamp_millis(F.lit(1_704_067_200_000))
+    corpus.append_corpus(docs, table, 0, corpus.spread_write_time(now))
+    before = {r.key: r.ingested_ms for r in table.read().collect()}
+    assert training.train_and_shrink(spark, root, f"{root}/model", seed, Settings(topics=2, max_iter=2)) == 1
+    return table, before
+
+
+def test_train_and_shrink(spark):
+    root = workspace(spark, "stream")
+    table, before = trained(spark, root, 3)
+    model = models.load(spark, f"{root}/model")
+    assert (model.word_topics.count(), model.topics.count()) == (2 * 17, 2)
+    divisor, remainder = corpus.draw_retention(3)
+    kept = {r.key for r in table.read().collect()}
+    assert kept == {key for key, ms in before.items() if ms % divisor != remainder}
+    assert 0 < len(kept) < 40
+
+
+@pytest.mark.parametrize("draw", [(d, r) for d in corpus.RETENTION_DIVISORS for r in range(d)])
+def test_no_draw_empties_a_batch(spark, draw):
+    table = corpus.corpus_table(spark, workspace(spark, "stream"))
+    now = F.timestamp_millis(F.lit(1_704_067_200_000))
+    corpus.append_corpus(corpus_rows(spark, range(200)), table, 0, corpus.spread_write_time(now))
+    table.forget_share(*draw)
+    assert 0.2 < 1 - table.read().count() / 200 < 0.8
 
 
 def test_train_needs_words(spark):
@@ -118,19 +137,53 @@ def test_spread_keeps_all_rows(spark):
     assert sorted(r.k for r in tables.scan_spread(spark, path, "k", "k").collect()) == list(range(500))
 
 
-def test_retention_switches_the_corpus(spark):
+def event_rows(spark, keys):
+    rows = spark.createDataFrame([(k,) for k in keys], "key long")
+    return rows.select("key", F.array(F.lit("w")).alias("words"), F.col("key").alias("ms"))
+
+
+def test_tombstones_and_compaction_equal_plain_rows(spark):
+    """Random appends, repeats, retentions and compactions against a dictionary."""
+    draw = random.Random(12)
+    table, plain, last = corpus.corpus_table(spark, workspace(spark, "stream")), {}, -1
+    batch = lambda number: list(range(number * 10, number * 10 + 10))
+    for _ in range(12):
+        action = draw.choice(["append", "append", "repeat", "forget", "compact", "compact early"])
+        if action == "append" or last < 0:
+            last += 1
+            plain.update(dict.fromkeys(batch(last), last))
+            corpus.append_corpus(event_rows(spark, batch(last)), table, last, F.col("ms"))
+        elif action == "repeat":
+            again = draw.randrange(last + 1)
+            corpus.append_corpus(event_rows(spark, batch(again)), table, again, F.col("ms"))
+        elif action == "forget":
+            divisor, remainder = corpus.draw_retention(draw.randrange(99))
+            plain = {k: b for k, b in plain.items() if k % divisor != remainder}
+            table.forget_share(divisor, remainder)
+        else:
+            table.compact(None if action == "compact" else draw.randrange(last + 1))
+        assert {int(r.key): r.batch_id for r in table.read().collect()} == plain
+    assert table.live().version > 2
+
+
+def test_a_reader_of_the_version_before_still_reads(spark):
+    table = corpus.corpus_table(spark, workspace(spark, "stream"))
+    for number in range(4):
+        corpus.append_corpus(event_rows(spark, [number]), table, number, F.col("ms"))
+    table.compact(1)
+    before = table.read()
+    table.compact(2)
+    assert sorted(int(r.key) for r in before.collect()) == [0, 1, 2, 3]
+    assert sorted(int(r.key) for r in table.read().collect()) == [0, 1, 2, 3]
+
+
+def test_an_emptied_corpus_can_be_read_and_trained_on_again(spark):
     root = workspace(spark, "stream")
-    rows = spark.range(12).select(F.col("id").alias("key"), F.array(F.lit("w")).alias("words"), F.col("id").alias("ms"))
-
-    def keys():
-        path = batches.corpus_path(spark, root)
-        return sorted(int(r.key) for r in spark.read.parquet(path).collect())
-
-    batches.append_corpus(rows.filter("key < 9"), batches.corpus_path(spark, root), 0, F.col("ms"))
-    old = batches.corpus_path(spark, root)
-    new = batches.switch_corpus(spark, root, 3, 1)
-    assert new == batches.corpus_path(spark, root) != old
-    assert keys() == [0, 2, 3, 5, 6, 8]
-    batches.append_corpus(rows.filter("key >= 9"), batches.corpus_path(spark, root), 1, F.col("ms"))
-    assert keys() == [0, 2, 3, 5, 6, 8, 9, 10, 11]
-    assert spark.read.parquet(old).count() == 9
+    table, _ = trained(spark, root, 5)
+    table.forget_share(1, 0)
+    table.compact(0)
+    assert table.read().count() == 0
+    with pytest.raises(ValueError, match="no word"):
+        training.train_and_shrink(spark, root, f"{root}/model", 1)
+    corpus.append_corpus(corpus_rows(spark, ["new"]), table, 1, F.lit(7))
+    assert [r.key for r in table.read().collect()] == ["new"]

@@ -14,6 +14,7 @@ from postlytics.session import workspace
 from postlytics.settings import Settings
 from postlytics.sources import models
 from postlytics.sources.batches import write_batch
+from postlytics.sources.corpus import corpus_table
 from postlytics.sources.streams import read_messages, write_messages
 from postlytics.streaming import control
 from postlytics.streaming.buckets import bucket_writer, read_buckets
@@ -112,7 +113,7 @@ def test_three_deliveries_with_restarts_equal_one_batch(spark):
     assert {"seed", "promoted"} == {kind for kind, _ in expected.values()}
     funnel = spark.read.parquet(f"{root}/funnel").agg(F.sum("posts"), F.sum("with_seed_or_promoted")).first()
     assert tuple(funnel) == (600, len(expected))
-    corpus = spark.read.parquet(f"{root}/corpus")
+    corpus = corpus_table(spark, root).read()
     assert {r.key for r in corpus.collect()} == set(expected)
 
 
@@ -200,6 +201,43 @@ def test_a_post_dated_ahead_does_not_stop_promotion(spark):
     assert found[0] == found[1] and "promoted" in {kind for _, kind in found[1]}
 
 
+@pytest.mark.parametrize("seconds", [240, 31_536_000])
+def test_wrong_dates_do_not_change_live_posts(spark, seconds):
+    """One wrong date alone in a batch, among live posts, and a batch of wrong dates before all others."""
+    live = {b: posts(30 + b, 40, b * 200, b * 200 + 200) for b in range(3)}
+    found = []
+    for wrong in (False, True):
+        root = workspace(spark, "stream")
+        job = Pipeline(root, seeds(spark), TopicModel(f"{root}/model", settings=SETTINGS), SETTINGS)
+        batch_id = 0
+
+        def process(rows):
+            nonlocal batch_id
+            sent = [to_message(spark, r) for r in rows]
+            job.process(spark.createDataFrame(sent, "key string, value string"), batch_id)
+            batch_id += 1
+
+        ahead = lambda n: [(f"wrong{n}-{i}", "Word1!", ["t1", "Hot"], BASE + 200 * n + 7 * i + seconds, "DE") for i in range(6)]
+        if wrong:
+            process(ahead(0))
+        for b, rows in live.items():
+            process([*rows, *(ahead(b)[:1] if wrong else [])])
+            if wrong:
+                process(ahead(b)[1:2])
+        kept = spark.read.parquet(f"{root}/assigned").filter("key NOT LIKE 'wrong%'").collect()
+        found.append({(r.key, r.match_kind) for r in kept})
+    assert found[0] == found[1] and "promoted" in {kind for _, kind in found[1]}
+
+
+def test_a_batch_without_dates_keeps_the_state(spark):
+    root = workspace(spark, "stream")
+    job = Pipeline(root, seeds(spark), TopicModel(f"{root}/model", settings=SETTINGS), SETTINGS)
+    job.process(spark.createDataFrame([to_message(spark, r) for r in posts(1, 30)], "key string, value string"), 0)
+    job.process(spark.createDataFrame([("x", '{"text":"a","hashtagList":["s1","t1"]}')], "key string, value string"), 1)
+    state = [spark.read.parquet(f"{root}/tag_state/batch={b}").count() for b in (0, 1)]
+    assert state[1] >= state[0] > 0
+
+
 def test_bad_messages_and_empty_batches(spark):
     root = workspace(spark, "stream")
     deliver(spark, posts(3, 20), f"{root}/landing", ("bad", "no json"), ("cut", '{"text":'))
