@@ -201,38 +201,31 @@ def test_a_post_dated_ahead_does_not_stop_promotion(spark):
     assert found[0] == found[1] and "promoted" in {kind for _, kind in found[1]}
 
 
-@pytest.mark.parametrize("seconds", [240, 31_536_000])
-def test_wrong_dates_do_not_change_live_posts(spark, seconds):
-    """One wrong date alone in a batch, among live posts, and a batch of wrong dates before all others."""
-    live = {b: posts(30 + b, 40, b * 200, b * 200 + 200) for b in range(3)}
-    found = []
-    for wrong in (False, True):
-        root = workspace(spark, "stream")
-        job = Pipeline(root, seeds(spark), TopicModel(f"{root}/model", settings=SETTINGS), SETTINGS)
-        batch_id = 0
+def as_messages(spark, rows):
+    path = workspace(spark, "messages")
+    deliver(spark, rows, path)
+    return spark.read.parquet(path)
 
-        def process(rows):
-            nonlocal batch_id
-            sent = [to_message(spark, r) for r in rows]
-            job.process(spark.createDataFrame(sent, "key string, value string"), batch_id)
-            batch_id += 1
-
-        ahead = lambda n: [(f"wrong{n}-{i}", "Word1!", ["t1", "Hot"], BASE + 200 * n + 7 * i + seconds, "DE") for i in range(6)]
-        if wrong:
-            process(ahead(0))
-        for b, rows in live.items():
-            process([*rows, *(ahead(b)[:1] if wrong else [])])
-            if wrong:
-                process(ahead(b)[1:2])
-        kept = spark.read.parquet(f"{root}/assigned").filter("key NOT LIKE 'wrong%'").collect()
-        found.append({(r.key, r.match_kind) for r in kept})
-    assert found[0] == found[1] and "promoted" in {kind for _, kind in found[1]}
+
+def test_wrong_dates_do_not_change_live_posts(spark):
+    """A batch of wrong dates before all others, one wrong date alone in a batch, and some among live posts."""
+    live = posts(30, 160, 0, 400)
+    root = workspace(spark, "stream")
+    publish(spark, root)
+    job = Pipeline(root, seeds(spark), TopicModel(f"{root}/model", settings=SETTINGS), SETTINGS)
+    ahead = lambda sec, *seconds: [(f"wrong{sec + s}", "Word1!", ["t1", "Hot"], BASE + sec + s, "DE") for s in seconds]
+    parts = [ahead(0, 240, 86_400, 31_536_000), live[:80], ahead(200, 31_536_000), [*live[80:], *ahead(300, 240, 86_400)]]
+    for batch_id, rows in enumerate(parts):
+        job.process(as_messages(spark, rows), batch_id)
+    kept = {k: v[:2] for k, v in assigned(spark, root).items() if not k.startswith("wrong")}
+    assert kept == in_batch(spark, live)
+    assert "promoted" in {kind for kind, _ in kept.values()}
 
 
 def test_a_batch_without_dates_keeps_the_state(spark):
     root = workspace(spark, "stream")
     job = Pipeline(root, seeds(spark), TopicModel(f"{root}/model", settings=SETTINGS), SETTINGS)
-    job.process(spark.createDataFrame([to_message(spark, r) for r in posts(1, 30)], "key string, value string"), 0)
+    job.process(as_messages(spark, posts(1, 30)), 0)
     job.process(spark.createDataFrame([("x", '{"text":"a","hashtagList":["s1","t1"]}')], "key string, value string"), 1)
     state = [spark.read.parquet(f"{root}/tag_state/batch={b}").count() for b in (0, 1)]
     assert state[1] >= state[0] > 0
