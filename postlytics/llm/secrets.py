@@ -9,8 +9,8 @@ of a token would hide it. Strings that are not random are dismissed by the Benja
 procedure over all distinct strings of their length class, which bounds the share of random ones
 among those dismissed; a run is a span when it or one of its parts is not dismissed.
 
-All of it is DataFrame code. Positions come from the lengths of matches and of the gaps between
-them. P-values are counted in bins, so the procedure reads a few hundred rows per length class; its
+All of it is DataFrame code. Positions are running sums of the lengths of matches and of the gaps
+between them, so work is near linear in the matches of a text. P-values are counted in bins, so the procedure reads a few hundred rows per length class; its
 result is one number per class.
 """
 
@@ -69,6 +69,27 @@ SPOT = "struct<start:int,end:int,value:string>"
 SPAN = "struct<start:int,rank:int,end:int>"
 
 
+def _named(value: Column, use) -> Column:
+    """`use` of a value that is evaluated once, however often `use` mentions it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _running(items: Column, combine) -> Column:
+    """Each item combined with all before it, by `combine(earlier, item)`, which keeps the type.
+
+    Rounds of doubling reach: as many passes as the length has bits, none copies what it has found.
+    """
+    reaches = F.array(*[F.lit(1 << bit) for bit in range(31)])
+    return F.aggregate(
+        reaches,
+        items,
+        lambda done, reach: F.when(
+            F.size(done) > reach,
+            F.transform(done, lambda item, i: F.when(i >= reach, combine(F.get(done, i - reach), item)).otherwise(item)),
+        ).otherwise(done),
+    )
+
+
 def occurrences(text: Column, pattern: str, group: int = 0) -> Column:
     """array<struct<start, end, value>>: leftmost matches in code points, with one of their groups."""
     whole = F.regexp_extract_all(text, F.lit(pattern), 0)
@@ -77,23 +98,13 @@ def occurrences(text: Column, pattern: str, group: int = 0) -> Column:
         F.transform(whole, F.char_length).alias("size"),
         F.regexp_extract_all(text, F.lit(pattern), group).alias("value"),
     )
-    found = F.aggregate(
-        F.filter(pieces, lambda p: p["size"].isNotNull()),
-        F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{SPOT}>").alias("found")),
-        lambda state, p: F.struct(
-            (state["at"] + p["gap"] + p["size"]).alias("at"),
-            F.concat(
-                state["found"],
-                F.array(
-                    F.struct(
-                        (state["at"] + p["gap"]).alias("start"),
-                        (state["at"] + p["gap"] + p["size"]).alias("end"),
-                        p["value"].alias("value"),
-                    ).cast(SPOT)
-                ),
-            ).alias("found"),
-        ),
-        lambda state: state["found"],
+    matches = F.filter(pieces, lambda p: p["size"].isNotNull())
+    ended = _running(
+        F.transform(matches, lambda p: F.struct(p["size"], (p["gap"] + p["size"]).alias("end"), p["value"])),
+        lambda earlier, p: F.struct(p["size"], (earlier["end"] + p["end"]).alias("end"), p["value"]),
+    )
+    found = F.transform(
+        ended, lambda p: F.struct((p["end"] - p["size"]).alias("start"), p["end"], p["value"]).cast(SPOT)
     )
     return F.when(text.rlike(pattern), found).otherwise(F.array().cast(f"array<{SPOT}>"))
 
@@ -186,11 +197,25 @@ def _total(values: Column) -> Column:
     return F.aggregate(values, F.lit(0.0), lambda a, b: a + b)
 
 
+def _squares(values: Column) -> Column:
+    """Sum of the squared counts of equal values: of sorted ones, each adds what its turn adds to a square."""
+    return F.aggregate(
+        F.sort_array(values),
+        F.struct(F.lit(-1.0).alias("last"), F.lit(0.0).alias("turn"), F.lit(0.0).alias("sum")),
+        lambda state, v: F.struct(
+            v.alias("last"),
+            F.when(v == state["last"], state["turn"] + 2).otherwise(1.0).alias("turn"),
+            (state["sum"] + F.when(v == state["last"], state["turn"] + 2).otherwise(1.0)).alias("sum"),
+        ),
+        lambda state: state["sum"],
+    )
+
+
 def randomness(x: Column, k: Column) -> Column:
     """p-value of symbols `x` (numbers below `k`) under uniform, independent draws."""
     n = F.size(x).cast("double")
     # chi-squared over the alphabet, by the cube-root approximation of its tail
-    squares = _total(F.transform(F.array_distinct(x), lambda v: F.pow(F.size(F.filter(x, lambda w: w == v)).cast("double"), F.lit(2.0))))
+    squares = _squares(x)
     chi = squares * k / n - n
     spread = 2 / (9 * (k - 1))
     uniform = _upper_tail((F.pow(chi / (k - 1), F.lit(1 / 3)) - (1 - spread)) / F.sqrt(spread))
@@ -206,15 +231,18 @@ def randomness(x: Column, k: Column) -> Column:
     variance = (mean - 1) * (mean - 2) / (n - 1)
     runs_p = F.when(variance > 0, _two_sided((runs - mean) / F.sqrt(variance))).otherwise(F.lit(0.0))
     # correlation of each symbol with the next
-    middle = _total(x) / n
+    serial_p = _named(_total(x) / n, lambda middle: _serial(x, n, middle))
+    return F.least(F.lit(1.0), 3 * F.least(uniform, runs_p, serial_p))
+
+
+def _serial(x: Column, n: Column, middle: Column) -> Column:
     around = F.transform(x, lambda v: v - middle)
     pairs = F.arrays_zip(
         F.slice(around, 1, F.size(x) - 1).alias("a"), F.slice(around, 2, F.size(x) - 1).alias("b")
     )
     power = _total(F.transform(around, lambda v: v * v))
     lag = _total(F.transform(pairs, lambda s: s["a"] * s["b"])) / power
-    serial_p = F.when(power > 0, _two_sided((lag + 1 / n) * F.sqrt(n))).otherwise(F.lit(0.0))
-    return F.least(F.lit(1.0), 3 * F.least(uniform, runs_p, serial_p))
+    return F.when(power > 0, _two_sided((lag + 1 / n) * F.sqrt(n))).otherwise(F.lit(0.0))
 
 
 def _bin(p: Column, battery: Battery) -> Column:
@@ -250,7 +278,9 @@ def random_spans(runs: Column, bounds: dict[int, int]) -> Column:
             found = found | ((run["class"] == number) & (run["bin"] >= bound))
         return found
 
-    return F.array_distinct(_spans(F.filter(runs, lambda run: ~dismissed(run)), KINDS.index("random")))
+    # strings of one run follow each other
+    left = _spans(F.filter(runs, lambda run: ~dismissed(run)), KINDS.index("random"))
+    return _named(left, lambda spans: F.filter(spans, lambda s, i: (i == 0) | (F.get(spans, i - 1)["start"] != s["start"])))
 
 
 def joined(spans: Column) -> Column:
@@ -289,28 +319,61 @@ def secret_report(docs: DataFrame, battery: Battery = Battery()) -> DataFrame:
     )
 
 
+# Code points of a block: what a cut reads beside its own text.
+BLOCK_BITS = 10
+
+
+def _between(blocks: Column, start: Column, end: Column) -> Column:
+    """The text of two places from the blocks that it touches."""
+    size = 1 << BLOCK_BITS
+
+    def part(number: Column) -> Column:
+        first = F.greatest(start - number * size, F.lit(0))
+        return F.substring(F.get(blocks, number), first + 1, F.least(end - number * size, F.lit(size)) - first)
+
+    touched = F.sequence(F.shiftright(start, BLOCK_BITS), F.shiftright(end - 1, BLOCK_BITS))
+    return F.when(start < end, F.array_join(F.transform(touched, part), "")).otherwise("")
+
+
+def _without(text: Column, spans: Column, mark: str) -> Column:
+    """The text with a mark for every group of overlapping spans, which are sorted and not empty."""
+    reached = _running(
+        F.transform(spans, lambda s: F.struct(s["start"], s["end"])),
+        lambda earlier, s: F.struct(s["start"], F.greatest(earlier["end"], s["end"]).alias("end")),
+    )
+    blocks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{1 << BLOCK_BITS}}}"), F.lit(0))
+
+    def joined_pieces(reached: Column, blocks: Column) -> Column:
+        between = F.transform(
+            reached,
+            lambda s, i: F.struct(F.coalesce(F.get(reached, i - 1)["end"], F.lit(0)).alias("start"), s["start"].alias("end")),
+        )
+        kept = F.filter(between, lambda p: p["start"] <= p["end"])
+        tail = F.struct(F.element_at(reached, -1)["end"].alias("start"), F.char_length(text).alias("end"))
+        pieces = F.concat(kept, F.array(tail))
+        return F.array_join(F.transform(pieces, lambda p: _between(blocks, p["start"], p["end"])), mark)
+
+    return _named(reached, lambda reached: _named(blocks, lambda blocks: joined_pieces(reached, blocks)))
+
+
 def redacted(docs: DataFrame, mark: str = "[SECRET]", battery: Battery = Battery()) -> DataFrame:
     """All rows with every span of the text replaced by a mark; the columns are those of `docs`.
 
     Overlapping spans give one mark, n_chars is counted anew where it is present, null texts stay.
+    Texts are scanned once; rows are saved with what was found, as the bounds need all of it.
     """
-    runs = docs.select(F.explode(tested_runs(whole_text(), battery)).alias("run")).select("run.*")
-    bounds = dismissal_bounds(runs, battery)
-    text = F.col("text").cast("string")
-    spans = F.array_sort(F.concat(base_spans(text), random_spans(tested_runs(text, battery), bounds)))
-    cut = F.aggregate(
-        spans,
-        F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
-        lambda state, s: F.struct(
-            F.greatest(state["at"], s["end"]).alias("at"),
-            F.when(s["start"] < state["at"], state["out"])
-            .otherwise(F.concat(state["out"], F.substring(text, state["at"] + 1, s["start"] - state["at"]), F.lit(mark)))
-            .alias("out"),
-        ),
-        lambda state: F.concat(state["out"], F.substring(text, state["at"] + 1, F.char_length(text))),
-    )
     row = F.struct(*[F.col(f"`{name}`") for name in docs.columns])
-    changed = docs.select(row.alias("row"), F.when(F.size(spans) > 0, cut).otherwise(text).alias("clean"))
+    found = docs.select(
+        row.alias("row"), base_spans(whole_text()).alias("base"), tested_runs(whole_text(), battery).alias("runs")
+    )
+    scanned = saved(found, "redacted")
+    bounds = dismissal_bounds(scanned.select(F.explode("runs").alias("run")).select("run.*"), battery)
+    text = F.col("row.text").cast("string")
+    spanned = scanned.select(
+        "row", text.alias("text"), F.array_sort(F.concat("base", random_spans(F.col("runs"), bounds))).alias("spans")
+    )
+    cut = _without(F.col("text"), F.col("spans"), mark)
+    changed = spanned.select("row", F.when(F.size("spans") > 0, cut).otherwise(F.col("text")).alias("clean"))
     values = {"text": F.col("clean"), "n_chars": F.char_length("clean")}
     return changed.select(*[
         values.get(field.name, F.col(f"row.`{field.name}`")).cast(field.dataType).alias(field.name)

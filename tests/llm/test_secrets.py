@@ -138,3 +138,36 @@ def test_tokens_behind_names_and_paths_are_found(spark, prefix):
     assert all("random" not in rows[len(keys) + i] for i in range(len(plain)))
     clean = {r.doc_id: r.text for r in secrets.redacted(docs).collect()}
     assert all(clean[i] == "see [SECRET] here" for i in found)
+
+
+def test_many_matches_and_one_long_run(spark):
+    draw = random.Random(12)
+    hexes = ["".join(draw.choice("0123456789abcdef") for _ in range(32)) for _ in range(6_400)]
+    long_run = "".join(draw.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/") for _ in range(1 << 16))
+    texts = {0: "é".join(hexes), 1: f"a {long_run} b", 2: "token=abcdef " * 5_000 + "😀"}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    rows = {r.doc_id: r for r in secrets.secret_report(docs).collect()}
+    check(list(rows.values()), texts)
+    assert rows[0].spans.count("random") == 6_400
+    assert rows[1].spans == f"random:2:{2 + len(long_run)}"
+    clean = {r.doc_id: r.text for r in secrets.redacted(docs).collect()}
+    assert clean == {0: "é".join(["[SECRET]"] * 6_400), 1: "a [SECRET] b", 2: "[SECRET] " * 5_000 + "😀"}
+
+
+def test_overlaps_are_cut_like_one_letter_at_a_time(spark):
+    draw = random.Random(13)
+    cases = []
+    for number in range(200):
+        text = "".join(draw.choice("ab😀é\n") for _ in range(draw.randrange(1, 5_000)))
+        starts = sorted(draw.randrange(len(text)) for _ in range(draw.randrange(1, 12)))
+        spans = sorted((s, min(len(text), s + draw.randrange(1, 400))) for s in starts)
+        cases.append((number, text, spans))
+    frame = spark.createDataFrame(cases, "n long, text string, spans array<struct<start:int,end:int>>")
+    got = {r.n: r.clean for r in frame.select("n", secrets._without(F.col("text"), F.col("spans"), "#").alias("clean")).collect()}
+    for number, text, spans in cases:
+        out, at = [], 0
+        for start, end in spans:
+            if start >= at:
+                out += [text[at:start], "#"]
+            at = max(at, end)
+        assert got[number] == "".join(out) + text[at:]
