@@ -4,6 +4,10 @@ A template is a line of words with two kinds of markup: `<<beginOptional>> .. <<
 may be left out, and `<<var;name=..;match=REGEX;max=N>>` stands for up to N words that each match
 REGEX. Templates compile to one automaton over words, which accepts a place in a text where all
 other words of a template stand exactly and in order. Texts are scanned whole, each one alone.
+
+Two kinds of wordings: `NOTICES` say under which license a work is, in a sentence; `TEXTS` are whole
+license texts, or whole headers of files, and give their label only where all of them stands. The
+long licenses of GNU, Apache, Mozilla and Creative Commons are known by notices and headers alone.
 """
 
 from __future__ import annotations
@@ -54,29 +58,125 @@ NOTICES = (
     ),
     ("mit", "released under the <<beginOptional>>terms of the<<endOptional>> mit license"),
     ("mit", "licensed under the <<beginOptional>>terms of the<<endOptional>> mit license"),
-    (
-        "mit",
-        "permission is hereby granted free of charge to any person obtaining a copy of this software"
-        " and associated documentation files <<beginOptional>>the software<<endOptional>> to deal in"
-        " the software without restriction",
-    ),
-    (
-        "isc",
-        "permission to use copy modify and or distribute this software for any purpose with or without"
-        " fee is hereby granted",
-    ),
-    (
-        "bsd",
-        "redistribution and use in source and binary forms with or without modification are permitted"
-        " provided that the following conditions are met",
+    *((f"cc-by-{kind.replace(' ', '-')}-4.0", f"licensed under <<beginOptional>>a<<endOptional>> cc by {kind} 4 0") for kind in ("nd", "nc sa", "nc nd")),
+    *(
+        (
+            f"cc-by-{kind}-4.0",
+            f"licensed under a creative commons attribution {name} 4 0 <<beginOptional>>international<<endOptional>> license",
+        )
+        for kind, name in (
+            ("nc", "noncommercial"),
+            ("sa", "sharealike"),
+            ("nd", "noderivatives"),
+            ("nc-sa", "noncommercial sharealike"),
+            ("nc-nd", "noncommercial noderivatives"),
+        )
     ),
+    ("copyright", "copyright <<var;name=owner;match=.+;max=8>> all rights reserved"),
+    ("all-rights-reserved", "all rights reserved"),
+)
+
+# Whole wordings of licenses and of standard file headers, with our markup.
+HOLDER = "<<var;name=holder;match=.+;max=16>>"
+NUMBER = "<<beginOptional>><<var;name=number;match=[1-4]|[a-d]|i+|iv;max=1>><<endOptional>>"
+MIT_GRANT = (
+    "permission is hereby granted free of charge to any person obtaining a copy of this software and"
+    " associated documentation files <<beginOptional>>the software<<endOptional>> to deal in the software"
+    " without restriction including without limitation the rights to use copy modify merge publish"
+    " distribute sublicense and or sell copies of the software and to permit persons to whom the software"
+    " is furnished to do so"
+)
+MIT_NOTICE = (
+    "subject to the following conditions the above copyright notice and this permission notice"
+    " <<beginOptional>>including the next paragraph<<endOptional>> shall be included in all copies or"
+    " substantial portions of the software"
+)
+MIT_WARRANTY = (
+    "the software is provided as is without warranty of any kind express or implied including but not"
+    " limited to the warranties of merchantability fitness for a particular purpose and noninfringement in"
+    f" no event shall {HOLDER} be liable for any claim damages or other liability whether in an action of"
+    " contract tort or otherwise arising from out of or in connection with the software or the use or other"
+    " dealings in the software"
+)
+ISC_GRANT = (
+    "permission to use copy modify and <<beginOptional>>or<<endOptional>> distribute this software for any"
+    " purpose with or without fee is hereby granted"
+)
+ISC_NOTICE = "provided that the above copyright notice and this permission notice appear in all copies"
+ISC_WARRANTY = (
+    f"the software is provided as is and {HOLDER} disclaims all warranties with regard to this software"
+    " including all implied warranties of merchantability and fitness in no event shall"
+    f" {HOLDER} be liable for any special direct indirect or consequential damages or any damages whatsoever"
+    " resulting from loss of use data or profits whether in an action of contract negligence or other"
+    " tortious action arising out of or in connection with the use or performance of this software"
+)
+BSD_CONDITIONS = (
+    "redistribution and use in source and binary forms with or without modification are permitted provided"
+    f" that the following conditions are met {NUMBER} redistributions of source code must retain the above"
+    " copyright notice this list of conditions and the following disclaimer"
+    f" {NUMBER} redistributions in binary form must reproduce the above copyright notice this list of"
+    " conditions and the following disclaimer in the documentation and or other materials provided with the"
+    " distribution"
+)
+BSD_ADVERTISING = (
+    f"{NUMBER} all advertising materials mentioning features or use of this software must display the"
+    f" following acknowledgement this product includes software developed by {HOLDER}"
+)
+BSD_NAMES = (
+    f"{NUMBER} neither the name of {HOLDER} nor the names of its contributors may be used to endorse or"
+    " promote products derived from this software without specific prior written permission"
+)
+BSD_WARRANTY = (
+    f"this software is provided by {HOLDER} as is and any express or implied warranties including but not"
+    " limited to the implied warranties of merchantability and fitness for a particular purpose are"
+    f" disclaimed in no event shall {HOLDER} be liable for any direct indirect incidental special exemplary"
+    " or consequential damages including but not limited to procurement of substitute goods or services loss"
+    " of use data or profits or business interruption however caused and on any theory of liability whether"
+    " in contract strict liability or tort including negligence or otherwise arising in any way out of the"
+    " use of this software even if advised of the possibility of such damage"
+)
+GNU_GRANT = "free software you can redistribute it and or modify it under the terms of the gnu"
+GNU_LATER = "of the license or <<beginOptional>>at your option<<endOptional>> any later version"
+GNU_LICENSES = (
+    ("gpl-2.0", "general", "2"),
+    ("gpl-3.0", "general", "3"),
+    ("lgpl-2.0", "library general", "2"),
+    ("lgpl-2.1", "lesser general", "2 1"),
+    ("lgpl-3.0", "lesser general", "3"),
+    ("agpl-3.0", "affero general", "3"),
+)
+TEXTS = (
+    ("mit", f"{MIT_GRANT} {MIT_NOTICE} {MIT_WARRANTY}"),
+    ("mit-0", f"{MIT_GRANT} {MIT_WARRANTY}"),
+    ("json", f"{MIT_GRANT} {MIT_NOTICE} the software shall be used for good not evil {MIT_WARRANTY}"),
+    ("isc", f"{ISC_GRANT} {ISC_NOTICE} {ISC_WARRANTY}"),
+    ("0bsd", f"{ISC_GRANT} {ISC_WARRANTY}"),
+    ("bsd-2-clause", f"{BSD_CONDITIONS} {BSD_WARRANTY}"),
+    ("bsd-3-clause", f"{BSD_CONDITIONS} {BSD_NAMES} {BSD_WARRANTY}"),
+    ("bsd-4-clause", f"{BSD_CONDITIONS} {BSD_ADVERTISING} {BSD_NAMES} {BSD_WARRANTY}"),
     (
         "mpl-2.0",
         "this source code form is subject to the terms of the mozilla public license"
-        " <<beginOptional>>v<<endOptional>> 2 0",
+        " <<beginOptional>>v<<endOptional>> 2 0 if a copy of the mpl was not distributed with this file you can"
+        " obtain one at <<var;name=scheme;match=https?;max=1>> <<beginOptional>>www<<endOptional>> mozilla org"
+        " mpl 2 0",
+    ),
+    *(
+        (
+            label,
+            f"{GNU_GRANT} {name} public license as published by the free software foundation either version"
+            f" {version} {GNU_LATER}",
+        )
+        for label, name, version in GNU_LICENSES
+    ),
+    *(
+        (
+            label,
+            f"{GNU_GRANT} {name} public license version {version} <<beginOptional>>only<<endOptional>> as"
+            " published by the free software foundation",
+        )
+        for label, name, version in GNU_LICENSES
     ),
-    ("copyright", "copyright <<var;name=owner;match=.+;max=8>> all rights reserved"),
-    ("all-rights-reserved", "all rights reserved"),
 )
 
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
@@ -183,7 +283,7 @@ SCAN = T.StructType([
 ])
 
 
-def scanner(notices: tuple[tuple[str, str], ...] = NOTICES):
+def scanner(notices: tuple[tuple[str, str], ...] = NOTICES + TEXTS):
     """A function text -> {n_words, places}: base phrases and accepted templates, by start."""
     base = tuple((label, phrase) for phrase, label in BASE_PHRASES)
     templates = base + tuple(notices)
@@ -202,7 +302,7 @@ def scanner(notices: tuple[tuple[str, str], ...] = NOTICES):
     return scan
 
 
-def places_of(text: str, notices: tuple[tuple[str, str], ...] = NOTICES) -> Column:
+def places_of(text: str, notices: tuple[tuple[str, str], ...] = NOTICES + TEXTS) -> Column:
     """The scan struct of a text column; a null text has no words."""
     return text_function(scanner(notices), SCAN)(F.col(text).cast("string"))
 

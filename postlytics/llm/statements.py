@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from postlytics.llm.licenses import BASE_PHRASES
+from postlytics.llm.licenses import BASE_PHRASES, MARKUP, TEXTS
 from postlytics.llm.url_filter import RULES, Rule, Spread
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -19,28 +19,39 @@ NOTICE_PATTERNS = (
     ("cc-by-4.0", " licensed under( a)? cc by 4 0 | licensed under a creative commons attribution 4 0( international)? license "),
     ("cc-by-nc-4.0", " licensed under( a)? cc by nc 4 0 "),
     ("cc-by-sa-4.0", " licensed under( a)? cc by sa 4 0 "),
+    ("cc-by-nd-4.0", " licensed under( a)? cc by nd 4 0 "),
+    ("cc-by-nc-sa-4.0", " licensed under( a)? cc by nc sa 4 0 "),
+    ("cc-by-nc-nd-4.0", " licensed under( a)? cc by nc nd 4 0 "),
+    ("cc-by-nc-4.0", " licensed under a creative commons attribution noncommercial 4 0( international)? license "),
+    ("cc-by-sa-4.0", " licensed under a creative commons attribution sharealike 4 0( international)? license "),
+    ("cc-by-nd-4.0", " licensed under a creative commons attribution noderivatives 4 0( international)? license "),
     (
-        "mit",
-        " (released|licensed) under the( terms of the)? mit license | permission is hereby granted free of charge"
-        " to any person obtaining a copy of this software and associated documentation files( the software)? to deal"
-        " in the software without restriction ",
+        "cc-by-nc-sa-4.0",
+        " licensed under a creative commons attribution noncommercial sharealike 4 0( international)? license ",
     ),
     (
-        "isc",
-        " permission to use copy modify and or distribute this software for any purpose with or without fee is hereby"
-        " granted ",
+        "cc-by-nc-nd-4.0",
+        " licensed under a creative commons attribution noncommercial noderivatives 4 0( international)? license ",
     ),
-    (
-        "bsd",
-        " redistribution and use in source and binary forms with or without modification are permitted provided that"
-        " the following conditions are met ",
-    ),
-    ("mpl-2.0", " this source code form is subject to the terms of the mozilla public license( v)? 2 0 "),
+    ("mit", " (released|licensed) under the( terms of the)? mit license "),
     ("copyright", " copyright( [^ ]+){1,8} all rights reserved "),
     ("all-rights-reserved", " all rights reserved "),
 )
 
 
+def _pattern(template: str) -> str:
+    """What a template accepts as one pattern over words joined by blanks."""
+    signs = {"beginOptional": "(", "endOptional": ")?"}
+    found = ""
+    for tag, word in MARKUP.findall(template):
+        options = dict(part.split("=", 1) for part in tag.split(";")[1:])
+        if options:
+            found += f"( ({options['match'].replace('.+', '[^ ]+')})){{1,{options['max']}}}"
+        else:
+            found += signs[tag] if tag else f" {word}"
+    return f"{found} "
+
+
 def _starts(phrase: str) -> str:
     words = phrase.split()
     same = " AND ".join(f"w[i + {k}] = '{word}'" for k, word in enumerate(words, 1))
@@ -52,8 +63,9 @@ def _joined(*labels: str) -> str:
 
 
 def license_scan() -> str:
+    patterns = (*NOTICE_PATTERNS, *((label, _pattern(template)) for label, template in TEXTS))
     base = [f"CASE WHEN regexp_matches(line, ' {phrase} ') THEN '{label}' END" for phrase, label in BASE_PHRASES]
-    own = [f"CASE WHEN regexp_matches(line, '{pattern}') THEN '{label}' END" for label, pattern in NOTICE_PATTERNS]
+    own = [f"CASE WHEN regexp_matches(line, '{pattern}') THEN '{label}' END" for label, pattern in patterns]
     starts = " || ".join(_starts(phrase) for phrase, _ in BASE_PHRASES)
     return rf"""
         WITH words AS (
