@@ -1,4 +1,4 @@
-"""Jobs with arguments: `python -m postlytics.jobs {ingest,stream,view,train} ..`.
+"""Jobs with arguments: `python -m postlytics.jobs {ingest,stream,view,mend,train} ..`.
 
 Streams run for a number of minutes, or over what is there now with `--once`. Formats and
 connector options are given as `--format` and repeated `--option name=value`.
@@ -21,7 +21,7 @@ from postlytics.sources.streams import read_messages, write_messages
 from postlytics.streaming import control
 from postlytics.streaming.ingest import ingest, read_statuses
 from postlytics.streaming.pipeline import Pipeline, TopicModel
-from postlytics.streaming.view import minute_view, read_assigned, view_writer
+from postlytics.streaming.view import mend_view, minute_view, read_assigned, view_writer
 
 
 def _run(writer: DataStreamWriter, args: argparse.Namespace) -> None:
@@ -54,6 +54,11 @@ def run_view(spark: SparkSession, args: argparse.Namespace) -> None:
     _run(view_writer(view, lambda rows, batch_id: write_batch(rows, args.out, batch_id), args.checkpoint), args)
 
 
+def run_mend(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Posts that came too late for the minute view to corrections beside it."""
+    mend_view(spark, f"{args.root}/assigned", args.out)
+
+
 def run_train(spark: SparkSession, args: argparse.Namespace) -> None:
     """The corpus below the root to a new model version, then retention."""
     train_and_shrink(spark, args.root, args.model, args.seed)
@@ -86,6 +91,7 @@ def parser() -> argparse.ArgumentParser:
     connector(job("ingest", run_ingest, "statuses", "seeds", "checkpoint"), "out")
     connector(job("stream", run_stream, "root", "seeds", "model"), "messages")
     job("view", run_view, "root", "out", "checkpoint")
+    job("mend", run_mend, "root", "out", stream=False)
     job("train", run_train, "root", "model", stream=False).add_argument("--seed", type=int, default=1)
     return top
 

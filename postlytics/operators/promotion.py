@@ -113,18 +113,16 @@ def merge_buckets(now: DataFrame, before: DataFrame, *keys: str) -> DataFrame:
     return both.groupBy(*keys).agg(F.sum("n").alias("n"))
 
 
+# the counters of `funnel_columns`, in their order
+FUNNEL = ("posts", "without_tags", "without_seed", "with_seed", "with_seed_or_promoted", "accepted_promoted")
+
+
 def funnel_columns() -> list[Column]:
     """Counters over posts marked by `mark_accepted`."""
     tagged, seed = F.size("tags") > 0, F.size("seed_tags") > 0
     kind = F.col("match_kind")
-    return [
-        F.count(F.lit(1)).alias("posts"),
-        F.count_if(~tagged).alias("without_tags"),
-        F.count_if(tagged & ~seed).alias("without_seed"),
-        F.count_if(seed).alias("with_seed"),
-        F.count_if(kind.isNotNull()).alias("with_seed_or_promoted"),
-        F.count_if(kind == "promoted").alias("accepted_promoted"),
-    ]
+    counted = (F.lit(True), ~tagged, tagged & ~seed, seed, kind.isNotNull(), kind == "promoted")
+    return [F.count_if(which).alias(name) for name, which in zip(FUNNEL, counted)]
 
 
 def ingest_columns() -> list[Column]:

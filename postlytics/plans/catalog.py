@@ -29,7 +29,8 @@ from postlytics.streaming import control
 from postlytics.streaming.buckets import bucket_writer, read_buckets
 from postlytics.streaming.ingest import ingest
 from postlytics.streaming.pipeline import Pipeline, TopicModel
-from postlytics.streaming.view import minute_view, read_assigned, view_writer
+from postlytics.streaming.progress import FunnelTotals
+from postlytics.streaming.view import late_corrections, late_counts, minute_view, read_assigned, view_writer
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -363,6 +364,66 @@ def a7_stream_view(spark, sf_dir):
     return tables.scan(spark, out).select(F.unix_seconds("ts").alias("ts"), *view_columns)
 
 
+@query
+def f8_stream_funnel(spark, sf_dir):
+    """Counters of the stream job over all posts in two deliveries, the second job started anew."""
+    root = workspace(spark, "stream")
+    model_root = fixtures.model_root(spark, sf_dir)
+    posts = fixtures.posts(spark, sf_dir)
+    middle = posts.agg(F.avg("sec")).first()[0]
+    funnel = FunnelTotals()
+    for part in (F.col("sec") <= middle, F.col("sec") > middle):
+        _landed(spark, posts.filter(part), f"{root}/landing")
+        job = Pipeline(root, fixtures.tag_list(spark), TopicModel(model_root), report=funnel)
+        messages = read_messages(spark, "parquet", f"{root}/landing")
+        control.finish(control.start(job.writer(messages), once=True))
+    schema = ", ".join(f"{name} long" for name in funnel.total)
+    return spark.createDataFrame([tuple(funnel.total.values())], schema)
+
+
+def _late_view(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Assigned posts, of which a seventh came too late, and the view that the stream emitted.
+
+    Posts one and two hours after all others close their minutes before the late ones are delivered.
+    """
+    root, out = workspace(spark, "stream"), workspace(spark, "view")
+    marked = promotion.mark_accepted(fixtures.split_posts(spark, sf_dir), key="post_id")
+    carried = ("ts", "country", "follower_group", "match_kind")
+    rows = _assigned(spark, sf_dir, promotion.accepted(marked), *carried)
+    key = F.col("post_id").cast("string").alias("key")
+    stored = rows.select(F.col("post_id").alias("row"), key, *carried, "topic", "label").persist()
+    late = F.pmod("row", F.lit(7)) == 3
+    last = stored.agg(F.max("ts")).first()[0]
+    ahead = F.explode(F.sequence(F.lit(1), F.lit(2))).alias("hours")
+    closing = stored.limit(1).select("*", ahead).withColumns({
+        "row": -F.col("hours").cast("long"), "ts": F.lit(last) + F.make_dt_interval(hours=F.col("hours")),
+    }).drop("hours")
+    for batch_id, part in enumerate((stored.filter(~late).unionByName(closing), stored.filter(late))):
+        batches.write_batch(part, f"{root}/assigned", batch_id)
+        emitted = minute_view(read_assigned(spark, f"{root}/assigned"))
+        stream = view_writer(emitted, lambda df, number: batches.write_batch(df, out, number), f"{out}-checkpoint")
+        control.finish(control.start(stream, once=True))
+    stored.unpersist()
+    posts = F.col("ts") <= F.lit(last) + F.expr("INTERVAL 1 MINUTE")
+    return tables.scan(spark, f"{root}/assigned").filter(posts), tables.scan(spark, out).filter(posts)
+
+
+@query
+def a7_late_rows(spark, sf_dir):
+    """Per closed minute: accepted posts, those the stream counted, those that came too late."""
+    return late_counts(*_late_view(spark, sf_dir)).withColumn("ts", F.unix_seconds("ts"))
+
+
+@query
+def a7_late_corrections(spark, sf_dir):
+    """What the stream emitted with the corrections for late posts added: the batch view again."""
+    assigned, shown = _late_view(spark, sf_dir)
+    columns = ("ts", "region", "follower_group", "topic")
+    both = shown.drop("batch_id").unionByName(late_corrections(assigned, shown))
+    mended = both.groupBy(*columns).agg(F.sum("count").alias("count"))
+    return mended.withColumn("ts", F.unix_seconds("ts"))
+
+
 # --- projections -------------------------------------------------------------------------------
 
 

@@ -232,6 +232,13 @@ def statements() -> dict[str, str]:
                (SELECT count(*) FROM accepted) AS with_seed_or_promoted,
                (SELECT count(*) FROM promoted_posts) AS accepted_promoted FROM split""",
             "split", "accepted", "promoted_posts"),
+        "f8_stream_funnel": _sql(
+            """SELECT count(*) AS posts, count(*) FILTER (len(tags) = 0) AS without_tags,
+               count(*) FILTER (len(tags) > 0 AND len(seed_tags) = 0) AS without_seed,
+               count(*) FILTER (len(seed_tags) > 0) AS with_seed,
+               (SELECT count(*) FROM accepted) AS with_seed_or_promoted,
+               (SELECT count(*) FROM promoted_posts) AS accepted_promoted FROM split""",
+            "split", "accepted", "promoted_posts"),
         "f9_ingest_counts": _sql(
             """SELECT count(*) AS posts, count(*) FILTER (len(tags) > 0) AS with_tags,
                count(*) FILTER (len(tags) = 0) AS without_tags FROM posts""", "posts"),
@@ -263,6 +270,17 @@ def statements() -> dict[str, str]:
                FROM accepted JOIN posts USING (post_id) JOIN best USING (post_id)
                LEFT JOIN labels10 USING (topic) GROUP BY ALL""",
             "accepted", "posts", "best", "labels10"),
+        "a7_late_rows": _sql(
+            """SELECT (sec // 60 + 1) * 60 AS ts, count(*) AS posts, count(*) FILTER (post_id % 7 <> 3) AS shown,
+               count(*) FILTER (post_id % 7 = 3) AS late
+               FROM accepted JOIN posts USING (post_id) GROUP BY ALL""",
+            "accepted", "posts"),
+        "a7_late_corrections": _sql(
+            """SELECT (sec // 60 + 1) * 60 AS ts, country AS region, follower_group, label AS topic,
+               count(*) AS count
+               FROM accepted JOIN posts USING (post_id) JOIN best USING (post_id)
+               LEFT JOIN labels10 USING (topic) GROUP BY ALL""",
+            "accepted", "posts", "best", "labels10"),
         "a7_stream_view": _sql(
             """SELECT (sec // 60 + 1) * 60 AS ts, country AS region, follower_group, label AS topic,
                count(*) AS count

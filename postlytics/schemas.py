@@ -96,6 +96,15 @@ CORPUS = T.StructType([
 ])
 
 # `row` numbers the messages of one micro-batch
+VIEW = T.StructType([
+    T.StructField("ts", T.TimestampType()),
+    T.StructField("region", T.StringType()),
+    T.StructField("follower_group", T.StringType()),
+    T.StructField("topic", T.StringType()),
+    T.StructField("count", T.LongType()),
+    T.StructField("batch_id", T.LongType()),
+])
+
 ASSIGNED = T.StructType([
     T.StructField("row", T.LongType()),
     T.StructField("key", T.StringType()),

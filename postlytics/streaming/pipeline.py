@@ -17,7 +17,7 @@ from pyspark.sql.streaming import DataStreamWriter
 from postlytics.functions.text import clean_words
 from postlytics.operators.lookups import lookup
 from postlytics.operators.pairs import other_tag_buckets, total_buckets
-from postlytics.operators.promotion import accepted, funnel_columns, mark_accepted, merge_buckets
+from postlytics.operators.promotion import accepted, mark_accepted, merge_buckets
 from postlytics.operators.records import bad_messages, good_posts, parse_messages
 from postlytics.operators.scoring import SUM, assign_topics, word_slots
 from postlytics.operators.tags import TagList, split_tags
@@ -27,6 +27,7 @@ from postlytics.sources import models
 from postlytics.sources.batches import write_batch
 from postlytics.sources.corpus import append_corpus, corpus_table, spread_write_time
 from postlytics.streaming.buckets import WindowState
+from postlytics.streaming.progress import FunnelTotals, Report, observe_funnel
 
 # what scoring keeps of a post besides its row number
 CARRIED = ("key", "ts", "country", "follower_group", "match_kind")
@@ -81,17 +82,19 @@ def clock_columns() -> list[Column]:
 
 @dataclass
 class Pipeline:
-    """Tables below `root`: quarantine, tag_state, total_state, funnel, corpus, assigned.
+    """Tables below `root`: quarantine, tag_state, total_state, corpus, assigned.
 
     Messages are told apart by a hash of key, value and copy number, so equal messages all count.
     Equal messages may trade places, so a repeated batch gives the same rows however its files are
-    split. Every write replaces what an earlier try of its batch left.
+    split. Every write replaces what an earlier try of its batch left. `report` gets the funnel
+    counters of each batch that has posts, once its tables are written.
     """
 
     root: str
     seeds: TagList
     model: TopicModel
     settings: Settings = field(default=DEFAULTS)
+    report: Report = field(default_factory=FunnelTotals)
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
@@ -134,14 +137,14 @@ class Pipeline:
             marked = hold(
                 mark_accepted(split, tag_buckets, totals.drop("fresh"), settings, key="row", seconds=seconds)
             )
-            write_batch(marked.agg(*funnel_columns()), self.path("funnel"), batch_id)
             # a later batch may hold posts this late, each with a full window before it
             clock = min((sec for sec in (middle, own) if sec is not None), default=0)
             horizon = clock - settings.window_seconds - settings.watermark_seconds
             tag_state.save(tag_buckets, batch_id, horizon)
             total_state.save(totals, batch_id, horizon)
             words = clean_words(F.col("text")).alias("words")
-            kept = hold(accepted(marked).select("row", *CARRIED, words))
+            counted, funnel = observe_funnel(marked)
+            kept = hold(accepted(counted).select("row", *CARRIED, words))
             append_corpus(kept, corpus_table(spark, self.root), batch_id, spread_write_time(F.current_timestamp(), "row"))
             write_batch(self._assign(kept), self.path("assigned"), batch_id)
         finally:
@@ -149,6 +152,7 @@ class Pipeline:
                 table.unpersist()
         tag_state.forget(batch_id)
         total_state.forget(batch_id)
+        self.report(batch_id, funnel.get)
 
     def _assign(self, kept: DataFrame) -> DataFrame:
         if not self.model.refresh(kept.sparkSession):

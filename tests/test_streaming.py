@@ -5,6 +5,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from postlytics import schemas
 from postlytics.functions.records import iso_date
 from postlytics.functions.text import clean_words
 from postlytics.operators import promotion, scoring, view
@@ -20,7 +21,8 @@ from postlytics.streaming import control
 from postlytics.streaming.buckets import bucket_writer, read_buckets
 from postlytics.streaming.ingest import ingest, read_statuses
 from postlytics.streaming.pipeline import Pipeline, TopicModel, with_row_ids
-from postlytics.streaming.view import minute_view, read_assigned, view_writer
+from postlytics.streaming.progress import FunnelTotals
+from postlytics.streaming.view import late_corrections, late_counts, mend_view, minute_view, read_assigned, view_writer
 
 BASE = 1_704_067_200
 SETTINGS = Settings(topics=3, share_threshold=0.04)
@@ -70,8 +72,8 @@ def deliver(spark, rows, path, *extra):
     messages.coalesce(2).write.mode("append").parquet(path)
 
 
-def run(spark, root, settings=SETTINGS, mode=scoring.SUM):
-    job = Pipeline(root, seeds(spark), TopicModel(f"{root}/model", mode, settings), settings)
+def run(spark, root, settings=SETTINGS, mode=scoring.SUM, report=None):
+    job = Pipeline(root, seeds(spark), TopicModel(f"{root}/model", mode, settings), settings, report or FunnelTotals())
     messages = read_messages(spark, "parquet", f"{root}/landing")
     control.finish(control.start(job.writer(messages), once=True))
     return job
@@ -104,15 +106,19 @@ def test_three_deliveries_with_restarts_equal_one_batch(spark):
     root = workspace(spark, "stream")
     publish(spark, root)
     rows = posts(1, 600)
+    funnel = FunnelTotals()
     for part in (rows[:150], rows[150:400], rows[400:]):
         deliver(spark, part, f"{root}/landing")
-        run(spark, root)
+        run(spark, root, report=funnel)
     got = {k: v[:2] for k, v in assigned(spark, root).items()}
     expected = in_batch(spark, rows)
     assert got == expected
     assert {"seed", "promoted"} == {kind for kind, _ in expected.values()}
-    funnel = spark.read.parquet(f"{root}/funnel").agg(F.sum("posts"), F.sum("with_seed_or_promoted")).first()
-    assert tuple(funnel) == (600, len(expected))
+    promoted = sum(kind == "promoted" for kind, _ in expected.values())
+    assert (funnel.total["posts"], funnel.total["with_seed_or_promoted"]) == (600, len(expected))
+    assert (funnel.total["with_seed"], funnel.total["accepted_promoted"]) == (len(expected) - promoted, promoted)
+    assert funnel.total["without_tags"] == sum(not row[2] for row in rows)
+    assert funnel.last["posts"] == 200
     corpus = corpus_table(spark, root).read()
     assert {r.key for r in corpus.collect()} == set(expected)
 
@@ -134,6 +140,7 @@ def test_repeated_batch_changes_nothing(spark):
     job.process(second, 1)
     assert assigned(spark, root) == before
     assert {k: v[:2] for k, v in before.items()} == in_batch(spark, rows)
+    assert (job.report.total["posts"], job.report.last["posts"]) == (200, 100)
 
 
 def test_copies_with_one_key_all_count(spark):
@@ -281,6 +288,36 @@ def test_minute_view_equals_batch_for_closed_minutes(spark):
     assert closed and closed <= set(emitted) <= whole
 
 
+def test_late_posts_are_counted_and_mended(spark):
+    """Late posts with null groups, one stored twice, one alone in its view row; mending twice adds nothing."""
+    columns = "row long, key string, ts timestamp, country string, follower_group string, match_kind string, topic int, label string"
+    post = lambda row, sec, country, label: (row, str(row), sec, country, None, "seed", 0, label)
+    seconds = lambda rows: spark.createDataFrame(rows, columns.replace("ts timestamp", "ts long")).withColumn("ts", F.timestamp_seconds("ts"))
+    root, out = workspace(spark, "stream"), workspace(spark, "view")
+    mend_view(spark, f"{root}/assigned", out)  # nothing shown so far
+    first = [post(i, BASE + i, "DE" if i % 2 else None, "a") for i in range(100)]
+    later = [post(200, BASE + 3600, "DE", "a"), post(201, BASE + 7200, "DE", "a")]
+    late = [post(300, BASE + 3, None, "a"), post(300, BASE + 3, None, "a"), post(301, BASE + 70, "FR", None)]
+    for batch_id, rows in enumerate((first + later, late)):
+        write_batch(seconds(rows), f"{root}/assigned", batch_id)
+        shown = minute_view(read_assigned(spark, f"{root}/assigned"), SETTINGS)
+        stream = view_writer(shown, lambda df, number: write_batch(df, out, number), out + "-checkpoint")
+        control.finish(control.start(stream, once=True))
+    stored = lambda: spark.read.schema(schemas.ASSIGNED).parquet(f"{root}/assigned")
+    view_rows = lambda: spark.read.schema(schemas.VIEW).parquet(out)
+    counts = {r.ts.timestamp() - BASE: r[1:] for r in late_counts(stored(), view_rows()).collect()}
+    assert counts == {60: (61, 60, 1), 120: (41, 40, 1), 3660: (1, 1, 0)}
+    found = late_corrections(stored(), view_rows()).collect()
+    assert {(r.ts.timestamp() - BASE, *r[1:]) for r in found} == {(60, None, None, "a", 1), (120, "FR", None, None, 1)}
+    for _ in range(2):
+        mend_view(spark, f"{root}/assigned", out)
+        assert late_corrections(stored(), view_rows()).isEmpty()
+    assert {r.late for r in late_counts(stored(), view_rows()).collect()} == {0}
+    assert view_rows().agg(F.sum("count")).first()[0] == 103
+    nothing = late_counts(stored().limit(0), view_rows().limit(0))
+    assert nothing.isEmpty() and late_corrections(stored(), view_rows().limit(0)).isEmpty()
+
+
 def test_bucket_stream_merges_late_rows(spark):
     path, source = workspace(spark, "buckets"), workspace(spark, "events")
     rows = [("a", BASE + i // 3) for i in range(60)] + [("b", BASE + 90_000)]
