@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -65,6 +66,29 @@ def in_slices(column: pa.Array, rows: int = 256) -> Iterator[list]:
         yield column.slice(start, rows).to_pylist()
 
 
+# Tables that an operator keeps in a Python worker: key to (task that used it last, table).
+_TABLES: dict[str, tuple[int, object]] = {}
+
+
+def _task() -> int:
+    context = TaskContext.get()
+    return context.taskAttemptId() if context else -1
+
+
+def worker_table(key: str, build: Callable[[], object]):
+    """A table that is built once per Python worker and kept for its later tasks of the operator."""
+    table = _TABLES[key][1] if key in _TABLES else build()
+    _TABLES[key] = (_task(), table)
+    return table
+
+
+def drop_unused_tables() -> None:
+    """Forget the tables that earlier tasks left; a worker outlives a stage and serves the next one."""
+    now = _task()
+    for key in [key for key, (task, _) in _TABLES.items() if task != now]:
+        del _TABLES[key]
+
+
 def text_function(row: Callable[[str | None], object], kind: T.DataType, once: bool = False):
     """A column function that gives one value of the kind for every text, whatever its length.
 
@@ -75,6 +99,7 @@ def text_function(row: Callable[[str | None], object], kind: T.DataType, once: b
 
     @F.arrow_udf(kind)
     def apply(text: pa.Array) -> pa.Array:
+        drop_unused_tables()
         arrow = to_arrow_type(kind)
         parts = [pa.array([row(value) for value in values], arrow) for values in in_slices(text)]
         return pa.concat_arrays(parts) if parts else pa.array([], arrow)

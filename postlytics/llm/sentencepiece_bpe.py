@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postlytics.llm.common import in_slices, small_batches
+from postlytics.llm.common import in_slices, small_batches, worker_table
 
 # Fixed values of the model format.
 SPACE = "▁"
@@ -285,14 +285,9 @@ class Coder:
         return text
 
 
-_CODERS: dict[str, Coder] = {}
-
-
-def coder_of(key: str, model: Model) -> Coder:
-    """The tables of a model, built once per Python worker."""
-    if key not in _CODERS:
-        _CODERS[key] = Coder(model)
-    return _CODERS[key]
+def coder_of(key: str, shared) -> Coder:
+    """The tables of a broadcast model, built once per Python worker."""
+    return worker_table(key, lambda: Coder(shared.value))
 
 
 def encoder(model: Model):
@@ -301,7 +296,7 @@ def encoder(model: Model):
 
     @F.arrow_udf("array<int>")
     def encode(text: pa.Array) -> pa.Array:
-        coder = coder_of(key, shared.value)
+        coder = coder_of(key, shared)
         offsets, ids = [0], []
         for values in in_slices(text):
             rows = [coder.encode(value) for value in values]
@@ -320,7 +315,7 @@ def decoder(model: Model):
 
     @F.arrow_udf("string")
     def decode(ids: pa.Array) -> pa.Array:
-        coder = coder_of(key, shared.value)
+        coder = coder_of(key, shared)
         texts: list[str] = []
         for at in range(0, len(ids), 256):
             part = ids.slice(at, 256)

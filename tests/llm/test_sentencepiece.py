@@ -75,3 +75,20 @@ def test_nulls_repeats_empty_table_and_clashing_names(spark, model):
     assert {r.decoded_sha256 for r in got if r.n_tokens == 0} == {digest("")}
     assert bpe.round_trip(docs.filter("doc_id > 9"), model).count() == 0
     assert bpe.encode_texts(docs, model).filter(F.size("ids") == 2).count() == 3
+
+
+def test_tables_of_earlier_tasks_are_dropped(monkeypatch):
+    from postlytics.llm import common
+
+    built, task = [], [1]
+    monkeypatch.setattr(common, "_TABLES", {})
+    monkeypatch.setattr(common, "_task", lambda: task[0])
+    build = lambda: built.append(task[0]) or object()
+    first = common.worker_table("a", build)
+    common.drop_unused_tables()
+    assert common.worker_table("a", build) is first  # of the same task
+    task[0] = 2
+    assert common.worker_table("a", build) is first  # a later task of the operator
+    task[0] = 3
+    common.drop_unused_tables()  # another operator's task
+    assert common.worker_table("a", build) is not first and built == [1, 3]
