@@ -55,6 +55,24 @@ def test_too_many_words_are_refused_and_none_is_cut(corpus):
         topics.vocabulary_words(vocab, tight)
 
 
+def test_more_words_than_a_broadcast_list_become_terms(spark):
+    word = F.concat(F.lit("w"), F.col("id").cast("string")).alias("word")
+    words = topics.vocabulary_words(spark.range(300_000).select(word, F.lit(4).alias("n")))
+    assert len(words) == 300_000 and words == sorted(words)
+    corpus = spark.createDataFrame([(1, [words[-1], words[0], words[-1], "other"]), (2, [])], "key long, words array<string>")
+    rows = topics.term_vectors(corpus, words).collect()
+    assert [(r.key, dict(zip(r.features.indices.tolist(), r.features.values.tolist()))) for r in rows] == [(1, {0: 1.0, 299_999: 2.0})]
+    odd = ["a\nb", "c"]
+    rows = topics.term_vectors(spark.createDataFrame([(1, odd)], "key long, words array<string>"), odd).collect()
+    assert rows[0].features.toArray().tolist() == [1.0, 1.0]
+
+
+def test_a_fit_has_one_part_a_core(spark, corpus):
+    words = topics.vocabulary_words(topics.vocabulary(corpus, SETTINGS))
+    rows = topics.term_vectors(corpus, words)
+    assert topics.placed_by_key(rows, "key").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+
+
 @pytest.fixture(scope="module")
 def fitted(corpus):
     words = topics.vocabulary_words(topics.vocabulary(corpus, SETTINGS))
