@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from postlytics.operators.lookups import lookup
 from postlytics.operators.topics import weights_by_word
 from postlytics.settings import DEFAULTS, Settings
 
@@ -36,6 +37,15 @@ def word_slots(word_topics: DataFrame, scoring: str = SUM, settings: Settings =
     raise ValueError(f"unknown scoring {scoring!r}")
 
 
+def slots_lookup(slots: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
+    """`slots` marked for broadcast, unless it holds more than `broadcast_numbers` numbers.
+
+    The table grows with the vocabulary only. Joined plainly, every word of every post would be
+    shuffled and sorted by word, and its weights shuffled again by post.
+    """
+    return lookup(slots, settings.broadcast_numbers // settings.topics)
+
+
 def topic_scores(
     posts: DataFrame,
     slots: DataFrame,

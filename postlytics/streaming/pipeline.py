@@ -19,7 +19,7 @@ from postlytics.operators.lookups import lookup
 from postlytics.operators.pairs import other_tag_buckets, total_buckets
 from postlytics.operators.promotion import accepted, mark_accepted, merge_buckets
 from postlytics.operators.records import bad_messages, good_posts, parse_messages
-from postlytics.operators.scoring import SUM, assign_topics, word_slots
+from postlytics.operators.scoring import SUM, assign_topics, slots_lookup, word_slots
 from postlytics.operators.tags import TagList, split_tags
 from postlytics.operators.topics import conflicting_labels, repeated_weights, require_none
 from postlytics.settings import DEFAULTS, Settings
@@ -54,9 +54,7 @@ class TopicModel:
             for old in (self.slots, self.topics):
                 if old is not None:
                     old.unpersist()
-            self.slots = lookup(
-                word_slots(model.word_topics, self.scoring, self.settings), self.settings.vocabulary_size
-            )
+            self.slots = slots_lookup(word_slots(model.word_topics, self.scoring, self.settings), self.settings)
             self.topics = lookup(model.topics, self.settings.inline_list_limit)
             self.version = latest
         return self.version is not None

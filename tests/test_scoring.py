@@ -81,3 +81,18 @@ def test_carried_columns_and_labels(spark):
     rows = scoring.assign_topics(posts, scoring.word_slots(table, settings=SETTINGS), labels, "country", settings=SETTINGS)
     got = {r.key: (r.country, r.topic, r.label) for r in rows.select("*", F.lit(1)).collect()}
     assert got == {1: ("DE", 2, "two"), 2: (None, None, None)}
+
+
+def test_weights_of_many_words_are_broadcast_and_joined_beyond_the_bound(spark):
+    word = F.concat(F.lit("w"), F.col("id").cast("string")).alias("word")
+    weights = spark.range(300_000).select(word, F.lit(0).alias("topic"), F.col("id").cast("double").alias("weight"))
+    posts = spark.createDataFrame([(1, ["w3", "w299999", "w3"]), (2, ["none"]), (3, [])], "key long, words array<string>")
+
+    def scores(settings):
+        found = scoring.topic_scores(posts, scoring.slots_lookup(scoring.word_slots(weights), settings))
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        return "strategy=broadcast" in plan, {r.key: (r.known_words, r.scores[0]) for r in found.collect()}
+
+    same = {1: (3, 300_005.0), 2: (0, 0.0), 3: (0, 0.0)}
+    assert scores(DEFAULTS) == (True, same)
+    assert scores(replace(DEFAULTS, broadcast_numbers=2_999_999)) == (False, same)
