@@ -8,7 +8,7 @@ so the log-likelihood of a text is that of the whole; gradients stop at the wind
 backpropagation).
 
 Training runs in rounds over disjoint shares of the training texts: every task reads its texts whole,
-a window of many lanes at a time, takes one step a window on some of its lanes in turn, and hands its
+a window of many lanes at a time, takes one step a window on all of its tokens, and hands its
 weights on; Spark averages them by tokens, with
 whole numbers, so the mean does not depend on the order of tasks. Weights are a few hundred thousand
 numbers, whatever the input. The biases start at the counts, so the first model is
@@ -43,10 +43,10 @@ SHORT_LIST, CLASSES, BUCKETS = 2048, 32, 64
 HIDDEN, EMBEDDED = 24, 16
 # Words broadcast with their counts, none longer than LONGEST bytes.
 LISTED, LONGEST = 1 << 19, 64
-# Training: rounds, lanes of a window that a step is taken on, step size, first squares, largest gradient.
-ROUNDS, TAUGHT, RATE, FIRST, CLIP = 3, 48, 0.1, 1e-7, 1.0
-# Steps of a gradient; tokens of a window; lanes: one for so many tokens of a pool, so many at most; tokens of a pool.
-STEPS, WINDOW, LANE_TOKENS, LANES, POOL = 16, 8192, 512, 512, 1 << 21
+# Training: rounds, step size, first squares, largest gradient.
+ROUNDS, RATE, FIRST, CLIP = 3, 0.1, 1e-7, 1.0
+# Tokens of a window; lanes: one for so many tokens of a pool, so many at most; tokens of a pool.
+WINDOW, LANE_TOKENS, LANES, POOL = 8192, 512, 512, 1 << 21
 # Different words that a task counts before it hands counts on.
 COUNTED = 1 << 19
 # Weights are averaged as whole multiples of this.
@@ -211,7 +211,7 @@ class Network:
     def forward(self, state: np.ndarray, inputs: np.ndarray, first: np.ndarray, table: np.ndarray | None = None):
         """States (steps, lanes, hidden) from the state before; without `table` also what a gradient needs."""
         w, size = self.w, self.size
-        projected = w["embed"][inputs] @ w["input"] + w["gates"] if table is None else table[inputs]
+        projected = (self.input_table() if table is None else table)[inputs]
         starts = first.any(axis=1)
         states, kept = np.empty((*inputs.shape, size), state.dtype), []
         for t in range(len(inputs)):
@@ -240,6 +240,8 @@ class Network:
         With `gradient`, output gradients of their negative sum are added to it, and those of the states returned.
         """
         w, v = self.w, self.v
+        order = np.argsort(v.of_class[targets], kind="stable")
+        states, targets = states[order], targets[order]  # rows of a class follow each other
         classes = v.of_class[targets]
         rows = np.arange(len(targets))
         logits = states @ w["class"] + w["class_bias"]
@@ -254,13 +256,12 @@ class Network:
             gradient["class"] += states.T @ powers
             gradient["class_bias"] += powers.sum(axis=0)
             back = powers @ w["class"].T
-        order = np.argsort(classes, kind="stable")
-        bounds = np.searchsorted(classes[order], np.arange(len(v.starts) + 1))
+        bounds = np.searchsorted(classes, np.arange(len(v.starts) + 1))
         for c, (start, end) in enumerate(zip(v.starts, v.ends)):
-            own = order[bounds[c] : bounds[c + 1]]
-            if end - start == 1 or not len(own):
+            own = slice(bounds[c], bounds[c + 1])
+            if end - start == 1 or own.start == own.stop:
                 continue
-            chosen, inside, at = states[own], targets[own] - start, np.arange(len(own))
+            chosen, inside, at = states[own], targets[own] - start, np.arange(own.stop - own.start)
             logits = chosen @ w["word"][start:end].T + w["word_bias"][start:end]
             logits -= logits.max(axis=1, keepdims=True)
             powers = np.exp(logits)
@@ -272,7 +273,9 @@ class Network:
                 gradient["word"][start:end] += powers.T @ chosen
                 gradient["word_bias"][start:end] += powers.sum(axis=0)
                 back[own] += powers @ w["word"][start:end]
-        return found, back
+        place = np.empty_like(order)
+        place[order] = rows
+        return found[place], None if back is None else back[place]
 
     def gradient(self, state, inputs, targets, first, valid) -> tuple[float, Weights, np.ndarray]:
         """(negative log-likelihood, its gradient, last state) of a window; the first state is given."""
@@ -284,29 +287,35 @@ class Network:
         above = np.zeros((flat.size, size), states.dtype)
         above[flat] = back
         above = above.reshape(states.shape)
-        d_input = np.empty((*inputs.shape, 3 * size), states.dtype)
-        d_state = np.empty_like(d_input)
-        carried = np.zeros_like(states[0])
+        before, update, reset, new, recurrent = (np.stack(part) for part in zip(*kept))
+        by_new = (1 - update) * (1 - new * new)
+        # what a step's gradient is multiplied by for its gates; in the loop it becomes the product
+        gates = np.empty((*inputs.shape, 3, size), states.dtype)
+        gates[:, :, 0] = update * (before - new) * (1 - update)
+        gates[:, :, 1] = by_new * recurrent * reset * (1 - reset)
+        gates[:, :, 2] = by_new * reset
+        carried, state_back, starts = np.zeros_like(states[0]), w["state"].T.copy(), first.any(axis=1)
         for t in range(len(inputs) - 1, -1, -1):
-            before, update, reset, new, recurrent = kept[t]
-            out = above[t] + carried
-            d_new = out * (1 - update) * (1 - new * new)
-            d_update = out * (before - new) * update * (1 - update)
-            d_reset = d_new * recurrent * reset * (1 - reset)
-            d_input[t] = np.concatenate([d_update, d_reset, d_new], axis=1)
-            d_state[t] = np.concatenate([d_update, d_reset, d_new * reset], axis=1)
-            carried = (out * update + d_state[t] @ w["state"].T) * ~first[t][:, None]
-        befores = np.stack([step[0] for step in kept]).reshape(-1, size)
-        grad["state"] += befores.T @ d_state.reshape(-1, 3 * size)
-        flat_input = d_input.reshape(-1, 3 * size)
-        grad["gates"] += flat_input.sum(axis=0)
-        grad["input"] += w["embed"][inputs.ravel()].T @ flat_input
-        np.add.at(grad["embed"], inputs.ravel(), flat_input @ w["input"].T)
+            above[t] += carried
+            gates[t] *= above[t][:, None]
+            carried = gates[t].reshape(-1, 3 * size) @ state_back
+            carried += above[t] * update[t]
+            if starts[t]:
+                carried *= ~first[t][:, None]
+        grad["state"] += before.reshape(-1, size).T @ gates.reshape(-1, 3 * size)
+        gates[:, :, 2] = above * by_new
+        # rows of one input are added up first, so products are taken once for each input of the window
+        order = np.argsort(inputs.ravel(), kind="stable")
+        used, places = np.unique(inputs.ravel()[order], return_index=True)
+        by_input = np.add.reduceat(gates.reshape(-1, 3 * size)[order], places, axis=0)
+        grad["gates"] += by_input.sum(axis=0)
+        grad["input"] += w["embed"][used].T @ by_input
+        grad["embed"][used] += by_input @ w["input"].T
         return -float(found.sum()), grad, states[-1]
 
 
 def train_on(weights: Weights, vocabulary: Vocabulary, texts: Iterator[list[bytes]]) -> tuple[Weights, int]:
-    """(weights after the texts, tokens read), by steps of Adagrad."""
+    """(weights after the texts, tokens learnt from), by steps of Adagrad; every token is in one step."""
     weights = {name: value.copy() for name, value in weights.items()}
     squares = {name: np.full_like(value, FIRST) for name, value in weights.items()}
     network, encoder = Network(weights, vocabulary), Encoder(vocabulary)
@@ -316,16 +325,13 @@ def train_on(weights: Weights, vocabulary: Vocabulary, texts: Iterator[list[byte
         for number, (lanes, inputs, targets, _, first, valid) in enumerate(Lanes(pool).windows(start)):
             state = np.zeros((lanes, HIDDEN), np.float32) if number == 0 else state[:lanes]
             read += int(valid.sum())
-            at = number % -(-lanes // TAUGHT) * TAUGHT
-            own = (slice(0, STEPS), slice(at, at + TAUGHT))
-            _, grad, _ = network.gradient(state[own[1]], inputs[own], targets[own], first[own], valid[own])
-            size = np.sqrt(sum(float((g * g).sum()) for g in grad.values())) / valid[own].sum()
-            scale = min(1.0, CLIP / max(size, 1e-9)) / valid[own].sum()
+            _, grad, state = network.gradient(state, inputs, targets, first, valid)
+            size = np.sqrt(sum(float((g * g).sum()) for g in grad.values())) / valid.sum()
+            scale = min(1.0, CLIP / max(size, 1e-9)) / valid.sum()
             for name, g in grad.items():
                 g *= scale
                 squares[name] += g * g
                 weights[name] -= RATE * g / np.sqrt(squares[name])
-            state = network.forward(state, inputs, first, network.input_table())[0][-1]
     return weights, read
 
 

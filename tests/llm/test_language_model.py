@@ -168,3 +168,20 @@ def test_odd_rows_and_empty_table(spark, odd_docs, no_docs):
     assert lm.language_scores(no_docs).count() == 0
     held = odd_docs.filter(lm.held_out())
     assert all(r.train_tokens == 0 and r.base_score == 0 for r in lm.language_scores(held).collect())
+
+
+def test_every_training_token_is_in_a_step(monkeypatch):
+    vocabulary = small_vocabulary()
+    draw = np.random.default_rng(3)
+    texts = [[b"w%d" % i for i in draw.integers(0, 90, n)] + [lm.END] for n in (1, 9000, *draw.integers(5, 900, 600))]
+    learnt, plain_gradient = Counter(), lm.Network.gradient
+
+    def gradient(self, state, inputs, targets, first, valid):
+        learnt.update(targets[valid].tolist())
+        return plain_gradient(self, state, inputs, targets, first, valid)
+
+    monkeypatch.setattr(lm.Network, "gradient", gradient)
+    _, read = lm.train_on(vocabulary.first_weights(), vocabulary, iter(texts))
+    encoder = lm.Encoder(vocabulary)
+    assert learnt == Counter(i for words in texts for i in encoder.encode(words)[2].tolist())
+    assert read == sum(map(len, texts))
