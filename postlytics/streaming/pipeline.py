@@ -60,11 +60,31 @@ class TopicModel:
         return self.version is not None
 
 
-def with_row_ids(messages: DataFrame) -> DataFrame:
-    """(key, value, row): row depends on the content and on how many equal messages came before."""
+# messages of a batch that occur more than once, by their hashes, that may be broadcast
+_BROADCAST_REPEATED = 1_000_000
+
+
+def repeated_messages(messages: DataFrame) -> DataFrame:
+    """(alike): hashes of key and value that more than one message has; only hashes are shuffled."""
+    hashes = messages.groupBy(F.xxhash64("key", "value").alias("alike")).agg(F.count(F.lit(1)).alias("n"))
+    return hashes.filter("n > 1").select("alike")
+
+
+def with_row_ids(messages: DataFrame, repeated: DataFrame | None = None) -> DataFrame:
+    """Adds `row`, which depends on key and value and on how many equal messages came before.
+
+    With the hashes of `repeated_messages`, which are broadcast, all other messages stay where they
+    are as the first of their kind. Without, all messages are shuffled and sorted to be numbered.
+    """
     alike = Window.partitionBy("key", F.xxhash64("value")).orderBy("value")
-    copies = messages.select("key", "value", F.row_number().over(alike).alias("copy"))
-    return copies.select("key", "value", F.xxhash64("key", "value", "copy").alias("row"))
+    nth = F.row_number().over(alike)
+    row = F.xxhash64("key", "value", "copy").alias("row")
+    if repeated is None:
+        return messages.withColumn("copy", nth).select(*messages.columns, row)
+    listed = F.broadcast(repeated.withColumn("several", F.lit(True)))
+    marked = messages.withColumn("alike", F.xxhash64("key", "value")).join(listed, "alike", "left")
+    once = marked.filter("several IS NULL").withColumn("copy", F.lit(1))
+    return once.unionByName(marked.filter("several").withColumn("copy", nth)).select(*messages.columns, row)
 
 
 def clock_columns() -> list[Column]:
@@ -103,15 +123,17 @@ class Pipeline:
         )
 
     def process(self, messages: DataFrame, batch_id: int) -> None:
-        numbered = with_row_ids(messages)
         latest = F.current_timestamp() + F.make_dt_interval(secs=F.lit(self.settings.future_seconds))
-        parsed = parse_messages(numbered, latest).persist(StorageLevel.MEMORY_AND_DISK)
+        parsed = parse_messages(messages.select("key", "value"), latest).persist(StorageLevel.MEMORY_AND_DISK)
+        repeated = repeated_messages(parsed).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             write_batch(bad_messages(parsed), self.path("quarantine"), batch_id)
-            posts = good_posts(parsed, "row")
+            few = repeated.limit(_BROADCAST_REPEATED + 1).count() <= _BROADCAST_REPEATED
+            posts = good_posts(with_row_ids(parsed, repeated if few else None), "row")
             if not posts.isEmpty():
                 self._accept_and_score(posts, batch_id)
         finally:
+            repeated.unpersist()
             parsed.unpersist()
 
     def _accept_and_score(self, posts: DataFrame, batch_id: int) -> None:

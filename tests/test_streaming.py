@@ -20,7 +20,7 @@ from postlytics.sources.streams import read_messages, write_messages
 from postlytics.streaming import control
 from postlytics.streaming.buckets import bucket_writer, read_buckets
 from postlytics.streaming.ingest import ingest, read_statuses
-from postlytics.streaming.pipeline import Pipeline, TopicModel, with_row_ids
+from postlytics.streaming.pipeline import Pipeline, TopicModel, repeated_messages, with_row_ids
 from postlytics.streaming.progress import FunnelTotals
 from postlytics.streaming.view import late_corrections, late_counts, mend_view, minute_view, read_assigned, view_writer
 
@@ -191,6 +191,19 @@ def test_row_ids_do_not_depend_on_partitions(spark):
     assert ids[0] == ids[1] and len({r[2] for r in ids[0]}) == len(rows)
 
 
+def test_only_repeated_messages_are_shuffled_to_be_numbered(spark):
+    rows = [(str(i % 50), f"text {i}") for i in range(200)] + [("7", "text 7")] * 3 + [(None, "a"), (None, "a"), ("k", None)]
+    frame = spark.createDataFrame(rows, "key string, value string").repartition(4)
+    repeated = repeated_messages(frame)
+    assert repeated.count() == 2
+    found = with_row_ids(frame, repeated)
+    assert found.columns == ["key", "value", "row"]
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(map(tuple, with_row_ids(frame).collect()), key=str)
+    numbered = lambda rows: rows._jdf.queryExecution().optimizedPlan().toString().split("Window [", 1)[1]
+    assert "Join" in numbered(found) and "Join" not in numbered(with_row_ids(frame))
+
+
+
 def test_a_post_dated_ahead_does_not_stop_promotion(spark):
     found = []
     for ahead in (False, True):
