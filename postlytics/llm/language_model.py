@@ -108,6 +108,9 @@ class Vocabulary:
         sizes = self.ends - self.starts
         rest = len(self.starts)
         self.of_class = np.append(np.repeat(np.arange(rest), sizes), rest).astype(np.int64)
+        hashes = np.fromiter(map(zlib.crc32, self.words[self.short :]), np.int64, len(self.words) - self.short)
+        # the input row of every listed word, worked out once and not in each task
+        self.rows = np.concatenate([np.arange(self.short), self.short + hashes % BUCKETS]).astype(np.int32)
         self.rest_norm = np.log10(
             self.total - int(self.counts[: self.short].sum()) + SMOOTH * (self.kinds - int((self.counts[: self.short] > 0).sum()) + 1)
         )
@@ -141,20 +144,19 @@ class Encoder:
     """Texts as ids: listed words by their place, others -1; and input rows and targets of the model."""
 
     def __init__(self, vocabulary: Vocabulary) -> None:
-        self.short = vocabulary.short
+        self.short, self.rows = vocabulary.short, vocabulary.rows
         self.ids = {word: i for i, word in enumerate(vocabulary.words)}
-        rows = [zlib.crc32(word) % BUCKETS for word in vocabulary.words[self.short :]]
-        self.rows = np.concatenate([np.arange(self.short), self.short + np.array(rows, np.int64)]).astype(np.int32)
 
     def encode(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(ids, input rows, targets): the input of a token is the one before it, of the first the start."""
-        get = self.ids.get
-        ids = np.fromiter(map(get, words, repeat(-1)), np.int64, len(words))
-        rows = self.rows[ids]
-        for at in np.flatnonzero(ids < 0).tolist():
-            rows[at] = self.short + zlib.crc32(words[at]) % BUCKETS
-        inputs = np.concatenate([[self.short + BUCKETS], rows[:-1]]).astype(np.int32)
-        return ids, inputs, np.where((ids >= 0) & (ids < self.short), ids, self.short).astype(np.int32)
+        ids = np.fromiter(map(self.ids.get, words, repeat(-1)), np.int64, len(words))
+        inputs = np.empty(len(words) + 1, np.int32)
+        inputs[0], inputs[1:] = self.short + BUCKETS, self.rows[ids]
+        others = np.flatnonzero(ids < 0)
+        hashes = np.fromiter(map(zlib.crc32, map(words.__getitem__, others.tolist())), np.int64, len(others))
+        inputs[others + 1] = self.short + hashes % BUCKETS
+        targets = np.where(ids >= 0, np.minimum(ids, self.short), self.short).astype(np.int32)
+        return ids, inputs[:-1], targets
 
 
 class Lanes:
@@ -198,41 +200,63 @@ class Lanes:
 
 
 class Network:
-    """Forward and backward passes over windows."""
+    """Forward and backward passes over windows.
+
+    Inside, lanes come last: numbers of one kind lie side by side for all lanes, which numpy works on
+    several times as fast as on rows of a few numbers each.
+    """
 
     def __init__(self, weights: Weights, vocabulary: Vocabulary) -> None:
         self.w, self.v = weights, vocabulary
         self.size = weights["state"].shape[0]
+        self.rooms: dict[str, np.ndarray] = {}
+
+    def room(self, name: str, *shape: int) -> np.ndarray:
+        """Memory kept from window to window; new pages for every window cost more than the work in them."""
+        length = int(np.prod(shape))
+        if name not in self.rooms or len(self.rooms[name]) < length:
+            self.rooms[name] = np.empty(length, self.w["state"].dtype)
+        return self.rooms[name][:length].reshape(shape)
 
     def input_table(self) -> np.ndarray:
         """What every input row adds to the gates."""
         return self.w["embed"] @ self.w["input"] + self.w["gates"]
 
     def forward(self, state: np.ndarray, inputs: np.ndarray, first: np.ndarray, table: np.ndarray | None = None):
-        """States (steps, lanes, hidden) from the state before; without `table` also what a gradient needs."""
+        """States (steps, lanes, hidden) from the state before; without `table` also what a gradient needs.
+
+        That is, by step, hidden unit and lane: the state before, both gates, the new part and its recurrent term.
+        """
         w, size = self.w, self.size
-        projected = (self.input_table() if table is None else table)[inputs]
-        starts = first.any(axis=1)
-        states, kept = np.empty((*inputs.shape, size), state.dtype), []
-        for t in range(len(inputs)):
-            before = state * ~first[t][:, None] if starts[t] else state
-            recurrent = before @ w["state"]
-            gates = recurrent[:, : 2 * size] + projected[t, :, : 2 * size]
-            gates *= 0.5
-            np.tanh(gates, out=gates)
-            gates *= 0.5
-            gates += 0.5
-            update, reset = gates[:, :size], gates[:, size:]
-            new = reset * recurrent[:, 2 * size :]
-            new += projected[t, :, 2 * size :]
+        rows = self.input_table() if table is None else table
+        starts, recur = first.any(axis=1), np.ascontiguousarray(w["state"].T)
+        steps, lanes = inputs.shape
+        states = self.room("states", steps, size, lanes)
+        kept = None if table is not None else self.room("kept", 5, steps, size, lanes)
+        state = state.T.copy()
+        for t in range(steps):
+            before = state * ~first[t] if starts[t] else state
+            recurrent = recur @ before
+            gates = np.ascontiguousarray(rows[inputs[t]].T)
+            update, reset, new = gates[:size], gates[size : 2 * size], gates[2 * size :]
+            both = gates[: 2 * size]
+            both += recurrent[: 2 * size]
+            both *= 0.5
+            np.tanh(both, out=both)
+            both *= 0.5
+            both += 0.5
+            if kept is not None:
+                kept[4, t] = recurrent[2 * size :]
+            recurrent[2 * size :] *= reset
+            new += recurrent[2 * size :]
             np.tanh(new, out=new)
             state = states[t]
             np.subtract(before, new, out=state)
             state *= update
             state += new
-            if table is None:
-                kept.append((before, update, reset, new, recurrent[:, 2 * size :]))
-        return states, kept
+            if kept is not None:
+                kept[0, t], kept[1, t], kept[2, t], kept[3, t] = before, update, reset, new
+        return states.transpose(0, 2, 1).copy(), kept
 
     def likelihood(self, states: np.ndarray, targets: np.ndarray, gradient: Weights | None = None):
         """Natural log-probabilities of the targets (the rest class as a whole) of rows of states.
@@ -240,39 +264,28 @@ class Network:
         With `gradient`, output gradients of their negative sum are added to it, and those of the states returned.
         """
         w, v = self.w, self.v
-        order = np.argsort(v.of_class[targets], kind="stable")
+        order = np.argsort(v.of_class[targets].astype(np.int16), kind="stable")
         states, targets = states[order], targets[order]  # rows of a class follow each other
         classes = v.of_class[targets]
         rows = np.arange(len(targets))
-        logits = states @ w["class"] + w["class_bias"]
-        logits -= logits.max(axis=1, keepdims=True)
-        powers = np.exp(logits)
-        sums = powers.sum(axis=1)
-        found = logits[rows, classes] - np.log(sums)
+        found, powers = _softmax(w["class"].T @ states.T, w["class_bias"], classes, rows, gradient is not None)
         back = None
         if gradient is not None:
-            powers /= sums[:, None]
-            powers[rows, classes] -= 1
-            gradient["class"] += states.T @ powers
-            gradient["class_bias"] += powers.sum(axis=0)
-            back = powers @ w["class"].T
+            gradient["class"] += (powers @ states).T
+            gradient["class_bias"] += powers.sum(axis=1)
+            back = powers.T @ w["class"].T
         bounds = np.searchsorted(classes, np.arange(len(v.starts) + 1))
         for c, (start, end) in enumerate(zip(v.starts, v.ends)):
             own = slice(bounds[c], bounds[c + 1])
             if end - start == 1 or own.start == own.stop:
                 continue
-            chosen, inside, at = states[own], targets[own] - start, np.arange(own.stop - own.start)
-            logits = chosen @ w["word"][start:end].T + w["word_bias"][start:end]
-            logits -= logits.max(axis=1, keepdims=True)
-            powers = np.exp(logits)
-            sums = powers.sum(axis=1)
-            found[own] += logits[at, inside] - np.log(sums)
+            chosen, inside, at = states[own], targets[own] - start, rows[: own.stop - own.start]
+            more, powers = _softmax(w["word"][start:end] @ chosen.T, w["word_bias"][start:end], inside, at, gradient is not None)
+            found[own] += more
             if gradient is not None:
-                powers /= sums[:, None]
-                powers[at, inside] -= 1
-                gradient["word"][start:end] += powers.T @ chosen
-                gradient["word_bias"][start:end] += powers.sum(axis=0)
-                back[own] += powers @ w["word"][start:end]
+                gradient["word"][start:end] += powers @ chosen
+                gradient["word_bias"][start:end] += powers.sum(axis=1)
+                back[own] += powers.T @ w["word"][start:end]
         place = np.empty_like(order)
         place[order] = rows
         return found[place], None if back is None else back[place]
@@ -284,36 +297,56 @@ class Network:
         states, kept = self.forward(state, inputs, first)
         flat = valid.ravel()
         found, back = self.likelihood(states.reshape(-1, size)[flat], targets.ravel()[flat], grad)
-        above = np.zeros((flat.size, size), states.dtype)
-        above[flat] = back
-        above = above.reshape(states.shape)
-        before, update, reset, new, recurrent = (np.stack(part) for part in zip(*kept))
+        steps, lanes = inputs.shape
+        spread = np.zeros((flat.size, size), states.dtype)
+        spread[flat] = back
+        above = self.room("above", steps, size, lanes)
+        above[:] = spread.reshape(states.shape).transpose(0, 2, 1)
+        before, update, reset, new, recurrent = kept
         by_new = (1 - update) * (1 - new * new)
         # what a step's gradient is multiplied by for its gates; in the loop it becomes the product
-        gates = np.empty((*inputs.shape, 3, size), states.dtype)
-        gates[:, :, 0] = update * (before - new) * (1 - update)
-        gates[:, :, 1] = by_new * recurrent * reset * (1 - reset)
-        gates[:, :, 2] = by_new * reset
-        carried, state_back, starts = np.zeros_like(states[0]), w["state"].T.copy(), first.any(axis=1)
-        for t in range(len(inputs) - 1, -1, -1):
+        gates = self.room("gates", steps, 3, size, lanes)
+        np.subtract(before, new, out=gates[:, 0])
+        gates[:, 0] *= update
+        gates[:, 0] *= 1 - update
+        np.multiply(by_new, reset, out=gates[:, 2])
+        np.multiply(gates[:, 2], recurrent, out=gates[:, 1])
+        gates[:, 1] *= 1 - reset
+        carried, starts = np.zeros_like(above[0]), first.any(axis=1)
+        by_embedded = np.empty((w["input"].shape[0], steps, lanes), states.dtype)
+        for t in range(steps - 1, -1, -1):
             above[t] += carried
-            gates[t] *= above[t][:, None]
-            carried = gates[t].reshape(-1, 3 * size) @ state_back
+            gates[t] *= above[t]
+            flat_gates = gates[t].reshape(3 * size, lanes)
+            grad["state"] += before[t] @ flat_gates.T
+            carried = w["state"] @ flat_gates
             carried += above[t] * update[t]
             if starts[t]:
-                carried *= ~first[t][:, None]
-        grad["state"] += before.reshape(-1, size).T @ gates.reshape(-1, 3 * size)
-        gates[:, :, 2] = above * by_new
-        # rows of one input are added up first, so products are taken once for each input of the window
-        order = np.argsort(inputs.ravel(), kind="stable")
-        used, places = np.unique(inputs.ravel()[order], return_index=True)
-        by_input = np.add.reduceat(gates.reshape(-1, 3 * size)[order], places, axis=0)
-        grad["gates"] += by_input.sum(axis=0)
-        grad["input"] += w["embed"][used].T @ by_input
-        grad["embed"][used] += by_input @ w["input"].T
+                carried *= ~first[t]
+            np.multiply(above[t], by_new[t], out=gates[t, 2])
+            grad["gates"] += flat_gates.sum(axis=1)
+            grad["input"] += w["embed"][inputs[t]].T @ flat_gates.T
+            by_embedded[:, t] = w["input"] @ flat_gates
+        places = inputs.ravel()
+        for unit, row in enumerate(by_embedded.reshape(len(by_embedded), -1)):
+            grad["embed"][:, unit] += np.bincount(places, row, len(grad["embed"]))
         return -float(found.sum()), grad, states[-1]
 
 
+def _softmax(logits: np.ndarray, bias: np.ndarray, chosen: np.ndarray, at: np.ndarray, wanted: bool):
+    """Log-probabilities of the chosen outputs and, if wanted, the gradient of their negative sum; outputs by rows."""
+    logits += bias[:, None]
+    logits -= logits.max(axis=0)
+    found = logits[chosen, at]
+    np.exp(logits, out=logits)
+    sums = logits.sum(axis=0)
+    found -= np.log(sums)
+    if wanted:
+        logits /= sums
+        logits[chosen, at] -= 1
+    return found, logits
+
+
 def train_on(weights: Weights, vocabulary: Vocabulary, texts: Iterator[list[bytes]]) -> tuple[Weights, int]:
     """(weights after the texts, tokens learnt from), by steps of Adagrad; every token is in one step."""
     weights = {name: value.copy() for name, value in weights.items()}
@@ -326,12 +359,14 @@ def train_on(weights: Weights, vocabulary: Vocabulary, texts: Iterator[list[byte
             state = np.zeros((lanes, HIDDEN), np.float32) if number == 0 else state[:lanes]
             read += int(valid.sum())
             _, grad, state = network.gradient(state, inputs, targets, first, valid)
-            size = np.sqrt(sum(float((g * g).sum()) for g in grad.values())) / valid.sum()
+            size = np.sqrt(sum(float(np.vdot(g, g)) for g in grad.values())) / valid.sum()
             scale = min(1.0, CLIP / max(size, 1e-9)) / valid.sum()
             for name, g in grad.items():
                 g *= scale
                 squares[name] += g * g
-                weights[name] -= RATE * g / np.sqrt(squares[name])
+                g *= RATE
+                g /= np.sqrt(squares[name])
+                weights[name] -= g
     return weights, read
 
 
@@ -361,7 +396,9 @@ def _unpacked(flat: np.ndarray, like: Weights) -> Weights:
 def train(docs: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS) -> Weights:
     """Weights after `rounds` shares of the training texts; all of these texts are read, each once."""
     context = docs.sparkSession.sparkContext
-    shared = context.broadcast(vocabulary)
+    # words beyond the short list are one class to the model
+    short = Vocabulary(vocabulary.words[: vocabulary.short], vocabulary.counts[: vocabulary.short], vocabulary.total, vocabulary.kinds, False)
+    shared = context.broadcast(short)
     weights = vocabulary.first_weights()
     chosen = docs.filter(~held_out()).select(
         F.col("text").cast("string").alias("text"),

@@ -185,3 +185,13 @@ def test_every_training_token_is_in_a_step(monkeypatch):
     encoder = lm.Encoder(vocabulary)
     assert learnt == Counter(i for words in texts for i in encoder.encode(words)[2].tolist())
     assert read == sum(map(len, texts))
+
+
+def test_windows_share_memory_but_not_their_states():
+    vocabulary, draw = lm.Vocabulary([lm.END, b"a", b"b"], np.array([5, 9, 4]), 18, 3, True), np.random.default_rng(4)
+    network = lm.Network(vocabulary.first_weights(), vocabulary)
+    state, first = np.zeros((1, lm.HIDDEN), np.float32), np.zeros((6, 1), bool)
+    states, kept = network.forward(state, draw.integers(0, 3, (6, 1)), first)
+    before = states.copy()
+    _, again = network.forward(states[-1], draw.integers(0, 3, (6, 1)), first)
+    assert np.shares_memory(kept, again) and (states == before).all()
