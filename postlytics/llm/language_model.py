@@ -21,10 +21,12 @@ All counts cover all training texts. The most frequent words are broadcast with
 from __future__ import annotations
 
 import heapq
+import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 from itertools import repeat
 
 import numpy as np
@@ -115,6 +117,11 @@ class Vocabulary:
             self.total - int(self.counts[: self.short].sum()) + SMOOTH * (self.kinds - int((self.counts[: self.short] > 0).sum()) + 1)
         )
 
+    @cached_property
+    def encoder(self) -> Encoder:
+        """Made once a Python worker, which keeps a broadcast vocabulary from task to task."""
+        return Encoder(self)
+
     def first_weights(self) -> Weights:
         draw = np.random.default_rng(1)
         wide = lambda *shape: (draw.standard_normal(shape) * shape[0] ** -0.5).astype(np.float32)
@@ -213,123 +220,156 @@ class Network:
 
     def room(self, name: str, *shape: int) -> np.ndarray:
         """Memory kept from window to window; new pages for every window cost more than the work in them."""
-        length = int(np.prod(shape))
+        length = math.prod(shape)
         if name not in self.rooms or len(self.rooms[name]) < length:
             self.rooms[name] = np.empty(length, self.w["state"].dtype)
         return self.rooms[name][:length].reshape(shape)
 
     def input_table(self) -> np.ndarray:
-        """What every input row adds to the gates."""
-        return self.w["embed"] @ self.w["input"] + self.w["gates"]
+        """What every input row adds to the powers of the gates."""
+        return (self.w["embed"] @ self.w["input"] + self.w["gates"]) * self.signs()
+
+    def signs(self) -> np.ndarray:
+        """Factors of the gates' sums: sigmoid(x) is 1 / (1 + exp(-x)) and tanh(x) is 2 / (1 + exp(-2x)) - 1.
+
+        An exponential takes numpy half as long as a tanh; the factors are powers of two, so nothing is rounded.
+        """
+        return np.repeat(np.array([-1, -1, -2], self.w["state"].dtype), self.size)
 
     def forward(self, state: np.ndarray, inputs: np.ndarray, first: np.ndarray, table: np.ndarray | None = None):
         """States (steps, lanes, hidden) from the state before; without `table` also what a gradient needs.
 
-        That is, by step, hidden unit and lane: the state before, both gates, the new part and its recurrent term.
+        That is, by step: the state before, both gates, the new part and -2 times its recurrent term, each by hidden
+        unit and lane.
         """
         w, size = self.w, self.size
         rows = self.input_table() if table is None else table
-        starts, recur = first.any(axis=1), np.ascontiguousarray(w["state"].T)
+        recur = w["state"].T * self.signs()[:, None]
         steps, lanes = inputs.shape
         states = self.room("states", steps, size, lanes)
-        kept = None if table is not None else self.room("kept", 5, steps, size, lanes)
+        kept = None if table is not None else self.room("kept", steps, 5, size, lanes)
         state = state.T.copy()
+        with np.errstate(over="ignore"):  # of an infinite power the gate is zero
+            self._steps(rows, recur, state, inputs, first, states, kept)
+        return states.transpose(0, 2, 1).copy(), kept
+
+    def _steps(self, rows, recur, state, inputs, first, states, kept) -> None:
+        """Fills `states` and, unless it is None, `kept`."""
+        size, (steps, lanes) = self.size, inputs.shape
+        starts = first.any(axis=1)
+        taken, recurrent = self.room("taken", lanes, 3 * size), self.room("recurrent", 3 * size, lanes)
+        gates, masked = self.room("step", 3, size, lanes), self.room("masked", size, lanes)
         for t in range(steps):
-            before = state * ~first[t] if starts[t] else state
-            recurrent = recur @ before
-            gates = np.ascontiguousarray(rows[inputs[t]].T)
-            update, reset, new = gates[:size], gates[size : 2 * size], gates[2 * size :]
-            both = gates[: 2 * size]
-            both += recurrent[: 2 * size]
-            both *= 0.5
-            np.tanh(both, out=both)
-            both *= 0.5
-            both += 0.5
+            before = np.multiply(state, ~first[t], out=masked) if starts[t] else state
+            np.matmul(recur, before, out=recurrent)
+            np.take(rows, inputs[t], axis=0, out=taken, mode="clip")
             if kept is not None:
-                kept[4, t] = recurrent[2 * size :]
+                gates = kept[t, 1:4]
+                kept[t, 0], kept[t, 4] = before, recurrent[2 * size :]
+            np.copyto(gates, taken.T.reshape(3, size, lanes))
+            both, (update, reset, new) = gates[:2], gates
+            both += recurrent[: 2 * size].reshape(2, size, lanes)
+            np.exp(both, out=both)
+            both += 1
+            np.reciprocal(both, out=both)
             recurrent[2 * size :] *= reset
             new += recurrent[2 * size :]
-            np.tanh(new, out=new)
+            np.exp(new, out=new)
+            new += 1
+            np.divide(2, new, out=new)
+            new -= 1
             state = states[t]
             np.subtract(before, new, out=state)
             state *= update
             state += new
-            if kept is not None:
-                kept[0, t], kept[1, t], kept[2, t], kept[3, t] = before, update, reset, new
-        return states.transpose(0, 2, 1).copy(), kept
 
-    def likelihood(self, states: np.ndarray, targets: np.ndarray, gradient: Weights | None = None):
-        """Natural log-probabilities of the targets (the rest class as a whole) of rows of states.
+    def likelihood(self, states: np.ndarray, targets: np.ndarray, valid: np.ndarray, gradient: Weights | None = None):
+        """Natural log-probabilities of the valid targets (the rest class as a whole) of rows of states.
 
-        With `gradient`, output gradients of their negative sum are added to it, and those of the states returned.
+        With `gradient`, output gradients of their negative sum are added to it, and those of all rows of states returned.
         """
         w, v = self.w, self.v
-        order = np.argsort(v.of_class[targets].astype(np.int16), kind="stable")
-        states, targets = states[order], targets[order]  # rows of a class follow each other
-        classes = v.of_class[targets]
+        classes = v.of_class[targets].astype(np.int16)
+        order = np.argsort(np.where(valid, classes, np.int16(len(v.starts) + 1)), kind="stable")[: np.count_nonzero(valid)]
+        # rows of a class follow each other
+        chosen_states = np.take(states, order, axis=0, mode="clip", out=self.room("chosen", len(order), self.size))
+        targets = targets[order]
+        classes, wanted = classes[order], gradient is not None
         rows = np.arange(len(targets))
-        found, powers = _softmax(w["class"].T @ states.T, w["class_bias"], classes, rows, gradient is not None)
-        back = None
-        if gradient is not None:
-            gradient["class"] += (powers @ states).T
+        logits = np.matmul(w["class"].T, chosen_states.T, out=self.room("classes", w["class"].shape[1], len(order)))
+        found, powers = _softmax(logits, w["class_bias"], classes, rows, wanted)
+        if wanted:
+            gradient["class"] += (powers @ chosen_states).T
             gradient["class_bias"] += powers.sum(axis=1)
-            back = powers.T @ w["class"].T
+            back = np.matmul(powers.T, w["class"].T, out=self.room("back", len(order), self.size))
         bounds = np.searchsorted(classes, np.arange(len(v.starts) + 1))
         for c, (start, end) in enumerate(zip(v.starts, v.ends)):
             own = slice(bounds[c], bounds[c + 1])
             if end - start == 1 or own.start == own.stop:
                 continue
-            chosen, inside, at = states[own], targets[own] - start, rows[: own.stop - own.start]
-            more, powers = _softmax(w["word"][start:end] @ chosen.T, w["word_bias"][start:end], inside, at, gradient is not None)
+            chosen, inside, at = chosen_states[own], targets[own] - start, rows[: own.stop - own.start]
+            more, powers = _softmax(w["word"][start:end] @ chosen.T, w["word_bias"][start:end], inside, at, wanted)
             found[own] += more
-            if gradient is not None:
+            if wanted:
                 gradient["word"][start:end] += powers @ chosen
                 gradient["word_bias"][start:end] += powers.sum(axis=1)
                 back[own] += powers.T @ w["word"][start:end]
-        place = np.empty_like(order)
-        place[order] = rows
-        return found[place], None if back is None else back[place]
+        log, spread = np.zeros(len(valid), found.dtype), None
+        log[order] = found
+        if wanted:
+            spread = self.room("spread", *states.shape)
+            if len(order) < len(valid):
+                spread[:] = 0
+            spread[order] = back
+        return log[valid], spread
 
     def gradient(self, state, inputs, targets, first, valid) -> tuple[float, Weights, np.ndarray]:
         """(negative log-likelihood, its gradient, last state) of a window; the first state is given."""
         w, size = self.w, self.size
         grad = {name: np.zeros_like(value) for name, value in w.items()}
         states, kept = self.forward(state, inputs, first)
-        flat = valid.ravel()
-        found, back = self.likelihood(states.reshape(-1, size)[flat], targets.ravel()[flat], grad)
+        found, spread = self.likelihood(states.reshape(-1, size), targets.ravel(), valid.ravel(), grad)
         steps, lanes = inputs.shape
-        spread = np.zeros((flat.size, size), states.dtype)
-        spread[flat] = back
         above = self.room("above", steps, size, lanes)
         above[:] = spread.reshape(states.shape).transpose(0, 2, 1)
-        before, update, reset, new, recurrent = kept
-        by_new = (1 - update) * (1 - new * new)
-        # what a step's gradient is multiplied by for its gates; in the loop it becomes the product
-        gates = self.room("gates", steps, 3, size, lanes)
-        np.subtract(before, new, out=gates[:, 0])
-        gates[:, 0] *= update
-        gates[:, 0] *= 1 - update
-        np.multiply(by_new, reset, out=gates[:, 2])
-        np.multiply(gates[:, 2], recurrent, out=gates[:, 1])
-        gates[:, 1] *= 1 - reset
+        before, update, reset, new, recurrent = kept.swapaxes(0, 1)
+        by_new = self.room("by_new", steps, size, lanes)
+        np.multiply(new, new, out=by_new)
+        np.subtract(1, by_new, out=by_new)
+        # what a step's gradient is multiplied by, in the loop the product: the recurrent term, both gates, the new part
+        gates = self.room("gates", steps, 4, size, lanes)
+        np.subtract(1, update, out=gates[:, 1])
+        by_new *= gates[:, 1]
+        gates[:, 1] *= update
+        np.subtract(before, new, out=gates[:, 3])
+        gates[:, 1] *= gates[:, 3]
+        np.multiply(by_new, reset, out=gates[:, 0])
+        np.subtract(1, reset, out=gates[:, 2])
+        gates[:, 2] *= gates[:, 0]
+        gates[:, 2] *= recurrent
+        gates[:, 2] *= -0.5
+        # the states see the recurrent term and both gates, in this order, the inputs both gates and the new part
+        by_state, by_input = gates[:, :3].reshape(steps, 3 * size, lanes), gates[:, 1:].reshape(steps, 3 * size, lanes)
+        back_state = np.concatenate([w["state"][:, 2 * size :], w["state"][:, : 2 * size]], axis=1)
         carried, starts = np.zeros_like(above[0]), first.any(axis=1)
-        by_embedded = np.empty((w["input"].shape[0], steps, lanes), states.dtype)
+        through = np.empty_like(carried)
         for t in range(steps - 1, -1, -1):
             above[t] += carried
-            gates[t] *= above[t]
-            flat_gates = gates[t].reshape(3 * size, lanes)
-            grad["state"] += before[t] @ flat_gates.T
-            carried = w["state"] @ flat_gates
-            carried += above[t] * update[t]
+            gates[t, :3] *= above[t]
+            np.matmul(back_state, by_state[t], out=carried)
+            carried += np.multiply(above[t], update[t], out=through)
             if starts[t]:
                 carried *= ~first[t]
-            np.multiply(above[t], by_new[t], out=gates[t, 2])
-            grad["gates"] += flat_gates.sum(axis=1)
-            grad["input"] += w["embed"][inputs[t]].T @ flat_gates.T
-            by_embedded[:, t] = w["input"] @ flat_gates
+        np.multiply(above, by_new, out=gates[:, 3])
+        states_grad = (before @ by_state.transpose(0, 2, 1)).sum(axis=0)
+        grad["state"] += np.concatenate([states_grad[:, size:], states_grad[:, :size]], axis=1)
+        grad["gates"] += by_input.sum(axis=2).sum(axis=0)
+        embedded = np.take(w["embed"], inputs, axis=0, mode="clip", out=self.room("embedded", steps, lanes, w["embed"].shape[1]))
+        grad["input"] += (embedded.transpose(0, 2, 1) @ by_input.transpose(0, 2, 1)).sum(axis=0)
+        by_embedded = np.matmul(w["input"], by_input, out=self.room("by_embedded", steps, len(w["input"]), lanes))
         places = inputs.ravel()
-        for unit, row in enumerate(by_embedded.reshape(len(by_embedded), -1)):
-            grad["embed"][:, unit] += np.bincount(places, row, len(grad["embed"]))
+        for unit in range(by_embedded.shape[1]):
+            grad["embed"][:, unit] += np.bincount(places, by_embedded[:, unit].ravel(), len(grad["embed"]))
         return -float(found.sum()), grad, states[-1]
 
 
@@ -351,7 +391,7 @@ def train_on(weights: Weights, vocabulary: Vocabulary, texts: Iterator[list[byte
     """(weights after the texts, tokens learnt from), by steps of Adagrad; every token is in one step."""
     weights = {name: value.copy() for name, value in weights.items()}
     squares = {name: np.full_like(value, FIRST) for name, value in weights.items()}
-    network, encoder = Network(weights, vocabulary), Encoder(vocabulary)
+    network, encoder = Network(weights, vocabulary), vocabulary.encoder
     start, read = vocabulary.short + BUCKETS, 0
     for pool in _pools((encoder.encode(words)[1:] for words in texts), POOL):
         state = None
@@ -439,7 +479,7 @@ def log10_likelihoods(network: Network, texts: list[tuple[np.ndarray, np.ndarray
         state = np.zeros((lanes_left, network.size), network.w["state"].dtype) if number == 0 else state[:lanes_left]
         states, _ = network.forward(state, inputs, first, table)
         state, flat = states[-1], valid.ravel()
-        found, _ = network.likelihood(states.reshape(-1, network.size)[flat], targets.ravel()[flat])
+        found, _ = network.likelihood(states.reshape(-1, network.size), targets.ravel(), flat)
         out += np.bincount(of.ravel()[flat], found.astype(np.float64), len(texts))
     return out / np.log(10)
 
@@ -450,7 +490,7 @@ def score_texts(docs: DataFrame, vocabulary: Vocabulary, weights: Weights) -> Da
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, weights = shared.value
-        encoder, network = Encoder(vocabulary), Network(weights, vocabulary)
+        encoder, network = vocabulary.encoder, Network(weights, vocabulary)
         logs = np.log10(np.append(vocabulary.counts, 0) + SMOOTH)
         known = np.append(vocabulary.counts > 0, False)
         norm = np.log10(vocabulary.total + SMOOTH * (vocabulary.kinds + 1))

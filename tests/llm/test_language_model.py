@@ -195,3 +195,31 @@ def test_windows_share_memory_but_not_their_states():
     before = states.copy()
     _, again = network.forward(states[-1], draw.integers(0, 3, (6, 1)), first)
     assert np.shares_memory(kept, again) and (states == before).all()
+
+
+def test_rows_that_are_not_valid_have_no_gradient():
+    vocabulary, draw = small_vocabulary(), np.random.default_rng(5)
+    weights = some_weights(vocabulary)
+    network, valid = lm.Network(weights, vocabulary), np.arange(40) % 5 > 0
+    states = np.tanh(draw.standard_normal((40, lm.HIDDEN)))
+    targets = draw.integers(0, vocabulary.short + 1, 40)
+    whole, part = ({name: np.zeros_like(w) for name, w in weights.items()} for _ in range(2))
+    found, back = network.likelihood(states, targets, valid, whole)
+    alone, expected = lm.Network(weights, vocabulary).likelihood(states[valid], targets[valid], np.ones(32, bool), part)
+    assert np.allclose(found, alone) and np.allclose(back[valid], expected) and not back[~valid].any()
+    assert all(np.allclose(whole[name], part[name]) for name in weights)
+
+
+def test_large_gate_sums_are_within_range():
+    vocabulary = small_vocabulary()
+    weights = {name: w.astype(np.float32) for name, w in some_weights(vocabulary).items()}
+    weights["gates"][:] = np.repeat([200, -200, 200, -200], len(weights["gates"]) // 4)
+    network, inputs = lm.Network(weights, vocabulary), np.zeros((3, 2), np.int32)
+    with np.errstate(all="raise", under="ignore"):
+        states, _ = network.forward(np.full((2, lm.HIDDEN), 0.5, np.float32), inputs, np.zeros((3, 2), bool))
+    assert np.isfinite(states).all() and np.abs(states).max() <= 1
+
+
+def test_a_vocabulary_makes_its_encoder_once():
+    vocabulary = small_vocabulary()
+    assert vocabulary.encoder is vocabulary.encoder
