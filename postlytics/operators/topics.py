@@ -205,6 +205,22 @@ def repeated_weights(word_topics: DataFrame) -> DataFrame:
     )
 
 
+def doubtful_words(word_topics: DataFrame) -> DataFrame:
+    """Words with fewer different remainders of topics by 64 than entries; every word that repeats a topic is one.
+
+    A row per word is shuffled, where counting by word and topic shuffles every weight.
+    """
+    bit = F.expr("shiftleft(1L, cast(pmod(topic, 64) AS int))")
+    counts = word_topics.groupBy("word").agg(F.count(F.lit(1)).alias("entries"), F.bit_or(bit).alias("bits"))
+    return counts.filter("bits IS NULL OR bit_count(bits) < entries").select("word")
+
+
+def require_single_weights(word_topics: DataFrame) -> None:
+    """Stop the job when a word lists a topic more than once; weights are counted only where a word is doubtful."""
+    if not doubtful_words(word_topics).isEmpty():
+        require_none(repeated_weights(word_topics), "words with repeated topics")
+
+
 def require_none(violations: DataFrame, what: str) -> None:
     """Stop the job when a guard query finds anything."""
     found = violations.limit(5).collect()

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from postlytics import schemas
-from postlytics.operators.topics import repeated_weights, require_none, topic_labels
+from postlytics.operators.topics import require_single_weights, topic_labels
 from postlytics.settings import DEFAULTS
 from postlytics.sources.versions import announce, current_version
 
@@ -33,7 +33,7 @@ def publish(word_topics: DataFrame, root: str, words_per_topic: int = DEFAULTS.w
     columns = schemas.WORD_TOPICS.fieldNames()
     word_topics.select(*columns).write.mode("overwrite").parquet(f"{folder}/word_topics")
     stored = spark.read.schema(schemas.WORD_TOPICS).parquet(f"{folder}/word_topics")
-    require_none(repeated_weights(stored), "words with repeated topics")
+    require_single_weights(stored)
     labels = topic_labels(stored, words_per_topic).select(*schemas.TOPICS.fieldNames())
     labels.coalesce(1).write.mode("overwrite").parquet(f"{folder}/topics")
     announce(spark, root, version)

@@ -21,7 +21,7 @@ from postlytics.operators.promotion import accepted, mark_accepted, merge_bucket
 from postlytics.operators.records import bad_messages, good_posts, parse_messages
 from postlytics.operators.scoring import SUM, assign_topics, slots_lookup, word_slots
 from postlytics.operators.tags import TagList, split_tags
-from postlytics.operators.topics import conflicting_labels, repeated_weights, require_none
+from postlytics.operators.topics import conflicting_labels, require_none, require_single_weights
 from postlytics.settings import DEFAULTS, Settings
 from postlytics.sources import models
 from postlytics.sources.batches import write_batch
@@ -50,7 +50,7 @@ class TopicModel:
         if latest != self.version:
             model = models.load(spark, self.root, latest)
             require_none(conflicting_labels(model.topics), "topics with several labels")
-            require_none(repeated_weights(model.word_topics), "words with repeated topics")
+            require_single_weights(model.word_topics)
             for old in (self.slots, self.topics):
                 if old is not None:
                     old.unpersist()

@@ -145,3 +145,14 @@ def test_guards(spark):
         topics.require_none(found, "labels")
     weights = spark.createDataFrame([("w", 0), ("w", 0), ("v", 0)], "word string, topic int")
     assert [r.word for r in topics.repeated_weights(weights).collect()] == ["w"]
+
+
+def test_weights_are_counted_by_topic_only_for_doubtful_words(spark):
+    rows = [("a", t) for t in range(64)] + [("b", 1), ("b", 65), ("c", None), ("d", -1), (None, 3), (None, 4)]
+    single = spark.createDataFrame(rows, "word string, topic int")
+    assert sorted(r.word for r in topics.doubtful_words(single).collect()) == ["b", "c"]
+    topics.require_single_weights(single)
+    for word, topic in (("a", 63), ("d", -1), (None, 3), ("c", None)):
+        more = single.unionByName(spark.createDataFrame([(word, topic)], single.schema))
+        with pytest.raises(ValueError, match="repeated topics"):
+            topics.require_single_weights(more)
