@@ -23,7 +23,6 @@ from __future__ import annotations
 import heapq
 import math
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cached_property
@@ -31,10 +30,11 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postlytics.llm.common import LOWER, in_slices, most_frequent, saved
+from postlytics.llm.common import most_frequent, saved
 
 # The share of texts held out, the smoothing of counts, and the token behind a text
 # (a blank, which no word is).
@@ -49,16 +49,38 @@ LISTED, LONGEST = 1 << 19, 64
 ROUNDS, RATE, FIRST, CLIP = 3, 0.1, 1e-7, 1.0
 # Tokens of a window; lanes: one for so many tokens of a pool, so many at most; tokens of a pool.
 WINDOW, LANE_TOKENS, LANES, POOL = 8192, 512, 512, 1 << 21
-# Different words that a task counts before it hands counts on.
-COUNTED = 1 << 19
-# Weights are averaged as whole multiples of this.
-UNIT = 2.0**-24
+# Words that a task counts before it hands counts on; bytes of texts that are split and looked up at once.
+COUNTED, PORTION = 1 << 21, 1 << 21
+# Weights are averaged as whole multiples of this, and these as multiples of a power of two and a rest.
+UNIT, HALF = 2.0**-24, 20
 
 Weights = dict[str, np.ndarray]
 
 
-def tokens(text: str | None) -> list[bytes]:
-    return [*(text or "").encode("utf-8", "surrogatepass").translate(LOWER).split(), END]
+def portions(batches: Iterator[pa.RecordBatch], most: int = PORTION) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches whose texts have `most` bytes or more, by no more than a text and `most`."""
+    held, size = [], 0
+    for batch in batches:
+        ends, at = np.cumsum(pc.fill_null(pc.binary_length(batch["text"]), 0).to_numpy(), dtype=np.int64), 0
+        while at < len(ends):
+            before = int(ends[at - 1]) if at else 0
+            end = max(int(np.searchsorted(ends, before + most, "right")), at + 1)
+            held.append(batch.slice(at, end - at))
+            size, at = size + int(ends[end - 1]) - before, end
+            if size >= most:
+                yield pa.concat_batches(held)
+                held, size = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
+def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """(the lower-cased words of all texts one after the other, how many each text has); a null text has none."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    words = lists.flatten()
+    filled = pc.greater(pc.binary_length(words), 0)  # blanks at either end of a text leave an empty word there
+    of = pc.list_parent_indices(lists).filter(filled).to_numpy()
+    return words.filter(filled), np.bincount(of, minlength=len(texts))
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
@@ -70,22 +92,24 @@ def token_counts(docs: DataFrame) -> DataFrame:
     """(token, c): occurrences in all training texts, counted in the tasks first."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter = Counter()
+        parts, held, ends = [], 0, 0
 
         def flush() -> Iterator[pa.RecordBatch]:
-            words = pa.array(list(counts), pa.binary()).cast(pa.string())
-            numbers = pa.array(list(counts.values()), pa.int64())
+            words, numbers = pc.value_counts(pa.chunked_array(parts, pa.string())).flatten()
             for at in range(0, len(words), 1 << 16):
                 yield pa.RecordBatch.from_arrays([words.slice(at, 1 << 16), numbers.slice(at, 1 << 16)], ["token", "c"])
-            counts.clear()
-
-        for batch in batches:
-            for texts in in_slices(batch["text"]):
-                for text in texts:
-                    counts.update(tokens(text))
-                if len(counts) > COUNTED:
-                    yield from flush()
+            parts.clear()
+
+        for rows in portions(batches):
+            words, numbers = words_of(rows["text"])
+            parts.append(words.cast(pa.string()))
+            held, ends = held + len(words), ends + len(numbers)
+            if held > COUNTED:
+                yield from flush()
+                held = 0
         yield from flush()
+        if ends:
+            yield pa.RecordBatch.from_arrays([pa.array([END.decode()]), pa.array([ends], pa.int64())], ["token", "c"])
 
     texts = docs.filter(~held_out()).select(F.col("text").cast("string").alias("text"))
     return texts.mapInArrow(count, "token string, c long").groupBy("token").agg(F.sum("c").alias("c"))
@@ -147,23 +171,79 @@ def read_vocabulary(counts: DataFrame, listed: int = LISTED) -> Vocabulary:
     return Vocabulary(words, numbers, total, kinds, len(words) - (ends == 0) == kinds)
 
 
+@dataclass
+class Encoded:
+    """Texts as tokens, one text after the other; `words` and `listed` are without the ends of texts."""
+
+    starts: np.ndarray
+    ids: np.ndarray
+    inputs: np.ndarray
+    targets: np.ndarray
+    words: pa.Array
+    counts: np.ndarray
+    listed: np.ndarray
+
+    def texts(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(input rows, targets) of each text."""
+        return zip(np.split(self.inputs, self.starts[1:]), np.split(self.targets, self.starts[1:]))
+
+    def sums(self, numbers: np.ndarray) -> np.ndarray:
+        """Sums by text of a number for each token; no text is without tokens."""
+        return np.add.reduceat(numbers, self.starts)
+
+    def unlisted(self) -> pa.Array:
+        """A list by text of its words that are not listed."""
+        others = np.append(0, np.cumsum(~self.listed))[np.append(0, np.cumsum(self.counts))]
+        words = self.words.filter(pa.array(~self.listed)).cast(pa.string())
+        return pa.ListArray.from_arrays(pa.array(others, pa.int32()), words)
+
+
 class Encoder:
     """Texts as ids: listed words by their place, others -1; and input rows and targets of the model."""
 
     def __init__(self, vocabulary: Vocabulary) -> None:
         self.short, self.rows = vocabulary.short, vocabulary.rows
+        self.start = self.short + BUCKETS
+        self.frequent = pa.array(vocabulary.words[: self.short], pa.binary())
         self.ids = {word: i for i, word in enumerate(vocabulary.words)}
 
+    def look_up(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, input rows) of words: those of the short list in one pass, of others each different one once."""
+        words = words.cast(pa.binary())
+        ids = pc.fill_null(pc.index_in(words, value_set=self.frequent), -1).to_numpy().astype(np.int64)
+        rows, others = ids.astype(np.int32), np.flatnonzero(ids < 0)
+        if len(others):
+            rare = words.filter(pa.array(ids < 0)).dictionary_encode()
+            codes, kinds = rare.indices.to_numpy(), len(rare.dictionary)
+            # no word holds a blank; a list of all is slower to get from Arrow than one text
+            names = pc.binary_join(pa.ListArray.from_arrays([0, kinds], rare.dictionary), b" ")[0].as_py().split()
+            known = np.fromiter(map(self.ids.get, names, repeat(-1)), np.int64, kinds)
+            taken, unknown = self.rows[known], np.flatnonzero(known < 0)
+            hashes = np.fromiter(map(zlib.crc32, map(names.__getitem__, unknown.tolist())), np.int64, len(unknown))
+            taken[unknown] = self.short + hashes % BUCKETS
+            ids[others], rows[others] = known[codes], taken[codes]
+        return ids, rows
+
+    def targets(self, ids: np.ndarray) -> np.ndarray:
+        return np.where(ids >= 0, np.minimum(ids, self.short), self.short).astype(np.int32)
+
     def encode(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(ids, input rows, targets): the input of a token is the one before it, of the first the start."""
-        ids = np.fromiter(map(self.ids.get, words, repeat(-1)), np.int64, len(words))
-        inputs = np.empty(len(words) + 1, np.int32)
-        inputs[0], inputs[1:] = self.short + BUCKETS, self.rows[ids]
-        others = np.flatnonzero(ids < 0)
-        hashes = np.fromiter(map(zlib.crc32, map(words.__getitem__, others.tolist())), np.int64, len(others))
-        inputs[others + 1] = self.short + hashes % BUCKETS
-        targets = np.where(ids >= 0, np.minimum(ids, self.short), self.short).astype(np.int32)
-        return ids, inputs[:-1], targets
+        ids, rows = self.look_up(pa.array(words, pa.binary()))
+        return ids, np.append(np.int32(self.start), rows)[:-1], self.targets(ids)
+
+    def encode_texts(self, texts: pa.Array) -> Encoded:
+        """The same of a column of texts."""
+        words, counts = words_of(texts)
+        found, rows = self.look_up(words)
+        ends = np.cumsum(counts + 1)
+        starts = ends - counts - 1
+        inside = np.ones(int(ends[-1]) if len(ends) else 0, bool)
+        inside[ends - 1] = False
+        place = np.flatnonzero(inside)
+        ids, inputs = np.zeros(len(inside), np.int64), np.empty(len(inside), np.int32)  # the end is the first listed word
+        ids[place], inputs[place + 1], inputs[starts] = found, rows, self.start
+        return Encoded(starts, ids, inputs, self.targets(ids), words, counts, found >= 0)
 
 
 class Lanes:
@@ -251,7 +331,8 @@ class Network:
         state = state.T.copy()
         with np.errstate(over="ignore"):  # of an infinite power the gate is zero
             self._steps(rows, recur, state, inputs, first, states, kept)
-        return states.transpose(0, 2, 1).copy(), kept
+        # by hidden unit, then step and lane: so rows of states are columns that lie side by side
+        return states.transpose(1, 0, 2).copy().transpose(1, 2, 0), kept
 
     def _steps(self, rows, recur, state, inputs, first, states, kept) -> None:
         """Fills `states` and, unless it is None, `kept`."""
@@ -291,36 +372,43 @@ class Network:
         w, v = self.w, self.v
         classes = v.of_class[targets].astype(np.int16)
         order = np.argsort(np.where(valid, classes, np.int16(len(v.starts) + 1)), kind="stable")[: np.count_nonzero(valid)]
-        # rows of a class follow each other
-        chosen_states = np.take(states, order, axis=0, mode="clip", out=self.room("chosen", len(order), self.size))
+        # columns of a class follow each other; a last row of ones takes the biases
+        size, many = self.size, len(order)
+        columns = self.room("chosen", size + 1, many)
+        np.take(states.T, order, axis=1, mode="clip", out=columns[:size])
+        columns[size] = 1
         targets = targets[order]
-        classes, wanted = classes[order], gradient is not None
-        rows = np.arange(len(targets))
-        logits = np.matmul(w["class"].T, chosen_states.T, out=self.room("classes", w["class"].shape[1], len(order)))
-        found, powers = _softmax(logits, w["class_bias"], classes, rows, wanted)
+        classes, wanted = classes[order].astype(np.int64), gradient is not None
+        at = np.arange(many)
+        of_class, of_word = np.vstack([w["class"], w["class_bias"]]).T, np.column_stack([w["word"], w["word_bias"]])
+        logits = np.matmul(of_class, columns, out=self.room("classes", len(of_class), many))
+        found, powers = _softmax(logits, classes, at, wanted)
         if wanted:
-            gradient["class"] += (powers @ chosen_states).T
-            gradient["class_bias"] += powers.sum(axis=1)
-            back = np.matmul(powers.T, w["class"].T, out=self.room("back", len(order), self.size))
+            summed = columns @ powers.T
+            gradient["class"] += summed[:size]
+            gradient["class_bias"] += summed[size]
+            back = self.room("back", size, many + 1)
+            back[:, many] = 0  # what a row that is not valid gets
+            np.matmul(w["class"], powers, out=back[:, :many])
         bounds = np.searchsorted(classes, np.arange(len(v.starts) + 1))
         for c, (start, end) in enumerate(zip(v.starts, v.ends)):
             own = slice(bounds[c], bounds[c + 1])
             if end - start == 1 or own.start == own.stop:
                 continue
-            chosen, inside, at = chosen_states[own], targets[own] - start, rows[: own.stop - own.start]
-            more, powers = _softmax(w["word"][start:end] @ chosen.T, w["word_bias"][start:end], inside, at, wanted)
+            chosen, inside = columns[:, own], targets[own] - start
+            more, powers = _softmax(of_word[start:end] @ chosen, inside, at[: own.stop - own.start], wanted)
             found[own] += more
             if wanted:
-                gradient["word"][start:end] += powers @ chosen
-                gradient["word_bias"][start:end] += powers.sum(axis=1)
-                back[own] += powers.T @ w["word"][start:end]
+                summed = powers @ chosen.T
+                gradient["word"][start:end] += summed[:, :size]
+                gradient["word_bias"][start:end] += summed[:, size]
+                back[:, own] += w["word"][start:end].T @ powers
         log, spread = np.zeros(len(valid), found.dtype), None
         log[order] = found
         if wanted:
-            spread = self.room("spread", *states.shape)
-            if len(order) < len(valid):
-                spread[:] = 0
-            spread[order] = back
+            place = np.full(len(valid), many)
+            place[order] = at
+            spread = np.take(back, place, axis=1, mode="clip", out=self.room("spread", size, len(valid))).T
         return log[valid], spread
 
     def gradient(self, state, inputs, targets, first, valid) -> tuple[float, Weights, np.ndarray]:
@@ -331,7 +419,7 @@ class Network:
         found, spread = self.likelihood(states.reshape(-1, size), targets.ravel(), valid.ravel(), grad)
         steps, lanes = inputs.shape
         above = self.room("above", steps, size, lanes)
-        above[:] = spread.reshape(states.shape).transpose(0, 2, 1)
+        above[:] = spread.T.reshape(size, steps, lanes).transpose(1, 0, 2)
         before, update, reset, new, recurrent = kept.swapaxes(0, 1)
         by_new = self.room("by_new", steps, size, lanes)
         np.multiply(new, new, out=by_new)
@@ -363,7 +451,7 @@ class Network:
         np.multiply(above, by_new, out=gates[:, 3])
         states_grad = (before @ by_state.transpose(0, 2, 1)).sum(axis=0)
         grad["state"] += np.concatenate([states_grad[:, size:], states_grad[:, :size]], axis=1)
-        grad["gates"] += by_input.sum(axis=2).sum(axis=0)
+        grad["gates"] += by_input.sum(axis=0).sum(axis=1)
         embedded = np.take(w["embed"], inputs, axis=0, mode="clip", out=self.room("embedded", steps, lanes, w["embed"].shape[1]))
         grad["input"] += (embedded.transpose(0, 2, 1) @ by_input.transpose(0, 2, 1)).sum(axis=0)
         by_embedded = np.matmul(w["input"], by_input, out=self.room("by_embedded", steps, len(w["input"]), lanes))
@@ -373,27 +461,31 @@ class Network:
         return -float(found.sum()), grad, states[-1]
 
 
-def _softmax(logits: np.ndarray, bias: np.ndarray, chosen: np.ndarray, at: np.ndarray, wanted: bool):
+def _softmax(logits: np.ndarray, chosen: np.ndarray, at: np.ndarray, wanted: bool):
     """Log-probabilities of the chosen outputs and, if wanted, the gradient of their negative sum; outputs by rows."""
-    logits += bias[:, None]
     logits -= logits.max(axis=0)
-    found = logits[chosen, at]
+    flat, place = logits.reshape(-1), chosen * logits.shape[1] + at
+    found = flat[place]
     np.exp(logits, out=logits)
     sums = logits.sum(axis=0)
     found -= np.log(sums)
     if wanted:
         logits /= sums
-        logits[chosen, at] -= 1
+        flat[place] -= 1
     return found, logits
 
 
 def train_on(weights: Weights, vocabulary: Vocabulary, texts: Iterator[list[bytes]]) -> tuple[Weights, int]:
+    """(weights after the texts, tokens learnt from) for texts as lists of words."""
+    return train_on_encoded(weights, vocabulary, (vocabulary.encoder.encode(words)[1:] for words in texts))
+
+
+def train_on_encoded(weights: Weights, vocabulary: Vocabulary, texts: Iterator[tuple[np.ndarray, np.ndarray]]) -> tuple[Weights, int]:
     """(weights after the texts, tokens learnt from), by steps of Adagrad; every token is in one step."""
     weights = {name: value.copy() for name, value in weights.items()}
     squares = {name: np.full_like(value, FIRST) for name, value in weights.items()}
-    network, encoder = Network(weights, vocabulary), vocabulary.encoder
-    start, read = vocabulary.short + BUCKETS, 0
-    for pool in _pools((encoder.encode(words)[1:] for words in texts), POOL):
+    network, start, read = Network(weights, vocabulary), vocabulary.short + BUCKETS, 0
+    for pool in _pools(texts, POOL):
         state = None
         for number, (lanes, inputs, targets, _, first, valid) in enumerate(Lanes(pool).windows(start)):
             state = np.zeros((lanes, HIDDEN), np.float32) if number == 0 else state[:lanes]
@@ -448,27 +540,29 @@ def train(docs: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS) -> Weig
         before = context.broadcast(weights)
 
         def learn(batches: Iterator[pa.RecordBatch], before=before) -> Iterator[pa.RecordBatch]:
-            texts = (tokens(text) for batch in batches for values in in_slices(batch["text"]) for text in values)
-            after, read = train_on(before.value, shared.value, texts)
+            encoder = shared.value.encoder
+            texts = (text for rows in portions(batches) for text in encoder.encode_texts(rows["text"]).texts())
+            after, read = train_on_encoded(before.value, shared.value, texts)
             if read:
                 whole = np.rint(_packed(after).astype(np.float64) / UNIT).astype(np.int64)
+                # in two parts, so that products and their sums fit into 64 bits
+                high, low, places = (whole >> HALF) * read, (whole & ((1 << HALF) - 1)) * read, np.arange(len(whole))
                 for at in range(0, len(whole), 1 << 14):
-                    part = whole[at : at + (1 << 14)]
-                    columns = [np.arange(at, at + len(part)), part, np.full(len(part), read)]
-                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["place", "value", "read"])
-
-        found = chosen.filter(F.col("share") == number).select("text").mapInArrow(learn, "place long, value long, read long")
-        read = F.col("read").cast("decimal(18,0)")
-        summed = found.groupBy("place").agg(F.sum(F.col("value").cast("decimal(18,0)") * read).alias("value"), F.sum(read).alias("read"))
-        means = summed.select("place", (F.col("value").cast("double") / F.col("read").cast("double")).alias("mean")).orderBy("place").toArrow()
-        if means.num_rows:
-            weights = _unpacked(means["mean"].to_numpy() * UNIT, weights)
+                    columns = [c[at : at + (1 << 14)] for c in (places, high, low, np.full(len(whole), read))]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["place", "high", "low", "read"])
+
+        found = chosen.filter(F.col("share") == number).select("text").mapInArrow(learn, "place long, high long, low long, read long")
+        summed = found.groupBy("place").agg(F.sum("high"), F.sum("low"), F.sum("read")).toArrow()
+        if summed.num_rows:
+            place, high, low, read = (column.to_numpy() for column in summed.columns)
+            means = np.empty(len(place))
+            means[place] = (high * 2.0**HALF + low) / read
+            weights = _unpacked(means * UNIT, weights)
         before.unpersist()
     return weights
 
 
 LOCAL = "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double, unlisted array<string>"
-_LOCAL_TYPES = [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.string())]
 
 
 def log10_likelihoods(network: Network, texts: list[tuple[np.ndarray, np.ndarray]], lanes: int | None = None, window: int = WINDOW) -> np.ndarray:
@@ -495,26 +589,20 @@ def score_texts(docs: DataFrame, vocabulary: Vocabulary, weights: Weights) -> Da
         known = np.append(vocabulary.counts > 0, False)
         norm = np.log10(vocabulary.total + SMOOTH * (vocabulary.kinds + 1))
 
-        def rows() -> Iterator[tuple]:
-            for batch in batches:
-                heads = zip(*(batch[name].to_pylist() for name in ("row", "doc_id", "held_out")))
-                texts = (text for values in in_slices(batch["text"]) for text in values)
-                for head, text in zip(heads, texts):
-                    words = tokens(text)
-                    ids, inputs, targets = encoder.encode(words)
-                    unlisted = [] if vocabulary.whole else [words[at].decode() for at in np.flatnonzero(ids < 0).tolist()]
-                    rest = logs[ids[targets == encoder.short]] - vocabulary.rest_norm
-                    numbers = (len(words), int(known[ids].sum()), float((logs[ids] - norm).sum()), float(rest.sum()))
-                    yield inputs, targets, (*head, *numbers), unlisted
-
-        for pool in _pools(rows(), POOL):
-            model = log10_likelihoods(network, [text[:2] for text in pool])
-            records = [(*text[2][:6], text[2][6] + value, text[3]) for text, value in zip(pool, model)]
-            for at in range(0, len(records), 1024):
-                columns = zip(*records[at : at + 1024])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(list(c), t) for c, t in zip(columns, _LOCAL_TYPES)], [n for n in LOCAL.replace(",", "").split()[::2]]
-                )
+        def encoded() -> Iterator[tuple]:
+            for rows in portions(batches):
+                found = encoder.encode_texts(rows["text"])
+                ids, scores = found.ids, logs[found.ids]
+                other = np.where(found.targets == encoder.short, scores - vocabulary.rest_norm, 0)
+                numbers = [found.counts + 1, found.sums(known[ids].astype(np.int64)), found.sums(scores - norm), found.sums(other)]
+                yield found.inputs, found.texts(), [rows[name] for name in ("row", "doc_id", "held_out")], numbers, found.unlisted()
+
+        for pool in _pools(encoded(), POOL):
+            model = log10_likelihoods(network, [text for part in pool for text in part[1]])
+            for _, _, heads, (*numbers, other), unlisted in pool:
+                own, model = model[: len(other)], model[len(other) :]
+                columns = [*heads, *map(pa.array, (*numbers, other + own)), unlisted]
+                yield pa.RecordBatch.from_arrays(columns, LOCAL.replace(",", "").split()[::2])
 
     chosen = docs.select(
         F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"),

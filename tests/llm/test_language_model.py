@@ -6,7 +6,9 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from postlytics.llm import language_model as lm
 from postlytics.llm.queries import QUERIES
@@ -223,3 +225,53 @@ def test_large_gate_sums_are_within_range():
 def test_a_vocabulary_makes_its_encoder_once():
     vocabulary = small_vocabulary()
     assert vocabulary.encoder is vocabulary.encoder
+
+
+def test_a_word_is_looked_up_once():
+    class Counting(dict):
+        asked = 0
+
+        def get(self, *key):
+            self.asked += 1
+            return super().get(*key)
+
+    vocabulary = small_vocabulary()
+    vocabulary.short, encoder = 20, lm.Encoder(vocabulary)
+    encoder.ids = Counting(encoder.ids)
+    words = [b"w%d" % (i % 150) for i in range(6000)]
+    ids, _, _ = encoder.encode([*words, lm.END])
+    assert ids.tolist() == [*(vocabulary.words.index(w) if w in vocabulary.words else -1 for w in words), 0]
+    assert encoder.ids.asked <= 150
+
+
+def test_a_column_of_texts_is_encoded_as_its_words():
+    texts = ["", None, " ", "W1 w2\tw2\x0bX\x0cw90 \x85", "\x1cw3 \xc0\xc9 \xe9W4", " w5", "w6 \r\n", "new " * 40, "\x00 w7"]
+    vocabulary = small_vocabulary()
+    encoder, batch = lm.Encoder(vocabulary), pa.RecordBatch.from_pydict({"text": pa.array(texts)})
+    for most in (1, 9, 1000):
+        parts = [encoder.encode_texts(rows["text"]) for rows in lm.portions(iter([batch, batch.slice(0, 0), batch]), most)]
+        assert sum(len(part.counts) for part in parts) == 2 * len(texts)
+        ids, words = ([x for part in parts for x in column(part)] for column in (lambda p: p.ids.tolist(), lambda p: p.unlisted().to_pylist()))
+        pairs = [(i.tolist(), t.tolist()) for part in parts for i, t in part.texts()]
+        for text, others, (inputs, targets) in zip(texts * 2, words, pairs, strict=True):
+            plain = [lm.END if word is None else word.encode() for word in plain_tokens(text)]
+            expected = [vocabulary.words.index(w) if w in vocabulary.words else -1 for w in plain]
+            assert ids[: len(plain)] == expected and others == [w.decode() for w, i in zip(plain, expected) if i < 0]
+            want, ids = encoder.encode(plain), ids[len(plain) :]
+            assert (inputs, targets) == (want[1].tolist(), want[2].tolist())
+        assert not ids
+
+
+def test_weights_are_averaged_by_tokens(spark):
+    rows = [(5 * i, " ".join(f"w{(i * k) % 90}" for k in range(20 + i))) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").filter(~lm.held_out()).repartition(3, "doc_id").localCheckpoint()
+    parts = docs.select("text", F.spark_partition_id().alias("part")).collect()
+    vocabulary = small_vocabulary()
+    got, learnt = lm.train(docs, vocabulary, 1), []
+    for part in {r.part for r in parts}:
+        words = ([*r.text.encode().split(), lm.END] for r in parts if r.part == part)
+        learnt.append(lm.train_on(vocabulary.first_weights(), vocabulary, words))
+    read = sum(n for _, n in learnt)
+    assert len(learnt) > 1
+    for name, value in got.items():
+        assert np.allclose(value, sum(w[name].astype(np.float64) * n for w, n in learnt) / read, atol=2e-6), name
