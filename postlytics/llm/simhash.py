@@ -150,6 +150,9 @@ def links(prints: DataFrame, max_distance: int = 3) -> DataFrame:
 
     Every pair within the distance, 3 or 5 at most, is connected by the result, and each row is
     such a pair. `which` numbers the kind of fingerprint, from 0.
+
+    Spark sizes the exploded keys by the fingerprints, a few bytes each, and would broadcast up to 108
+    times as many rows as it expects; so they are merged, where adaptive execution splits skewed keys.
     """
     if max_distance > 5:
         raise ValueError("the segments cover up to five errors")
@@ -157,7 +160,7 @@ def links(prints: DataFrame, max_distance: int = 3) -> DataFrame:
     stored_keys = _key_column(exact_keys if max_distance <= 3 else fuzzy_keys)
     stored = prints.select("which", "fp", F.explode(stored_keys("fp")).alias("key")).select("which", F.col("fp").alias("b"), key)
     probes = prints.select("which", "fp", F.explode(_key_column(fuzzy_keys)("fp")).alias("key")).select(F.col("fp").alias("a"), key)
-    met = stored.withColumn("pivot", F.min("b").over(Window.partitionBy("key"))).join(probes, "key")
+    met = stored.withColumn("pivot", F.min("b").over(Window.partitionBy("key"))).join(probes.hint("merge"), "key")
     by_pivot = (_distance("a", "pivot") <= max_distance) & (_distance("b", "pivot") <= max_distance)
     wanted = (F.col("b") == F.col("pivot")) | ((F.col("a") < F.col("b")) & ~by_pivot)
     found = met.filter((F.col("a") != F.col("b")) & (_distance("a", "b") <= max_distance) & wanted)

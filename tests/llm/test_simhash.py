@@ -6,6 +6,7 @@ import re
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from postlytics.llm import simhash
 from postlytics.llm.queries import QUERIES
@@ -124,3 +125,12 @@ def test_one_row_stays_where_texts_share_an_id(spark):
     rows = [(1, "a b c"), (1, far), (1, far), (2, far), (3, "A  B c"), (4, None), (5, "")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert sorted((r.doc_id, r.text) for r in simhash.one_of_each_group(docs).collect()) == [(1, "a b c"), (1, far), (4, None)]
+
+
+@pytest.mark.parametrize("distance", [3, 5])
+def test_exploded_keys_are_not_broadcast(spark, distance):
+    rows = spark.range(2000).select(F.lit(0).alias("which"), F.xxhash64("id").alias("fp"))
+    found = simhash.links(rows, distance)
+    found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
