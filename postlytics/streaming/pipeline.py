@@ -22,6 +22,7 @@ from postlytics.operators.records import bad_messages, good_posts, parse_message
 from postlytics.operators.scoring import SUM, assign_topics, slots_lookup, word_slots
 from postlytics.operators.tags import TagList, split_tags
 from postlytics.operators.topics import conflicting_labels, require_none, require_single_weights
+from postlytics.session import delete_path
 from postlytics.settings import DEFAULTS, Settings
 from postlytics.sources import models
 from postlytics.sources.batches import write_batch
@@ -60,6 +61,8 @@ class TopicModel:
         return self.version is not None
 
 
+# bytes of rows that a task gathers before it writes them to a scratch table
+_KEPT_BLOCK = 16 << 20
 # messages of a batch that occur more than once, by their hashes, that may be broadcast
 _BROADCAST_REPEATED = 1_000_000
 
@@ -106,6 +109,9 @@ class Pipeline:
     Equal messages may trade places, so a repeated batch gives the same rows however its files are
     split. Every write replaces what an earlier try of its batch left. `report` gets the funnel
     counters of each batch that has posts, once its tables are written.
+
+    Rows with texts that a batch reads several times are kept as files below `scratch` while it runs.
+    Cached and spilled, a hundred blocks of 4 MB of them are held by each task that writes or reads them.
     """
 
     root: str
@@ -122,9 +128,16 @@ class Pipeline:
             "checkpointLocation", self.path("checkpoint")
         )
 
+    def keep(self, rows: DataFrame, name: str) -> DataFrame:
+        """Rows written below `scratch` and read back."""
+        path = self.path(f"scratch/{name}")
+        writer = rows.write.mode("overwrite").option("compression", "zstd")
+        writer.option("parquet.block.size", _KEPT_BLOCK).parquet(path)
+        return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
     def process(self, messages: DataFrame, batch_id: int) -> None:
         latest = F.current_timestamp() + F.make_dt_interval(secs=F.lit(self.settings.future_seconds))
-        parsed = parse_messages(messages.select("key", "value"), latest).persist(StorageLevel.MEMORY_AND_DISK)
+        parsed = self.keep(parse_messages(messages.select("key", "value"), latest), "parsed")
         repeated = repeated_messages(parsed).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             write_batch(bad_messages(parsed), self.path("quarantine"), batch_id)
@@ -134,7 +147,7 @@ class Pipeline:
                 self._accept_and_score(posts, batch_id)
         finally:
             repeated.unpersist()
-            parsed.unpersist()
+            delete_path(messages.sparkSession, self.path("scratch"))
 
     def _accept_and_score(self, posts: DataFrame, batch_id: int) -> None:
         spark, settings = posts.sparkSession, self.settings
@@ -154,9 +167,7 @@ class Pipeline:
             fresh = now.withColumn("fresh", F.lit(True)).unionByName(before.withColumn("fresh", F.lit(False)))
             totals = hold(fresh.groupBy("sec").agg(F.sum("n").alias("n"), F.max("fresh").alias("fresh")))
             middle, own, seconds = totals.agg(*clock_columns(), F.count("sec")).first()
-            marked = hold(
-                mark_accepted(split, tag_buckets, totals.drop("fresh"), settings, key="row", seconds=seconds)
-            )
+            marked = mark_accepted(split, tag_buckets, totals.drop("fresh"), settings, key="row", seconds=seconds)
             # a later batch may hold posts this late, each with a full window before it
             clock = min((sec for sec in (middle, own) if sec is not None), default=0)
             horizon = clock - settings.window_seconds - settings.watermark_seconds
@@ -164,7 +175,7 @@ class Pipeline:
             total_state.save(totals, batch_id, horizon)
             words = clean_words(F.col("text")).alias("words")
             counted, funnel = observe_funnel(marked)
-            kept = hold(accepted(counted).select("row", *CARRIED, words))
+            kept = self.keep(accepted(counted).select("row", *CARRIED, words), "accepted")
             append_corpus(kept, corpus_table(spark, self.root), batch_id, spread_write_time(F.current_timestamp(), "row"))
             write_batch(self._assign(kept), self.path("assigned"), batch_id)
         finally:

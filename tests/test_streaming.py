@@ -11,7 +11,7 @@ from postlytics.functions.text import clean_words
 from postlytics.operators import promotion, scoring, view
 from postlytics.operators.tags import TagList, split_tags
 from postlytics.operators.windows import second_buckets
-from postlytics.session import workspace
+from postlytics.session import folder_names, workspace
 from postlytics.settings import Settings
 from postlytics.sources import models
 from postlytics.sources.batches import write_batch
@@ -261,6 +261,21 @@ def test_bad_messages_and_empty_batches(spark):
     assert spark.read.parquet(f"{root}/quarantine").count() == 3
 
 
+def test_rows_with_texts_are_kept_as_files_and_not_cached(spark, monkeypatch):
+    root = workspace(spark, "stream")
+    publish(spark, root)
+    deliver(spark, posts(4, 200), f"{root}/landing", ("bad", "no json"))
+    kind, cached = type(spark.range(1)), []
+    persist = kind.persist
+    monkeypatch.setattr(kind, "persist", lambda df, *level: cached.append(df.columns) or persist(df, *level))
+    job = run(spark, root)
+    assert cached and not {"value", "record", "text", "words"} & {name for columns in cached for name in columns}
+    assert not {"scratch"} & set(folder_names(spark, root))
+    assert job.report.total["posts"] == 200 and spark.read.parquet(f"{root}/quarantine").count() == 1
+    expected = in_batch(spark, posts(4, 200))
+    assert {key: found[:2] for key, found in assigned(spark, root).items()} == expected
+
+
 def test_no_model_then_a_model(spark):
     root = workspace(spark, "stream")
     rows = posts(4, 120)
